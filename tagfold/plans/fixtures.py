@@ -35,7 +35,8 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").try_cast("bigint")
     j = e.join(p, k == p["p_partkey"])
     vt_ms = F.unix_millis(F.col("ts").cast("timestamp"))
-    s = lambda c: F.col(c).cast("string")
+    def s(c):
+        return (F.col(c) if isinstance(c, str) else c).cast("string")
     cols = {
         "vt": vt_ms.cast("string"),
         "un": F.when(F.col("user_id") % 10 == 0, F.lit("")).otherwise(F.concat(F.lit("u"), s("user_id"))),

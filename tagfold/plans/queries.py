@@ -26,6 +26,13 @@ PRUNE_MIN_WEIGHT = 0.1
 PRUNE_FRACTION = 0.01
 
 
+def prepare_session(spark: SparkSession) -> None:
+    """Session settings the queries rely on: UTC for epoch-millis conversion
+    of the NTZ timestamps, and a checkpoint folder (kept when the cluster
+    names one)."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def formatted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: the log after the crawler filter (what the portrait jobs read)."""
     return flt.bot_filter(fx.log(spark, sf_dir))
@@ -57,8 +64,9 @@ def q_top_articles_by_type(spark, sf_dir):
 
 def q_normalize_type(spark, sf_dir):
     ev = fx.article_events(spark, sf_dir)
-    return (ev.select("dataType", flt.normalize_type(F.col("dataType")).alias("DataType"))
-            .groupBy("dataType", "DataType").agg(F.count(F.lit(1)).alias("n")))
+    return (ev.select(F.col("dataType").alias("spelling"),
+                      flt.normalize_type(F.col("dataType")).alias("type_class"))
+            .groupBy("spelling", "type_class").agg(F.count(F.lit(1)).alias("n")))
 
 
 def q_journal_purchase_stats(spark, sf_dir):
