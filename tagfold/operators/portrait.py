@@ -213,9 +213,12 @@ def _flat_objects(tags: DataFrame) -> DataFrame:
 
 
 def _nested_objects(tags: DataFrame) -> DataFrame:
+    """Modules ordered by their total weight (``mw`` when the caller carries
+    the total of the untruncated module, else the sum of the given tags)."""
     entry = J.tag_entry(F.col("tag"), F.col("weight"), F.col("last_ms"))
+    total = F.max("mw") if "mw" in tags.columns else F.round(F.sum("weight"), 4)
     per_mod = tags.groupBy("user", "dim", "module").agg(
-        F.round(F.sum("weight"), 4).alias("mw"),
+        total.alias("mw"),
         F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("k1"), F.col("tag").alias("k2"),
                                              entry.alias("e")))).alias("es"))
     mod_entry = F.concat(J.json_string(F.col("module")), F.lit(":"), J.object_of(F.col("es")))
@@ -227,7 +230,7 @@ def _nested_objects(tags: DataFrame) -> DataFrame:
 def pack_portrait(tags: DataFrame) -> DataFrame:
     """Long form -> (user, dim, json) in canonical order."""
     nested = tags.where(F.col("dim").isin(NESTED_DIMS))
-    flat = tags.where(~F.col("dim").isin(NESTED_DIMS))
+    flat = tags.where(~F.col("dim").isin(NESTED_DIMS)).select(*TAG_COLUMNS)
     return _flat_objects(flat).unionByName(_nested_objects(nested))
 
 
@@ -252,7 +255,9 @@ def portrait_wide(users: DataFrame, tags: DataFrame, latest_log_time: str) -> Da
 
 def truncate_portrait(tags: DataFrame, n: int = 3) -> DataFrame:
     """First n tags of each flat dimension; first n modules of each
-    nested dimension and first n tags within each kept module."""
+    nested dimension and first n tags within each kept module. Nested rows
+    carry ``mw``, the total of their whole module, which keeps the module
+    order of the full portrait when packed."""
     flat = tags.where(~F.col("dim").isin(NESTED_DIMS))
     wf = Window.partitionBy("user", "dim").orderBy(F.desc("weight"), F.asc("tag"))
     flat_top = flat.withColumn("rn", F.row_number().over(wf)).where(F.col("rn") <= n).drop("rn")
@@ -260,11 +265,12 @@ def truncate_portrait(tags: DataFrame, n: int = 3) -> DataFrame:
     mods = nested.groupBy("user", "dim", "module").agg(F.round(F.sum("weight"), 4).alias("mw"))
     wm = Window.partitionBy("user", "dim").orderBy(F.desc("mw"), F.asc("module"))
     top_mods = mods.withColumn("rn", F.row_number().over(wm)).where(F.col("rn") <= n).select(
-        "user", "dim", "module")
+        "user", "dim", "module", "mw")
     wk = Window.partitionBy("user", "dim", "module").orderBy(F.desc("weight"), F.asc("tag"))
     nested_top = (nested.withColumn("rn", F.row_number().over(wk)).where(F.col("rn") <= n).drop("rn")
-                  .join(top_mods, ["user", "dim", "module"], "left_semi"))
-    return flat_top.select(*TAG_COLUMNS).unionByName(nested_top.select(*TAG_COLUMNS))
+                  .join(top_mods, ["user", "dim", "module"]))
+    return (flat_top.select(*TAG_COLUMNS, F.lit(None).cast("double").alias("mw"))
+            .unionByName(nested_top.select(*TAG_COLUMNS, "mw")))
 
 
 def serving_portrait(users: DataFrame, tags: DataFrame, latest_log_time: str, n: int = 3) -> DataFrame:
