@@ -54,13 +54,13 @@ hlog AS (
 ),
 art AS (
   SELECT event_id, regexp_replace(un, '[ "]', '', 'g') AS usr,
-         CASE WHEN ac = 'buy' THEN 2.0 ELSE 1.0 END AS w, vt_ms, rcc, rkd, au
+         CAST(CASE WHEN ac = 'buy' THEN 2.0 ELSE 1.0 END AS DOUBLE) AS w, vt_ms, rcc, rkd, au
   FROM hlog
   WHERE un <> '' AND ro = 'article' AND coalesce(rcc, '') <> '' AND ac IN {ACTIONS}
 ),
 srch AS (
   SELECT event_id, regexp_replace(un, '[ "]', '', 'g') AS usr,
-         CASE WHEN ac = 'buy' THEN 2.0 ELSE 1.0 END AS w, vt_ms, sw
+         CAST(CASE WHEN ac = 'buy' THEN 2.0 ELSE 1.0 END AS DOUBLE) AS w, vt_ms, sw
   FROM hlog
   WHERE un <> '' AND ac = 'search' AND coalesce(sw, '') <> ''
 )"""
