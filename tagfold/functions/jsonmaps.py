@@ -28,8 +28,9 @@ def json_string(s: Column) -> Column:
 
 
 def tag_entry(tag: Column, weight: Column, last_ms: Column) -> Column:
-    """``"tag":{"weight":w,"dateTime":"ms"}``"""
-    return F.concat(json_string(tag), F.lit(':{"weight":'), weight.cast("string"),
+    """``"tag":{"weight":w,"dateTime":"ms"}``; weights are 4-decimal values
+    (rounded here so that the text does not depend on summation order)."""
+    return F.concat(json_string(tag), F.lit(':{"weight":'), F.round(weight, 4).cast("string"),
                     F.lit(',"dateTime":"'), F.coalesce(last_ms.cast("string"), F.lit("")), F.lit('"}'))
 
 

@@ -91,8 +91,11 @@ def log_tag_rows(log: DataFrame, dims=DIMS, stop_names=AUTHOR_STOP_NAMES,
 
 
 def aggregate_tags(rows: DataFrame) -> DataFrame:
-    """A7/A8 merge: weights added, last-seen = latest, per (user, dim, module, tag)."""
-    return rows.groupBy(*KEYS).agg(F.sum("weight").alias("weight"), F.max("last_ms").alias("last_ms"))
+    """A7/A8 merge: weights added, last-seen = latest, per (user, dim, module,
+    tag). Weights are 4-decimal values; the sum is rounded back to 4 places
+    so that it does not depend on the order partial sums are combined in."""
+    return rows.groupBy(*KEYS).agg(F.round(F.sum("weight"), 4).alias("weight"),
+                                   F.max("last_ms").alias("last_ms"))
 
 
 def log_portrait(log: DataFrame, dims=DIMS, stop_names=AUTHOR_STOP_NAMES,
@@ -121,25 +124,26 @@ def decay_recent_interest(tags: DataFrame, as_of_ms: int, min_weight: float = MI
     share left after one 30-day period.
 
     The sequential rule equals a rank rule: with ``h`` tags kept anyway,
-    exactly the LAST ``max(0, min_keywords + 1 - h)`` low tags survive, so
-    only a bounded top-(min_keywords+1) per user is ever ranked.
+    exactly the LAST ``max(0, min_keywords + 1 - h)`` low tags (in portrait
+    order: modules by total weight desc then code, tags by weight desc then
+    tag) survive. One exchange on (user, dim) serves all three windows
+    (module total, kept count, rank among the low tags); the input is a
+    stored portrait, already one row per tag.
     """
     fraction = min_weight if fraction is None else fraction
     keep_n = min_keywords + 1
-    t = tags.select(*TAG_COLUMNS).withColumn(
-        "w2", floor_and_round(F.col("weight") * decay_factor(
-            whole_days(as_of_ms, F.col("last_ms")), PERIOD_DAYS, fraction)))
-    t = t.withColumn("low", F.col("w2") < F.lit(min_weight))
-    mw = tags.groupBy("user", "dim", "module").agg(F.round(F.sum("weight"), 4).alias("mw"))
-    high = (t.where(~F.col("low")).groupBy("user", "dim").agg(F.count(F.lit(1)).alias("h")))
-    rev = Window.partitionBy("user", "dim").orderBy(
+    w2 = floor_and_round(F.col("weight") * decay_factor(
+        whole_days(as_of_ms, F.col("last_ms")), PERIOD_DAYS, fraction))
+    t = (tags.select(*TAG_COLUMNS).repartition("user", "dim")
+         .withColumn("w2", w2).withColumn("low", F.col("w2") < F.lit(min_weight)))
+    by_mod = Window.partitionBy("user", "dim", "module")
+    by_dim = Window.partitionBy("user", "dim")
+    rev = Window.partitionBy("user", "dim", "low").orderBy(
         F.asc("mw"), F.desc("module"), F.asc("weight"), F.desc("tag"))
-    lows = (t.where(F.col("low")).join(mw, ["user", "dim", "module"])
-            .withColumn("rn", F.row_number().over(rev)).where(F.col("rn") <= keep_n)
-            .join(high, ["user", "dim"], "left")
-            .where(F.col("rn") <= F.lit(keep_n) - F.coalesce(F.col("h"), F.lit(0))))
-    kept = t.where(~F.col("low")).select(*KEYS, "w2", "last_ms").unionByName(
-        lows.select(*KEYS, "w2", "last_ms"))
+    t = (t.withColumn("mw", F.round(F.sum("weight").over(by_mod), 4))
+         .withColumn("h", F.sum((~F.col("low")).cast("int")).over(by_dim))
+         .withColumn("rn", F.row_number().over(rev)))
+    kept = t.where(~F.col("low") | (F.col("rn") <= F.lit(keep_n) - F.col("h")))
     return kept.select(*KEYS, F.col("w2").alias("weight"), "last_ms")
 
 
@@ -205,33 +209,39 @@ def portrait_update(old_tags: DataFrame, log: DataFrame, as_of_ms: int,
 
 # ---------------------------------------------------------------- packing
 
-def _flat_objects(tags: DataFrame) -> DataFrame:
-    entry = J.tag_entry(F.col("tag"), F.col("weight"), F.col("last_ms"))
-    g = tags.groupBy("user", "dim").agg(F.array_sort(F.collect_list(
-        F.struct((-F.col("weight")).alias("k1"), F.col("tag").alias("k2"), entry.alias("e")))).alias("es"))
-    return g.select("user", "dim", J.object_of(F.col("es")).alias("json"))
+def _by_user(tags: DataFrame) -> DataFrame:
+    """One exchange on ``user``: every later window and aggregate of the
+    packing (keyed by user, dim, module) is satisfied by it, and the packed
+    row of a user has to be built in one task anyway."""
+    return tags.repartition("user")
 
 
-def _nested_objects(tags: DataFrame) -> DataFrame:
-    """Modules ordered by their total weight (``mw`` when the caller carries
-    the total of the untruncated module, else the sum of the given tags)."""
+def _packed(tags: DataFrame) -> DataFrame:
+    """Long form (clustered by user) -> (user, dim, json) in canonical order:
+    tags by weight desc then tag; modules of a nested dimension by total
+    weight desc then code (``mw`` when the rows carry the total of their
+    untruncated module, else the sum of the given rows). A flat dimension
+    has the single module ''."""
     entry = J.tag_entry(F.col("tag"), F.col("weight"), F.col("last_ms"))
     total = F.max("mw") if "mw" in tags.columns else F.round(F.sum("weight"), 4)
     per_mod = tags.groupBy("user", "dim", "module").agg(
         total.alias("mw"),
         F.array_sort(F.collect_list(F.struct((-F.col("weight")).alias("k1"), F.col("tag").alias("k2"),
                                              entry.alias("e")))).alias("es"))
-    mod_entry = F.concat(J.json_string(F.col("module")), F.lit(":"), J.object_of(F.col("es")))
-    g = per_mod.groupBy("user", "dim").agg(F.array_sort(F.collect_list(
-        F.struct((-F.col("mw")).alias("k1"), F.col("module").alias("k2"), mod_entry.alias("e")))).alias("es"))
-    return g.select("user", "dim", J.object_of(F.col("es")).alias("json"))
+    inner = J.object_of(F.col("es"))
+    per_mod = per_mod.select("user", "dim", "module", "mw", inner.alias("inner"))
+    mod_entry = F.concat(J.json_string(F.col("module")), F.lit(":"), F.col("inner"))
+    per_dim = per_mod.groupBy("user", "dim").agg(F.array_sort(F.collect_list(F.struct(
+        (-F.col("mw")).alias("k1"), F.col("module").alias("k2"), mod_entry.alias("e"),
+        F.col("inner").alias("inner")))).alias("ms"))
+    json = (F.when(F.col("dim").isin(NESTED_DIMS), J.object_of(F.col("ms")))
+            .otherwise(F.get(F.col("ms"), 0)["inner"]))
+    return per_dim.select("user", "dim", json.alias("json"))
 
 
 def pack_portrait(tags: DataFrame) -> DataFrame:
     """Long form -> (user, dim, json) in canonical order."""
-    nested = tags.where(F.col("dim").isin(NESTED_DIMS))
-    flat = tags.where(~F.col("dim").isin(NESTED_DIMS)).select(*TAG_COLUMNS)
-    return _flat_objects(flat).unionByName(_nested_objects(nested))
+    return _packed(_by_user(tags.select(*TAG_COLUMNS)))
 
 
 def _wide(users: DataFrame, packed: DataFrame) -> DataFrame:
@@ -255,28 +265,24 @@ def portrait_wide(users: DataFrame, tags: DataFrame, latest_log_time: str) -> Da
 
 def truncate_portrait(tags: DataFrame, n: int = 3) -> DataFrame:
     """First n tags of each flat dimension; first n modules of each
-    nested dimension and first n tags within each kept module. Nested rows
-    carry ``mw``, the total of their whole module, which keeps the module
-    order of the full portrait when packed."""
-    flat = tags.where(~F.col("dim").isin(NESTED_DIMS))
-    wf = Window.partitionBy("user", "dim").orderBy(F.desc("weight"), F.asc("tag"))
-    flat_top = flat.withColumn("rn", F.row_number().over(wf)).where(F.col("rn") <= n).drop("rn")
-    nested = tags.where(F.col("dim").isin(NESTED_DIMS))
-    mods = nested.groupBy("user", "dim", "module").agg(F.round(F.sum("weight"), 4).alias("mw"))
-    wm = Window.partitionBy("user", "dim").orderBy(F.desc("mw"), F.asc("module"))
-    top_mods = mods.withColumn("rn", F.row_number().over(wm)).where(F.col("rn") <= n).select(
-        "user", "dim", "module", "mw")
-    wk = Window.partitionBy("user", "dim", "module").orderBy(F.desc("weight"), F.asc("tag"))
-    nested_top = (nested.withColumn("rn", F.row_number().over(wk)).where(F.col("rn") <= n).drop("rn")
-                  .join(top_mods, ["user", "dim", "module"]))
-    return (flat_top.select(*TAG_COLUMNS, F.lit(None).cast("double").alias("mw"))
-            .unionByName(nested_top.select(*TAG_COLUMNS, "mw")))
+    nested dimension and first n tags within each kept module (a flat
+    dimension is the single module '', so one rule covers both). Rows carry
+    ``mw``, the total of their whole module, which keeps the module order of
+    the full portrait when packed. Clustered by user for the packing."""
+    by_mod = Window.partitionBy("user", "dim", "module")
+    mod_order = Window.partitionBy("user", "dim").orderBy(F.desc("mw"), F.asc("module"))
+    tag_order = Window.partitionBy("user", "dim", "module").orderBy(F.desc("weight"), F.asc("tag"))
+    t = (_by_user(tags.select(*TAG_COLUMNS))
+         .withColumn("mw", F.round(F.sum("weight").over(by_mod), 4))
+         .withColumn("mrank", F.dense_rank().over(mod_order))
+         .withColumn("trank", F.row_number().over(tag_order)))
+    return t.where((F.col("mrank") <= n) & (F.col("trank") <= n)).select(*TAG_COLUMNS, "mw")
 
 
 def serving_portrait(users: DataFrame, tags: DataFrame, latest_log_time: str, n: int = 3) -> DataFrame:
     """P10: truncated portrait for an online store: demographics blanked, a
     flag telling whether any of the seven maps is non-empty."""
-    w = _wide(users, pack_portrait(truncate_portrait(tags, n)))
+    w = _wide(users, _packed(truncate_portrait(tags, n)))
     has = F.greatest(*[F.col(d).isNotNull().cast("int") for d in DIMS])
     cols = [F.col("user").alias("UserName"), F.lit("").alias("LawOfworkAndRest"), F.lit("").alias("Area"),
             F.lit(0).alias("Age"), F.lit(0).alias("Gender")]

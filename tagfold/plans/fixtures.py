@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import LOG_FIELDS
+from ..session import materialized
 from ..sources.tables import load
 from ..operators.filters import TYPE_CLASSES
 
 # Fixed values of the fixture: split point between the "old portrait" rows and
 # "the new log", and the clock of every portrait run (2024-02-01T00:00:00Z).
 OLD_BEFORE_MS = 1705363200000     # 2024-01-16T00:00:00Z
+OLD_BEFORE_DAY = 20240116         # its day partition (yyyyMMdd)
 AS_OF_MS = 1706745600000          # 2024-02-01T00:00:00Z
 AS_OF_TEXT = "2024-02-01 00:00:00"
 # The author stop list used with this fixture (its logs carry 'staff' bylines).
@@ -23,12 +25,21 @@ FIXTURE_STOP_NAMES = ["staff"]
 
 
 def log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The formatted behaviour log as a parquet table partitioned by day
+    (``log_day``), written once per application from :func:`derive_log`
+    (the reference's log-formatting job likewise writes parquet that every
+    later job reads)."""
+    return materialized(spark, f"log:{sf_dir}", lambda: derive_log(spark, sf_dir), ["log_day"])
+
+
+def derive_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The behaviour log: events joined to the part they touch.
 
-    Columns: the 20 string fields plus ``event_id`` and typed ``vt_ms``.
-    ``part`` is a dimension table; the planner broadcasts it only while its
-    size is under ``spark.sql.autoBroadcastJoinThreshold`` and falls back to
-    a sort-merge join beyond it.
+    Columns: the 20 string fields plus ``event_id``, typed ``vt_ms`` and the
+    UTC day ``log_day`` (int yyyyMMdd). ``part`` is a dimension table; the planner
+    broadcasts it only while its size is under
+    ``spark.sql.autoBroadcastJoinThreshold`` and falls back to a sort-merge
+    join beyond it.
     """
     e = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     p = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
@@ -63,15 +74,19 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     for f in LOG_FIELDS:
         out.append((cols[f] if f in cols else F.lit("")).alias(f))
     out.append(vt_ms.alias("vt_ms"))
+    out.append(F.date_format(F.col("ts"), "yyyyMMdd").cast("int").alias("log_day"))
     return j.select(*out)
 
 
 def old_log(log_df: DataFrame) -> DataFrame:
-    return log_df.where(F.col("vt_ms") < F.lit(OLD_BEFORE_MS))
+    """Rows before the split (the day predicate prunes partitions)."""
+    return log_df.where((F.col("log_day") <= F.lit(OLD_BEFORE_DAY))
+                        & (F.col("vt_ms") < F.lit(OLD_BEFORE_MS)))
 
 
 def new_log(log_df: DataFrame) -> DataFrame:
-    return log_df.where(F.col("vt_ms") >= F.lit(OLD_BEFORE_MS))
+    return log_df.where((F.col("log_day") >= F.lit(OLD_BEFORE_DAY))
+                        & (F.col("vt_ms") >= F.lit(OLD_BEFORE_MS)))
 
 
 def journal_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:

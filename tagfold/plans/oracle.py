@@ -178,7 +178,7 @@ tag_rows AS (
   UNION ALL SELECT usr, 'SearchKeyword', module, tag, w, vt_ms FROM search_rows
 ),
 old_tags AS (
-  SELECT usr, dim, module, tag, sum(w) AS weight, max(vt_ms) AS last_ms
+  SELECT usr, dim, module, tag, round(sum(w), 4) AS weight, max(vt_ms) AS last_ms
   FROM tag_rows WHERE usr <> '' AND vt_ms < """ + str(OLD_BEFORE) + """ GROUP BY ALL
 ),
 new_rows AS (
@@ -216,7 +216,7 @@ decayed AS (
   FROM old_tags WHERE dim = 'RecentRelatedAuthor'
 ),
 updated AS (
-  SELECT usr, dim, module, tag, sum(weight) AS weight, max(last_ms) AS last_ms
+  SELECT usr, dim, module, tag, round(sum(weight), 4) AS weight, max(last_ms) AS last_ms
   FROM (SELECT * FROM decayed UNION ALL SELECT * FROM new_rows) GROUP BY ALL
 ),
 users AS (
@@ -230,7 +230,7 @@ def _json_str(x: str) -> str:
 
 
 def _entry(tag: str, weight: str, last_ms: str) -> str:
-    return (f"""{_json_str(tag)} || ':{{"weight":' || CAST({weight} AS VARCHAR) || ',"dateTime":"' """
+    return (f"""{_json_str(tag)} || ':{{"weight":' || CAST(round({weight}, 4) AS VARCHAR) || ',"dateTime":"' """
             f"""|| coalesce(CAST({last_ms} AS VARCHAR), '') || '"}}'""")
 
 

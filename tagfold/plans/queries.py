@@ -15,6 +15,7 @@ from ..operators import portrait as pt
 from ..operators import stats as st
 from ..schemas import (DIM_RECENT_AUTHOR, DIM_RECENT_INTEREST, DIM_SEARCH, DIM_SUBJECT,
                        DIM_SUBSUBJECT, DIM_TOTAL_AUTHOR, DIM_TOTAL_INTEREST, DIMS)
+from ..session import checkpoint_dir, materialized
 from ..sources.tables import load
 
 STOP = fx.FIXTURE_STOP_NAMES
@@ -31,6 +32,7 @@ def prepare_session(spark: SparkSession) -> None:
     of the NTZ timestamps, and a checkpoint folder (kept when the cluster
     names one)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    checkpoint_dir(spark)
 
 
 def formatted_log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,9 +142,18 @@ def q_decay_factor(spark, sf_dir):
                     F.round(decay_factor(F.col("days"), 60, 0.5), 10).alias("f60"))
 
 
+def stored_portrait(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored portrait an update starts from (long form, all seven
+    dimensions): the portrait of the log rows before the split, written once
+    as a table like the portrait table the daily job reads."""
+    def build():
+        old, _ = _old_new(spark, sf_dir)
+        return pt.log_portrait(old, DIMS, STOP)
+    return materialized(spark, f"portrait:{sf_dir}", build)
+
+
 def _old_portrait(spark, sf_dir, dims=DIMS):
-    old, _ = _old_new(spark, sf_dir)
-    return pt.log_portrait(old, dims, STOP)
+    return stored_portrait(spark, sf_dir).where(F.col("dim").isin(list(dims)))
 
 
 def q_decay_recent_interest(spark, sf_dir):
@@ -180,8 +191,8 @@ def q_decay_guest_nested(spark, sf_dir):
 # ------------------------------------------------------------ merges
 
 def _merge_dim(spark, sf_dir, dim):
-    old, new = _old_new(spark, sf_dir)
-    merged = pt.merge_portraits(pt.log_portrait(old, [dim], STOP), pt.log_tag_rows(new, [dim], STOP))
+    _, new = _old_new(spark, sf_dir)
+    merged = pt.merge_portraits(_old_portrait(spark, sf_dir, [dim]), pt.log_tag_rows(new, [dim], STOP))
     return _long(merged)
 
 
@@ -220,9 +231,9 @@ def q_new_guests(spark, sf_dir):
 
 def _updated(spark, sf_dir):
     old, new = _old_new(spark, sf_dir)
-    old_tags = pt.log_portrait(old, DIMS, STOP)
-    users = pt.log_users(old).unionByName(pt.new_users(pt.log_users(old), new))
-    return users, pt.portrait_update(old_tags, new, AS_OF, STOP)
+    known = pt.log_users(old)
+    users = known.unionByName(pt.new_users(known, new))
+    return users, pt.portrait_update(stored_portrait(spark, sf_dir), new, AS_OF, STOP)
 
 
 def q_portrait_update(spark, sf_dir):

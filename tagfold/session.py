@@ -59,10 +59,32 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-path of the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"{name}-{os.getpid()}-{next(_counter)}")
+    base = checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}-{os.getpid()}-{next(_counter)}"
+
+
+_TABLES: dict[tuple, str] = {}
+
+
+def materialized(spark: SparkSession, key: str, build, partition_by: list[str] | None = None):
+    """Write ``build()`` once per application as a parquet table under the
+    shared checkpoint folder and return a scan of it.
+
+    Used for the tables a job chain hands from one step to the next (the
+    formatted log, a stored portrait): every later query reads parquet with
+    pushdown and pruning instead of re-deriving the input, and the lineage is
+    cut, so a lost executor re-reads files rather than recomputing joins.
+    """
+    k = (spark.sparkContext.applicationId, key)
+    path = _TABLES.get(k)
+    if path is None:
+        path = scratch_path(spark, "tbl")
+        w = build().write.mode("overwrite")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(path)
+        _TABLES[k] = path
+    return spark.read.parquet(path)
 
 
 def _count():
