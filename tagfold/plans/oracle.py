@@ -523,3 +523,31 @@ SELECT CAST(row_number() OVER (ORDER BY name) - 1 AS BIGINT) AS UserID, name AS
        '' AS SingleArticleInterest, '' AS latest_log_time
 FROM d""",
 }
+
+
+# TF-IDF over whole documents: tokens = runs of a-z in the lower-cased text,
+# length >= 3; idf = ln((N + 1) / (df + 1)); ties by term.
+TFIDF = """
+toks AS (
+  SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z]+'),
+                                    lambda t: length(t) >= 3)) AS term
+  FROM documents
+),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+n AS (SELECT count(*) AS n FROM documents),
+sc AS (
+  SELECT tf.doc_id, tf.term, tf.tf * ln((n.n + 1.0) / (df.df + 1.0)) AS score
+  FROM tf JOIN df USING (term) CROSS JOIN n
+),
+rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, term) AS rank FROM sc)"""
+
+ORACLE_SQL["tfidf_keywords"] = "WITH " + TFIDF + """
+SELECT doc_id, CAST(rank AS INTEGER) AS rank, term, round(score, 6) AS score FROM rk WHERE rank <= 25"""
+
+ORACLE_SQL["catalog_keywords"] = "WITH " + TFIDF + f"""
+SELECT rk.doc_id, d.source AS class,
+       '{{' || {_json_str('d.source')} || ':{{' ||
+       string_agg({_json_str('rk.term')} || ':' || printf('%.4f', round(rk.score, 4)), ',' ORDER BY rk.rank)
+       || '}}}}' AS keywords
+FROM rk JOIN documents d USING (doc_id) WHERE rk.rank <= 10 GROUP BY rk.doc_id, d.source"""

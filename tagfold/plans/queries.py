@@ -13,6 +13,7 @@ from ..functions.tags import is_human
 from ..operators import filters as flt
 from ..operators import portrait as pt
 from ..operators import stats as st
+from ..operators import text as tx
 from ..schemas import (DIM_RECENT_AUTHOR, DIM_RECENT_INTEREST, DIM_SEARCH, DIM_SUBJECT,
                        DIM_SUBSUBJECT, DIM_TOTAL_AUTHOR, DIM_TOTAL_INTEREST, DIMS)
 from ..session import checkpoint_dir, materialized
@@ -270,6 +271,32 @@ def q_initial_roster(spark, sf_dir):
                                              "latest_log_time")
 
 
+# ------------------------------------------------------------ text features
+
+def _documents(spark, sf_dir):
+    return load(spark, sf_dir, "documents").select("doc_id", "text", "source")
+
+
+def q_tfidf_keywords(spark, sf_dir):
+    return tx.tfidf_keywords(_documents(spark, sf_dir), 25)
+
+
+def q_catalog_keywords(spark, sf_dir):
+    return tx.catalog_keywords(_documents(spark, sf_dir), "doc_id", "source", "text", 10)
+
+
+def q_hashing_tfidf(spark, sf_dir):
+    return tx.hashing_tfidf(_documents(spark, sf_dir), 20)
+
+
+def q_count_tfidf(spark, sf_dir):
+    return tx.count_tfidf(_documents(spark, sf_dir), 5)
+
+
+def q_word2vec_vectors(spark, sf_dir):
+    return tx.word2vec_vectors(_documents(spark, sf_dir), 3, 0, 42)
+
+
 QUERIES = {
     "article_ranking": q_article_ranking,
     "book_ranking": q_book_ranking,
@@ -304,4 +331,9 @@ QUERIES = {
     "guest_portrait": q_guest_portrait,
     "legacy_keyword_portrait": q_legacy_keyword_portrait,
     "initial_roster": q_initial_roster,
+    "tfidf_keywords": q_tfidf_keywords,
+    "catalog_keywords": q_catalog_keywords,
+    "hashing_tfidf": q_hashing_tfidf,
+    "count_tfidf": q_count_tfidf,
+    "word2vec_vectors": q_word2vec_vectors,
 }
