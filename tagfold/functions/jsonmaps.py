@@ -35,7 +35,8 @@ def tag_entry(tag: Column, weight: Column, last_ms: Column) -> Column:
 
 
 def score_entry(key: Column, score: Column) -> Column:
-    return F.concat(json_string(key), F.lit(":"), score.cast("string"))
+    """``"key":score`` with the score rounded to 4 decimals."""
+    return F.concat(json_string(key), F.lit(":"), F.round(score, 4).cast("string"))
 
 
 def object_of(sorted_entries: Column) -> Column:

@@ -336,7 +336,7 @@ def guest_portrait(old_scores: DataFrame, new_guest_log: DataFrame, as_of_ms: in
 def guest_scores_json(scores: DataFrame) -> DataFrame:
     """(user, code, score) -> (user, SingleArticleInterest JSON), scores desc."""
     g = scores.groupBy("user").agg(F.array_sort(F.collect_list(F.struct(
-        (-F.col("score")).alias("k1"), F.col("code").alias("k2"),
+        (-F.round(F.col("score"), 4)).alias("k1"), F.col("code").alias("k2"),
         J.score_entry(F.col("code"), F.col("score")).alias("e")))).alias("es"))
     return g.select("user", J.object_of(F.col("es")).alias("SingleArticleInterest"))
 

@@ -149,3 +149,29 @@ def web_log_lines(log_df: DataFrame) -> DataFrame:
               F.replace(F.col("ua"), F.lit(" "), F.lit("+")), F.lit("-"), F.lit("200"),
               F.lit("0"), F.lit("0"), F.lit("15")]
     return log_df.select(F.concat_ws(" ", *fields).alias("value"))
+
+
+# Fixed values of the raw-log fixture: the text before "<digit>] " and the
+# shares of deliberately broken lines (chosen by the millisecond of vt).
+RAW_PREFIX = "2024-01-01 00:00:00 [INFO 1] "
+
+
+def raw_log_lines(log_df: DataFrame) -> DataFrame:
+    """S2 stand-in: one text line per log row, ``RAW_PREFIX + JSON``; empty
+    fields are left out of the JSON (missing keys). Rows whose ``vt``
+    millisecond is below 20 lose the ``digit] `` marker and rows in [20, 40)
+    carry a truncated JSON object, so both rejection paths are exercised."""
+    rec = F.struct(*[F.when(F.col(f) != "", F.col(f)).alias(f) for f in LOG_FIELDS])
+    js = F.to_json(rec)
+    ms = F.col("vt_ms") % 1000
+    line = (F.when(ms < 20, F.concat(F.lit("2024-01-01 00:00:00 [INFO] "), js))
+            .when(ms < 40, F.concat(F.lit(RAW_PREFIX), F.substring(js, 1, 40)))
+            .otherwise(F.concat(F.lit(RAW_PREFIX), js)))
+    return log_df.select(line.alias("value"))
+
+
+def user_agent_store(log_df: DataFrame) -> DataFrame:
+    """S21 stand-in: a (key, value) store of user agents (blanks as '+')
+    with their row counts."""
+    return (log_df.groupBy(F.replace(F.col("ua"), F.lit(" "), F.lit("+")).alias("key"))
+            .agg(F.count(F.lit(1)).cast("string").alias("value")))

@@ -11,6 +11,7 @@ floating-point division.
 from __future__ import annotations
 
 from ..functions.tags import ARTICLE_ACTIONS, BOT_MARKERS
+from ..schemas import GUEST_COLUMNS, LOG_FIELDS, PORTRAIT_COLUMNS
 from ..operators.filters import OTHER_TYPE, TYPE_CLASSES
 from . import fixtures as fx
 
@@ -551,3 +552,73 @@ SELECT rk.doc_id, d.source AS class,
        string_agg({_json_str('rk.term')} || ':' || printf('%.4f', round(rk.score, 4)), ',' ORDER BY rk.rank)
        || '}}}}' AS keywords
 FROM rk JOIN documents d USING (doc_id) WHERE rk.rank <= 10 GROUP BY rk.doc_id, d.source"""
+
+
+# The 20 log fields as text, from a log relation with the fixture's columns.
+_FIELD_EXPR = {"vt": "CAST(vt_ms AS VARCHAR)", "un": "un", "gki": "gki", "ac": "ac", "ro": "ro", "ri": "ri",
+               "rkd": "rkd", "sw": "sw", "ua": "ua", "rcc": "rcc", "au": "au"}
+FIELDS = ", ".join(f"{_FIELD_EXPR.get(f, chr(39) * 2)} AS {f}" for f in LOG_FIELDS)
+
+# Raw lines whose vt millisecond is below 40 are broken (no marker, or a
+# truncated JSON object) and rejected by the reader.
+ORACLE_SQL["parse_raw_log"] = "WITH " + LOG + f"""
+SELECT {FIELDS} FROM log WHERE vt_ms % 1000 >= 40"""
+
+ORACLE_SQL["format_user_log"] = "WITH " + LOG + f"""
+SELECT {FIELDS} FROM hlog WHERE vt_ms % 1000 >= 40"""
+
+ORACLE_SQL["read_portrait_text"] = ORACLE_SQL["portrait_wide"]
+
+GUEST_WIDE = "WITH " + LOG + "," + OLD_GUEST + f""",
+fresh AS (
+  SELECT gki AS usr, code, CAST(count(*) AS DOUBLE) AS score
+  FROM (SELECT gki, unnest(list_filter(string_split(rcc, ';'), lambda c: c <> '')) AS code
+        FROM g_all WHERE vt_ms >= {OLD_BEFORE}) GROUP BY ALL
+),
+u AS (SELECT usr, code, score FROM g_decayed WHERE score >= 0.01 UNION ALL SELECT * FROM fresh),
+gp AS (SELECT usr, code, round(sum(score), 4) AS score FROM u GROUP BY usr, code),
+gj AS (
+  SELECT usr, '{{' || string_agg({_json_str('code')} || ':' || CAST(score AS VARCHAR), ','
+                                 ORDER BY score DESC, code) || '}}' AS js
+  FROM gp GROUP BY usr
+)"""
+
+ORACLE_SQL["read_guest_portrait"] = GUEST_WIDE + f"""
+SELECT TRY_CAST(substr(usr, 2) AS BIGINT) AS UserID, usr AS UserName, '' AS LawOfworkAndRest, '' AS Area,
+       0 AS Age, 0 AS Gender, js AS SingleArticleInterest,
+       {", ".join(f"'{{}}' AS {c}" for c in GUEST_COLUMNS[7:13])},
+       {_q(fx.AS_OF_TEXT)} AS latest_log_time
+FROM gj"""
+
+ORACLE_SQL["portrait_reproject"] = GUEST_WIDE + f"""
+SELECT usr AS UserName, '' AS LawOfworkAndRest, '' AS Area, 0 AS Age, 0 AS Gender,
+       {", ".join(f"'{{}}' AS {c}" for c in PORTRAIT_COLUMNS[5:15])},
+       {_q(fx.AS_OF_TEXT)} AS latest_log_time
+FROM gj"""
+
+_QUALS = ["ac", "ci", "dt", "gki", "rcc", "rkd", "ri", "sw", "ua", "un", "vt"]
+CELLS = f""",
+full_log AS (SELECT {FIELDS} FROM hlog),
+keyed AS (
+  SELECT md5(concat_ws(chr(1), {", ".join(LOG_FIELDS)})) || '-' || vt AS row_key, * FROM full_log
+),
+cells AS (
+  SELECT row_key, 'cf1' AS family, c.qualifier, c.value
+  FROM (SELECT row_key, unnest([{", ".join(f"struct_pack(qualifier := '{q}', value := {q})" for q in _QUALS)}]) AS c
+        FROM keyed)
+)"""
+
+ORACLE_SQL["log_to_cells"] = "WITH " + LOG + CELLS + """
+SELECT row_key, family, qualifier, value FROM cells"""
+
+ORACLE_SQL["cell_range_scan"] = "WITH " + LOG + CELLS + f"""
+SELECT row_key, {", ".join(f"max(CASE WHEN qualifier = '{q}' THEN value END) AS {q}" for q in _QUALS)}
+FROM cells WHERE row_key >= '4' AND row_key < '8' GROUP BY row_key"""
+
+ORACLE_SQL["key_pattern_scan"] = "WITH " + LOG + """
+SELECT replace(ua, ' ', '+') AS key, CAST(count(*) AS VARCHAR) AS value FROM log GROUP BY 1
+HAVING replace(ua, ' ', '+') LIKE 'Mozilla/5.0+%'"""
+
+ORACLE_SQL["publish_location"] = "WITH " + LOG + f"""
+SELECT ri, count(ri) AS visits FROM hlog WHERE ro = 'article' AND vt_ms >= {OLD_BEFORE}
+GROUP BY ri ORDER BY visits DESC, ri LIMIT 100"""

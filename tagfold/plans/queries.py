@@ -14,6 +14,10 @@ from ..operators import filters as flt
 from ..operators import portrait as pt
 from ..operators import stats as st
 from ..operators import text as tx
+from ..schemas import GUEST_COLUMNS, LOG_FIELDS, PORTRAIT_COLUMNS
+from ..session import scratch_path
+from ..sinks import writers as wr
+from ..sources import readers as rd
 from ..schemas import (DIM_RECENT_AUTHOR, DIM_RECENT_INTEREST, DIM_SEARCH, DIM_SUBJECT,
                        DIM_SUBSUBJECT, DIM_TOTAL_AUTHOR, DIM_TOTAL_INTEREST, DIMS)
 from ..session import checkpoint_dir, materialized
@@ -297,6 +301,88 @@ def q_word2vec_vectors(spark, sf_dir):
     return tx.word2vec_vectors(_documents(spark, sf_dir), 3, 0, 42)
 
 
+# ------------------------------------------------------------ sources and sinks
+
+def q_parse_raw_log(spark, sf_dir):
+    return rd.read_raw_log(fx.raw_log_lines(fx.log(spark, sf_dir)))
+
+
+def q_format_user_log(spark, sf_dir):
+    """S3: raw lines -> parsed -> crawler filter -> parquet (fresh path) -> read."""
+    parsed = flt.bot_filter(rd.read_raw_log(fx.raw_log_lines(fx.log(spark, sf_dir))))
+    path = wr.write_parquet(parsed, scratch_path(spark, "formatted-log"))
+    return spark.read.parquet(path)
+
+
+def q_read_portrait_text(spark, sf_dir):
+    """S4 round trip: the wide portrait written as '&' text and read back."""
+    path = wr.write_delimited(q_portrait_wide(spark, sf_dir), scratch_path(spark, "portrait-text"), "&")
+    return rd.read_portrait_text(spark, path, "&")
+
+
+def _guest_wide(spark, sf_dir):
+    """The guest portrait in the 14-column legacy layout (score maps as JSON)."""
+    _, new = _old_new(spark, sf_dir)
+    g = pt.guest_portrait(_old_guest_scores(spark, sf_dir), flt.guests(new), AS_OF)
+    js = pt.guest_scores_json(g)
+    cols = {"UserID": F.substring(F.col("user"), 2, 64).try_cast("long"), "UserName": F.col("user"),
+            "Age": F.lit(0), "Gender": F.lit(0), "SingleArticleInterest": F.col("SingleArticleInterest"),
+            "latest_log_time": F.lit(fx.AS_OF_TEXT), "LawOfworkAndRest": F.lit(""), "Area": F.lit("")}
+    return js.select(*[(cols[c] if c in cols else F.lit("")).alias(c) for c in GUEST_COLUMNS])
+
+
+def q_read_guest_portrait(spark, sf_dir):
+    """S5 round trip: guest portrait as '&' text, read back with the run time."""
+    path = wr.write_delimited(_guest_wide(spark, sf_dir), scratch_path(spark, "guest-text"), "&")
+    return rd.read_guest_portrait(spark, path, fx.AS_OF_TEXT, "&")
+
+
+def q_portrait_reproject(spark, sf_dir):
+    """legacy guest portrait text re-read into the current 16 columns."""
+    path = wr.write_delimited(_guest_wide(spark, sf_dir), scratch_path(spark, "guest-text"), "&")
+    legacy = rd.read_guest_portrait(spark, path, fx.AS_OF_TEXT, "&")
+    defaults = {c: F.lit("{}") for c in PORTRAIT_COLUMNS}
+    return rd.reproject(legacy, PORTRAIT_COLUMNS, defaults)
+
+
+def q_log_to_cells(spark, sf_dir):
+    return wr.log_to_cells(formatted_log(spark, sf_dir))
+
+
+# Fixed values of the range-scan check: keys from '4' up to (not including) '8'.
+RANGE_LO, RANGE_HI = "4", "8"
+
+
+def q_cell_range_scan(spark, sf_dir):
+    """Range scan of the stored cell table (written once, sorted)."""
+    cells = materialized(spark, f"cells:{sf_dir}", lambda: wr.log_to_cells(formatted_log(spark, sf_dir)))
+    return rd.cell_range_scan(cells, RANGE_LO, RANGE_HI, wr.CELL_QUALIFIERS)
+
+
+# Fixed value: the key glob of the key-value scan.
+KEY_GLOB = "Mozilla/5.0+*"
+
+
+def q_key_pattern_scan(spark, sf_dir):
+    return rd.key_pattern_scan(fx.user_agent_store(fx.log(spark, sf_dir)), KEY_GLOB)
+
+
+_published = [0]
+
+
+def q_publish_location(spark, sf_dir):
+    """K5: yesterday's ranking is published, then the table is switched to
+    today's ranking at a new dated path; the query reads the table."""
+    old, new = _old_new(spark, sf_dir)
+    p1 = wr.write_parquet(st.resource_ranking(old, "article", 100), scratch_path(spark, "ranking-d1"))
+    p2 = wr.write_parquet(st.resource_ranking(new, "article", 100), scratch_path(spark, "ranking-d2"))
+    _published[0] += 1
+    name = f"tagfold_article_ranking_{_published[0]}"
+    wr.publish_location(spark, name, p1)
+    wr.publish_location(spark, name, p2)
+    return spark.table(name)
+
+
 QUERIES = {
     "article_ranking": q_article_ranking,
     "book_ranking": q_book_ranking,
@@ -336,4 +422,13 @@ QUERIES = {
     "hashing_tfidf": q_hashing_tfidf,
     "count_tfidf": q_count_tfidf,
     "word2vec_vectors": q_word2vec_vectors,
+    "parse_raw_log": q_parse_raw_log,
+    "format_user_log": q_format_user_log,
+    "read_portrait_text": q_read_portrait_text,
+    "read_guest_portrait": q_read_guest_portrait,
+    "portrait_reproject": q_portrait_reproject,
+    "log_to_cells": q_log_to_cells,
+    "cell_range_scan": q_cell_range_scan,
+    "key_pattern_scan": q_key_pattern_scan,
+    "publish_location": q_publish_location,
 }
