@@ -622,3 +622,35 @@ HAVING replace(ua, ' ', '+') LIKE 'Mozilla/5.0+%'"""
 ORACLE_SQL["publish_location"] = "WITH " + LOG + f"""
 SELECT ri, count(ri) AS visits FROM hlog WHERE ro = 'article' AND vt_ms >= {OLD_BEFORE}
 GROUP BY ri ORDER BY visits DESC, ri LIMIT 100"""
+
+
+ORACLE_SQL["content_match"] = _with("kw") + f""",
+old_p AS (
+  SELECT usr, module, tag, round(sum(w), 4) AS weight
+  FROM kw_rows WHERE usr <> '' AND vt_ms < {OLD_BEFORE} GROUP BY ALL
+),
+pairs AS (SELECT DISTINCT usr, ri FROM art a JOIN hlog h USING (event_id) WHERE h.vt_ms >= {OLD_BEFORE}),
+items AS (SELECT DISTINCT ri, rcc, rkd FROM hlog),
+it_parts AS (
+  SELECT ri,
+    list_distinct(list_transform(list_filter(string_split(rcc, ';'), lambda c: length(c) >= 4),
+                                 lambda c: substr(c, 1, 4))) AS mods,
+    string_split(regexp_replace(coalesce(rkd, ''), '[< >]', '', 'g'), '$$$') AS p
+  FROM items
+),
+it_cut AS (
+  SELECT ri, mods, p,
+    len(p) - coalesce(list_position(list_transform(list_reverse(p), lambda x: x <> ''), true) - 1, len(p)) AS n
+  FROM it_parts
+),
+it_kw AS (
+  SELECT ri, mods, list_distinct(list_transform(list_filter(regexp_split_to_array(
+      coalesce(CASE WHEN n = 2 THEN p[2] WHEN n = 1 THEN p[1] END, ''), '[, ;$]'), lambda x: x <> ''),
+      lambda x: lower(x))) AS kws
+  FROM it_cut
+),
+it_m AS (SELECT ri, unnest(mods) AS module, kws FROM it_kw),
+it AS (SELECT DISTINCT ri, module, unnest(kws) AS tag FROM it_m)
+SELECT p.usr AS "user", p.ri AS item, round(sum(o.weight * 1.0), 4) AS score
+FROM pairs p JOIN it ON p.ri = it.ri JOIN old_p o ON o.usr = p.usr AND o.module = it.module AND o.tag = it.tag
+GROUP BY p.usr, p.ri"""

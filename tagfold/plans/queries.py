@@ -13,6 +13,7 @@ from ..functions.tags import is_human
 from ..operators import filters as flt
 from ..operators import portrait as pt
 from ..operators import stats as st
+from ..operators import recommend as rc
 from ..operators import text as tx
 from ..schemas import GUEST_COLUMNS, LOG_FIELDS, PORTRAIT_COLUMNS
 from ..session import scratch_path
@@ -383,6 +384,43 @@ def q_publish_location(spark, sf_dir):
     return spark.table(name)
 
 
+# ------------------------------------------------------------ recommendation
+
+def _ratings(spark, sf_dir):
+    """R1 input: events as (user, item = props.k, rating = value)."""
+    e = load(spark, sf_dir, "events").select("event_id", "user_id", "props", "value")
+    item = F.get_json_object("props", "$.k").try_cast("int")
+    return e.select("event_id", F.col("user_id").cast("int").alias("user_id"), item.alias("item_id"),
+                    F.col("value").cast("float").alias("rating")).where(F.col("item_id").isNotNull())
+
+
+def _als(spark, sf_dir):
+    train, test = rc.hash_split(_ratings(spark, sf_dir), "event_id")
+    return rc.als_model(train), test
+
+
+def q_als_rmse(spark, sf_dir):
+    model, test = _als(spark, sf_dir)
+    return rc.als_rmse(model, test)
+
+
+def q_als_recommend(spark, sf_dir):
+    model, _ = _als(spark, sf_dir)
+    names = load(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("item_id"),
+                                                F.col("p_name").alias("item_name"))
+    return rc.als_recommend(model, names, 10)
+
+
+def q_content_match(spark, sf_dir):
+    """R3 over the new log's (user, article) reads, scored against the
+    stored keyword-interest portrait."""
+    _, new = _old_new(spark, sf_dir)
+    reads = new.where(pt._is_article_read() & (F.col("un") != ""))
+    pairs = reads.select(F.regexp_replace("un", '[ "]', "").alias("user"), F.col("ri").alias("item")).distinct()
+    items = formatted_log(spark, sf_dir).select(F.col("ri").alias("item"), "rcc", "rkd").distinct()
+    return rc.content_match(pairs, _old_portrait(spark, sf_dir, [DIM_TOTAL_INTEREST]), items)
+
+
 QUERIES = {
     "article_ranking": q_article_ranking,
     "book_ranking": q_book_ranking,
@@ -431,4 +469,7 @@ QUERIES = {
     "cell_range_scan": q_cell_range_scan,
     "key_pattern_scan": q_key_pattern_scan,
     "publish_location": q_publish_location,
+    "als_rmse": q_als_rmse,
+    "als_recommend": q_als_recommend,
+    "content_match": q_content_match,
 }
