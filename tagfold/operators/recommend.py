@@ -30,6 +30,18 @@ def als_model(train: DataFrame, max_iter: int = 5, reg: float = 0.01, seed: int
     return als.fit(train)
 
 
+def load_or_train(path: str, train: DataFrame, **params):
+    """Load the ALS model saved at ``path`` when it exists,
+    otherwise train it and save it there."""
+    from pyspark.ml.recommendation import ALSModel
+    try:
+        return ALSModel.load(path)
+    except Exception:  # noqa: BLE001 -- no model at that path yet
+        model = als_model(train, **params)
+        model.write().overwrite().save(path)
+        return model
+
+
 def als_rmse(model, test: DataFrame) -> DataFrame:
     """Test-set RMSE (plus the number of scored rows) as a one-row frame."""
     p = model.transform(test)

@@ -654,3 +654,5 @@ it AS (SELECT DISTINCT ri, module, unnest(kws) AS tag FROM it_m)
 SELECT p.usr AS "user", p.ri AS item, round(sum(o.weight * 1.0), 4) AS score
 FROM pairs p JOIN it ON p.ri = it.ri JOIN old_p o ON o.usr = p.usr AND o.module = it.module AND o.tag = it.tag
 GROUP BY p.usr, p.ri"""
+
+ORACLE_SQL["ua_daily_export"] = ORACLE_SQL["ua_daily_counts"]

@@ -368,6 +368,15 @@ def q_key_pattern_scan(spark, sf_dir):
     return rd.key_pattern_scan(fx.user_agent_store(fx.log(spark, sf_dir)), KEY_GLOB)
 
 
+def q_ua_daily_export(spark, sf_dir):
+    """K4: daily user-agent counts written one directory per date (sorted by
+    count inside), read back with the date from the directory names."""
+    counts = q_ua_daily_counts(spark, sf_dir)
+    path = wr.write_partitioned_by_date(counts, scratch_path(spark, "ua-daily"), "date", "count")
+    back = spark.read.csv(path, schema="userAgent string, count int, date string", sep=",")
+    return back.select("date", "userAgent", "count")
+
+
 _published = [0]
 
 
@@ -395,8 +404,16 @@ def _ratings(spark, sf_dir):
 
 
 def _als(spark, sf_dir):
+    """Model trained once per application and kept under the shared folder
+    (S22: a later query loads it instead of training again)."""
     train, test = rc.hash_split(_ratings(spark, sf_dir), "event_id")
-    return rc.als_model(train), test
+    key = f"als:{sf_dir}"
+    if key not in _MODELS:
+        _MODELS[key] = scratch_path(spark, "als-model")
+    return rc.load_or_train(_MODELS[key], train), test
+
+
+_MODELS: dict[str, str] = {}
 
 
 def q_als_rmse(spark, sf_dir):
@@ -469,6 +486,7 @@ QUERIES = {
     "cell_range_scan": q_cell_range_scan,
     "key_pattern_scan": q_key_pattern_scan,
     "publish_location": q_publish_location,
+    "ua_daily_export": q_ua_daily_export,
     "als_rmse": q_als_rmse,
     "als_recommend": q_als_recommend,
     "content_match": q_content_match,

@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Column family and the qualifiers of the cell layout, sorted.
+# Column family and the qualifiers of the cell layout (cells are
+# emitted in byte order of (row_key, qualifier), as a sorted bulk load needs).
 CELL_FAMILY = "cf1"
 CELL_QUALIFIERS = ["ac", "ci", "dt", "gki", "rcc", "rkd", "ri", "sw", "ua", "un", "vt"]
 

@@ -114,3 +114,42 @@ def cell_range_scan(cells: DataFrame, lo: str, hi: str, qualifiers: list[str]) -
     c = cells.where((F.col("row_key") >= F.lit(lo)) & (F.col("row_key") < F.lit(hi)))
     return c.groupBy("row_key").agg(*[
         F.max(F.when(F.col("qualifier") == q, F.col("value"))).alias(q) for q in qualifiers])
+
+
+def read_related_authors(spark: SparkSession, path: str, sep: str = "&") -> DataFrame:
+    """(UserName, TotalRelatedAuthor, RecentRelatedAuthor) text; JSON
+    columns default to '{}' (the reference's extra stripped character is not
+    reproduced)."""
+    schema = "UserName string, TotalRelatedAuthor string, RecentRelatedAuthor string"
+    df = spark.read.csv(path, schema=schema, sep=sep, mode="PERMISSIVE")
+    return df.select(F.coalesce(F.col("UserName"), F.lit("")).alias("UserName"),
+                     _json_default(F.col("TotalRelatedAuthor")).alias("TotalRelatedAuthor"),
+                     _json_default(F.col("RecentRelatedAuthor")).alias("RecentRelatedAuthor")
+                     ).where(F.col("UserName") != "")
+
+
+def read_preference_portrait(spark: SparkSession, path: str, sep: str = ";") -> DataFrame:
+    """``id;name;prefList;latest_log_time`` with prefList a JSON
+    score map ``{class: {keyword: score}}`` parsed to a nested map (bad
+    text -> empty map)."""
+    schema = "id string, name string, prefList string, latest_log_time string"
+    df = spark.read.csv(path, schema=schema, sep=sep, mode="PERMISSIVE")
+    m = F.from_json(F.col("prefList"), "map<string,map<string,double>>")
+    return df.select("id", "name", F.coalesce(m, F.create_map().cast("map<string,map<string,double>>"))
+                     .alias("prefList"), "latest_log_time")
+
+
+def read_raw_catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """S17: '::'-separated catalogue lines with exactly 8 fields; '&' is
+    removed from title and content."""
+    f = F.split(F.col("value"), "::")
+    lines = spark.read.text(path)
+    return lines.where(F.size(f) == 8).select(
+        F.get(f, 0).alias("id"), F.replace(F.get(f, 2), F.lit("&"), F.lit("")).alias("title"),
+        F.replace(F.get(f, 3), F.lit("&"), F.lit("")).alias("content"), F.get(f, 6).alias("class"))
+
+
+def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per file, (file_name, content)."""
+    df = spark.read.text(path, wholetext=True)
+    return df.select(F.col("_metadata.file_path").alias("file_name"), F.col("value").alias("content"))
