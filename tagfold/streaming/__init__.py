@@ -1,0 +1,4 @@
+"""Streaming: the reference has no streaming job (no stream source, trigger,
+watermark or stateful operator), so nothing is built here. The daily
+"stored portrait + yesterday's log" fold (``operators.portrait.portrait_update``)
+is its incremental form, run as a batch over day partitions."""
