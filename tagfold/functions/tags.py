@@ -95,12 +95,17 @@ def _non_empty(arr: Column) -> Column:
 
 def java_split(s: Column, pattern: str) -> Column:
     """Regex split with JVM ``String.split`` semantics: trailing empty pieces
-    are removed (Spark's ``split`` keeps them)."""
-    parts = F.split(s, pattern)
-    rev_nonempty = F.transform(F.reverse(parts), lambda x: x != "")
-    first = F.array_position(rev_nonempty, True)  # 1-based, 0 when all empty
-    return F.when(first == 0, F.array().cast("array<string>")).otherwise(
-        F.slice(parts, 1, F.size(parts) - first + 1))
+    are removed (Spark's ``split`` keeps them). One pass over the pieces:
+    empties are held back and released only when a non-empty piece follows,
+    so the split array is referenced once (no repeated regex evaluation)."""
+    empty = F.array().cast("array<string>")
+    init = F.struct(empty.alias("out"), empty.alias("pend"))
+
+    def step(acc, x):
+        return F.when(x == "", F.struct(acc["out"].alias("out"), F.concat(acc["pend"], F.array(x)).alias("pend"))) \
+            .otherwise(F.struct(F.concat(acc["out"], acc["pend"], F.array(x)).alias("out"), empty.alias("pend")))
+
+    return F.aggregate(F.split(s, pattern), init, step, lambda acc: acc["out"])
 
 
 def subject_codes(rcc: Column) -> Column:
@@ -126,9 +131,9 @@ def interest_keywords(rkd: Column) -> Column:
     second, one piece -> it, otherwise none), split on comma/blank/';'/'$',
     non-empty, lower-cased, distinct."""
     cleaned = F.regexp_replace(F.coalesce(rkd, F.lit("")), "[< >]", "")
-    pieces = java_split(cleaned, r"\$\$\$")
-    n = F.size(pieces)
-    chosen = F.when(n == 2, F.get(pieces, 1)).when(n == 1, F.get(pieces, 0))
+    # the choice is made inside a lambda so the pieces are computed once
+    chosen = F.aggregate(F.array(java_split(cleaned, r"\$\$\$")), F.lit(None).cast("string"),
+                         lambda acc, p: F.when(F.size(p) == 2, F.get(p, 1)).when(F.size(p) == 1, F.get(p, 0)))
     words = _non_empty(F.split(F.coalesce(chosen, F.lit("")), r"[, ;$]"))
     return F.array_distinct(F.transform(words, F.lower))
 

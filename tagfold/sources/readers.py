@@ -28,10 +28,12 @@ def parse_log_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Split each line on ``<digit>] `` (JVM split semantics); exactly two
     pieces, the second a JSON object; the 20 fields, a missing or null key
     giving ''. Adds ``ok`` (false for unsplittable lines and bad JSON)."""
-    parts = java_split(F.col(value_col), LOG_LINE_SPLIT)
-    js = F.when(F.size(parts) == 2, F.get(parts, 1))
-    rec = F.from_json(js, _LOG_WITH_CORRUPT, {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
-    t = lines.select(js.alias("_js"), rec.alias("r"))
+    # staged projections: the split and the JSON parse each run once per line
+    t = lines.select(java_split(F.col(value_col), LOG_LINE_SPLIT).alias("_p"))
+    t = t.select(F.when(F.size("_p") == 2, F.get(F.col("_p"), 1)).alias("_js"))
+    rec = F.from_json(F.col("_js"), _LOG_WITH_CORRUPT,
+                      {"columnNameOfCorruptRecord": "_corrupt", "mode": "PERMISSIVE"})
+    t = t.select("_js", rec.alias("r"))
     ok = F.col("_js").isNotNull() & F.col("r").isNotNull() & F.col("r._corrupt").isNull()
     return t.select(*[F.coalesce(F.col(f"r.{f}"), F.lit("")).alias(f) for f in LOG_FIELDS], ok.alias("ok"))
 
