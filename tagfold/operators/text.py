@@ -41,9 +41,15 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """(doc_id, term, tf, df, score) with ``score = tf * ln((N+1)/(df+1))``.
 
     N is one scalar (a count job); the document frequencies come from the
-    (doc, term) aggregate, so a document counts once per term."""
+    (doc, term) aggregate, so a document counts once per term. The
+    (doc, term, tf) table is checkpointed before it is used twice."""
+    from ..session import checkpoint_dir
+    checkpoint_dir(docs.sparkSession)
     n_docs = docs.count()
-    tf = term_frequencies(docs, id_col, text_col)
+    # Tokenising is the expensive part and both the tf and the df side need
+    # it; a reliable checkpoint (shared folder) runs it once and cuts the
+    # lineage, where plan reuse would not (pruning makes the two differ).
+    tf = term_frequencies(docs, id_col, text_col).checkpoint(eager=True)
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))
     return tf.join(df, "term").select("doc_id", "term", "tf", "df", (F.col("tf") * idf).alias("score"))
