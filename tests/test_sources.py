@@ -83,3 +83,18 @@ def test_glob_and_cells(spark):
     assert len({c.row_key for c in cells}) == 1 and cells[0].row_key.endswith("-1")
     back = rd.cell_range_scan(wr.log_to_cells(log), "0", "g", wr.CELL_QUALIFIERS).first()
     assert (back.un, back.vt, back.ri) == ("u", "1", "R1")
+
+
+def test_tables_go_to_the_session_checkpoint_folder(spark):
+    from tagfold.session import checkpoint_dir, materialized
+    base = checkpoint_dir(spark)
+    assert base == spark.sparkContext.getCheckpointDir()
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(5).withColumnRenamed("id", "x")
+    a = materialized(spark, "test-table", build)
+    b = materialized(spark, "test-table", build)
+    assert len(calls) == 1 and a.count() == 5 and b.count() == 5
+    assert all(f.startswith(base.rstrip("/")) for f in a.inputFiles())
