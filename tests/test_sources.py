@@ -97,4 +97,6 @@ def test_tables_go_to_the_session_checkpoint_folder(spark):
     a = materialized(spark, "test-table", build)
     b = materialized(spark, "test-table", build)
     assert len(calls) == 1 and a.count() == 5 and b.count() == 5
-    assert all(f.startswith(base.rstrip("/")) for f in a.inputFiles())
+    import re
+    norm = lambda u: re.sub(r"^file:/+", "/", u)  # noqa: E731 -- file:/x and file:///x are the same path
+    assert all(norm(f).startswith(norm(base).rstrip("/")) for f in a.inputFiles())
