@@ -95,17 +95,24 @@ def _non_empty(arr: Column) -> Column:
 
 def java_split(s: Column, pattern: str) -> Column:
     """Regex split with JVM ``String.split`` semantics: trailing empty pieces
-    are removed (Spark's ``split`` keeps them). One pass over the pieces:
-    empties are held back and released only when a non-empty piece follows,
-    so the split array is referenced once (no repeated regex evaluation)."""
+    are removed (Spark's ``split`` keeps them), except that input without
+    any match comes back whole (so '' gives ['']). One pass over the
+    pieces: empties are held back and released only when a non-empty piece
+    follows, so the split array is referenced once (no repeated regex)."""
     empty = F.array().cast("array<string>")
-    init = F.struct(empty.alias("out"), empty.alias("pend"))
+    init = F.struct(empty.alias("out"), empty.alias("pend"), F.lit(0).alias("n"))
 
     def step(acc, x):
-        return F.when(x == "", F.struct(acc["out"].alias("out"), F.concat(acc["pend"], F.array(x)).alias("pend"))) \
-            .otherwise(F.struct(F.concat(acc["out"], acc["pend"], F.array(x)).alias("out"), empty.alias("pend")))
+        n = acc["n"] + 1
+        return F.when(x == "", F.struct(acc["out"].alias("out"), F.concat(acc["pend"], F.array(x)).alias("pend"),
+                                        n.alias("n"))) \
+            .otherwise(F.struct(F.concat(acc["out"], acc["pend"], F.array(x)).alias("out"), empty.alias("pend"),
+                                n.alias("n")))
 
-    return F.aggregate(F.split(s, pattern), init, step, lambda acc: acc["out"])
+    def finish(acc):
+        return F.when(acc["n"] == 1, F.concat(acc["out"], acc["pend"])).otherwise(acc["out"])
+
+    return F.aggregate(F.split(s, pattern), init, step, finish)
 
 
 def subject_codes(rcc: Column) -> Column:

@@ -17,6 +17,8 @@ def test_java_split_drops_trailing_empties(spark):
     assert _one(spark, T.java_split(F.col("s"), r"\$\$\$"), s="a$$$b$$$$$$") == ["a", "b"]
     assert _one(spark, T.java_split(F.col("s"), r"\$\$\$"), s="$$$") == []
     assert _one(spark, T.java_split(F.col("s"), r"\$\$\$"), s="a$$$") == ["a"]
+    assert _one(spark, T.java_split(F.col("s"), r"\$\$\$"), s="") == [""]          # no match: whole input
+    assert _one(spark, T.java_split(F.col("s"), r"\$\$\$"), s="$$$$") == ["", "$"]
 
 
 def test_interest_keywords_dollar_rule(spark):
