@@ -656,3 +656,31 @@ FROM pairs p JOIN it ON p.ri = it.ri JOIN old_p o ON o.usr = p.usr AND o.module
 GROUP BY p.usr, p.ri"""
 
 ORACLE_SQL["ua_daily_export"] = ORACLE_SQL["ua_daily_counts"]
+
+
+def _count_tfidf_sql(vocab_size: int = 5) -> str:
+    from ..operators.text import english_stop_words
+    stops = _list(english_stop_words())
+    return f"""
+WITH toks AS (
+  SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z]+'),
+                                    lambda t: length(t) >= 3 AND NOT list_contains({stops}, t))) AS term
+  FROM documents
+),
+cnt AS (SELECT term, count(*) AS c FROM toks GROUP BY term),
+vocab AS (
+  SELECT term, idx FROM (SELECT term, row_number() OVER (ORDER BY c DESC, term) AS idx FROM cnt)
+  WHERE idx <= {vocab_size}
+),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM toks WHERE term IN (SELECT term FROM vocab) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+n AS (SELECT count(*) AS n FROM documents),
+grid AS (SELECT d.doc_id, v.term, v.idx FROM documents d CROSS JOIN vocab v)
+SELECT g.doc_id,
+       list(round(coalesce(tf.tf, 0) * ln((n.n + 1.0) / (coalesce(df.df, 0) + 1.0)), 6) ORDER BY g.idx) AS features
+FROM grid g LEFT JOIN tf ON tf.doc_id = g.doc_id AND tf.term = g.term
+LEFT JOIN df ON df.term = g.term CROSS JOIN n
+GROUP BY g.doc_id"""
+
+
+ORACLE_SQL["count_tfidf"] = _count_tfidf_sql(5)
