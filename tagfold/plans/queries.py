@@ -236,9 +236,10 @@ def q_new_guests(spark, sf_dir):
 # ------------------------------------------------------------ portraits
 
 def _updated(spark, sf_dir):
-    old, new = _old_new(spark, sf_dir)
-    known = pt.log_users(old)
-    users = known.unionByName(pt.new_users(known, new))
+    _, new = _old_new(spark, sf_dir)
+    # known users plus the new ones (P6) is every distinct user of the log:
+    # one scan and one distinct instead of a union with an anti join
+    users = pt.log_users(formatted_log(spark, sf_dir))
     return users, pt.portrait_update(stored_portrait(spark, sf_dir), new, AS_OF, STOP)
 
 
