@@ -684,3 +684,10 @@ GROUP BY g.doc_id"""
 
 
 ORACLE_SQL["count_tfidf"] = _count_tfidf_sql(5)
+
+ORACLE_SQL["read_related_authors"] = (
+    "SELECT UserName, TotalRelatedAuthor, RecentRelatedAuthor FROM (" + ORACLE_SQL["portrait_wide"] + ")")
+
+ORACLE_SQL["read_preference_portrait"] = _with("kw") + f"""
+SELECT usr AS id, module, tag AS keyword, round(sum(w), 4) AS score
+FROM kw_rows WHERE usr <> '' AND vt_ms < {OLD_BEFORE} GROUP BY usr, module, tag"""

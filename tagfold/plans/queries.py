@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixtures as fx
+from ..functions import jsonmaps as J
 from ..functions.decay import decay_factor, whole_days
 from ..functions.tags import is_human
 from ..operators import filters as flt
@@ -347,6 +348,31 @@ def q_portrait_reproject(spark, sf_dir):
     return rd.reproject(legacy, PORTRAIT_COLUMNS, defaults)
 
 
+def q_read_related_authors(spark, sf_dir):
+    """S6 round trip: the two author maps of the wide portrait as '&' text."""
+    wide = q_portrait_wide(spark, sf_dir).select("UserName", "TotalRelatedAuthor", "RecentRelatedAuthor")
+    path = wr.write_delimited(wide, scratch_path(spark, "authors-text"), "&")
+    return rd.read_related_authors(spark, path, "&")
+
+
+def q_read_preference_portrait(spark, sf_dir):
+    """S15/R5 round trip: the stored keyword interests as the recommender's
+    ';' text (score map JSON), read back and flattened to (id, module,
+    keyword, score)."""
+    kw = _old_portrait(spark, sf_dir, [DIM_TOTAL_INTEREST])
+    per_mod = kw.groupBy("user", "module").agg(F.array_sort(F.collect_list(F.struct(
+        F.col("tag").alias("k"), J.score_entry(F.col("tag"), F.col("weight")).alias("e")))).alias("es"))
+    mod_e = F.concat(J.json_string(F.col("module")), F.lit(":"), J.object_of(F.col("es")))
+    per_user = per_mod.groupBy("user").agg(F.array_sort(F.collect_list(F.struct(
+        F.col("module").alias("k"), mod_e.alias("e")))).alias("ms"))
+    text = per_user.select(F.col("user").alias("id"), F.col("user").alias("name"),
+                           J.object_of(F.col("ms")).alias("prefList"), F.lit(fx.AS_OF_TEXT).alias("t"))
+    path = wr.write_delimited(text, scratch_path(spark, "pref-text"), ";")
+    back = rd.read_preference_portrait(spark, path, ";")
+    m = back.select("id", F.explode("prefList").alias("module", "kws"))
+    return m.select("id", "module", F.explode("kws").alias("keyword", "score"))
+
+
 def q_log_to_cells(spark, sf_dir):
     return wr.log_to_cells(formatted_log(spark, sf_dir))
 
@@ -483,6 +509,8 @@ QUERIES = {
     "read_portrait_text": q_read_portrait_text,
     "read_guest_portrait": q_read_guest_portrait,
     "portrait_reproject": q_portrait_reproject,
+    "read_related_authors": q_read_related_authors,
+    "read_preference_portrait": q_read_preference_portrait,
     "log_to_cells": q_log_to_cells,
     "cell_range_scan": q_cell_range_scan,
     "key_pattern_scan": q_key_pattern_scan,
