@@ -691,3 +691,19 @@ ORACLE_SQL["read_related_authors"] = (
 ORACLE_SQL["read_preference_portrait"] = _with("kw") + f"""
 SELECT usr AS id, module, tag AS keyword, round(sum(w), 4) AS score
 FROM kw_rows WHERE usr <> '' AND vt_ms < {OLD_BEFORE} GROUP BY usr, module, tag"""
+
+ORACLE_SQL["read_raw_catalogue"] = """
+WITH l AS (
+  SELECT concat_ws('::', CAST(doc_id AS VARCHAR), lang, concat_ws('/', lang, source),
+                   regexp_replace(coalesce(text, ''), '[\r\n]', ' ', 'g'), 'a', 'b', source,
+                   CAST(n_chars AS VARCHAR)) AS line
+  FROM documents
+),
+p AS (SELECT string_split(line, '::') AS f FROM l),
+c AS (
+  SELECT f, len(f) - coalesce(list_position(list_transform(list_reverse(f), lambda x: x <> ''), true) - 1,
+                              len(f)) AS n
+  FROM p
+)
+SELECT f[1] AS id, replace(f[3], '&', '') AS title, replace(f[4], '&', '') AS content, f[7] AS class
+FROM c WHERE n >= 7"""

@@ -373,6 +373,20 @@ def q_read_preference_portrait(spark, sf_dir):
     return m.select("id", "module", F.explode("kws").alias("keyword", "score"))
 
 
+def q_read_raw_catalogue(spark, sf_dir):
+    """S17 round trip: every document as one '::' catalogue line (id, lang,
+    lang/source title, whole text with line breaks blanked, two fillers,
+    source as class, length), written as text and read back."""
+    d = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    body = F.regexp_replace(F.coalesce(F.col("text"), F.lit("")), "[\r\n]", " ")
+    line = F.concat_ws("::", F.col("doc_id").cast("string"), F.col("lang"),
+                       F.concat_ws("/", F.col("lang"), F.col("source")), body, F.lit("a"), F.lit("b"),
+                       F.col("source"), F.col("n_chars").cast("string"))
+    path = scratch_path(spark, "catalogue-text")
+    d.select(line.alias("value")).write.mode("overwrite").text(path)
+    return rd.read_raw_catalogue(spark, path)
+
+
 def q_log_to_cells(spark, sf_dir):
     return wr.log_to_cells(formatted_log(spark, sf_dir))
 
@@ -511,6 +525,7 @@ QUERIES = {
     "portrait_reproject": q_portrait_reproject,
     "read_related_authors": q_read_related_authors,
     "read_preference_portrait": q_read_preference_portrait,
+    "read_raw_catalogue": q_read_raw_catalogue,
     "log_to_cells": q_log_to_cells,
     "cell_range_scan": q_cell_range_scan,
     "key_pattern_scan": q_key_pattern_scan,

@@ -142,13 +142,15 @@ def read_preference_portrait(spark: SparkSession, path: str, sep: str = ";") ->
 
 
 def read_raw_catalogue(spark: SparkSession, path: str) -> DataFrame:
-    """S17: '::'-separated catalogue lines with exactly 8 fields; '&' is
-    removed from title and content."""
-    f = F.split(F.col("value"), "::")
+    """S17: '::'-separated catalogue lines (JVM split semantics); id = field
+    0, title = field 2, content = field 3 (both without '&'), class = field
+    6. Lines with fewer than 7 fields are rejected (the reference would
+    fail on them)."""
     lines = spark.read.text(path)
-    return lines.where(F.size(f) == 8).select(
-        F.get(f, 0).alias("id"), F.replace(F.get(f, 2), F.lit("&"), F.lit("")).alias("title"),
-        F.replace(F.get(f, 3), F.lit("&"), F.lit("")).alias("content"), F.get(f, 6).alias("class"))
+    t = lines.select(java_split(F.col("value"), "::").alias("f"))
+    return t.where(F.size("f") >= 7).select(
+        F.get("f", 0).alias("id"), F.replace(F.get("f", 2), F.lit("&"), F.lit("")).alias("title"),
+        F.replace(F.get("f", 3), F.lit("&"), F.lit("")).alias("content"), F.get("f", 6).alias("class"))
 
 
 def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
