@@ -96,23 +96,20 @@ def _non_empty(arr: Column) -> Column:
 def java_split(s: Column, pattern: str) -> Column:
     """Regex split with JVM ``String.split`` semantics: trailing empty pieces
     are removed (Spark's ``split`` keeps them), except that input without
-    any match comes back whole (so '' gives ['']). One pass over the
-    pieces: empties are held back and released only when a non-empty piece
-    follows, so the split array is referenced once (no repeated regex)."""
-    empty = F.array().cast("array<string>")
-    init = F.struct(empty.alias("out"), empty.alias("pend"), F.lit(0).alias("n"))
+    any match comes back whole (so '' gives ['']).
 
-    def step(acc, x):
-        n = acc["n"] + 1
-        return F.when(x == "", F.struct(acc["out"].alias("out"), F.concat(acc["pend"], F.array(x)).alias("pend"),
-                                        n.alias("n"))) \
-            .otherwise(F.struct(F.concat(acc["out"], acc["pend"], F.array(x)).alias("out"), empty.alias("pend"),
-                                n.alias("n")))
+    The split array is bound once as a lambda variable (wrapped in a
+    one-element array), so the regex runs once per row, and the trim is
+    linear in the number of pieces (reverse, find the last non-empty piece,
+    slice)."""
+    empty = F.array().cast("array<string>")
 
-    def finish(acc):
-        return F.when(acc["n"] == 1, F.concat(acc["out"], acc["pend"])).otherwise(acc["out"])
+    def trim(p):
+        last = F.array_position(F.transform(F.reverse(p), lambda x: x != ""), True)  # 0 when all empty
+        return (F.when(F.size(p) == 1, p).when(last == 0, empty)
+                .otherwise(F.slice(p, 1, F.size(p) - last + 1)))
 
-    return F.aggregate(F.split(s, pattern), init, step, finish)
+    return F.get(F.transform(F.array(F.split(s, pattern)), trim), 0)
 
 
 def subject_codes(rcc: Column) -> Column:
