@@ -36,7 +36,7 @@ _TAG_T = "array<struct<dim:string,module:string,tag:string>>"
 
 # ---------------------------------------------------------------- extraction
 
-def _is_article_read() -> Column:
+def is_article_read() -> Column:
     return ((F.col("ro") == "article") & (F.coalesce(F.col("rcc"), F.lit("")) != "")
             & F.col("ac").isin(ARTICLE_ACTIONS))
 
@@ -54,7 +54,7 @@ def log_tag_rows(log: DataFrame, dims=DIMS, stop_names=AUTHOR_STOP_NAMES,
     keywords. Each (dim, module, tag) occurs at most once per log row.
     The user name is cleaned of blanks and quotes here, once.
     """
-    art, srch = _is_article_read(), _is_search()
+    art, srch = is_article_read(), _is_search()
     empty = F.array().cast(_TAG_T)
 
     def nested(dim: str) -> Column:
@@ -348,7 +348,7 @@ def legacy_keyword_portrait(log: DataFrame) -> DataFrame:
     codes = F.filter(F.split(F.col("rcc"), ";"), lambda c: c != "")
     kws = F.array_distinct(F.filter(F.split(F.regexp_replace(F.coalesce(F.col("rkd"), F.lit("")), "[< >]", ""),
                                             "[, ;$]"), lambda c: c != ""))
-    rows = (log.where(_is_article_read() & (F.coalesce(F.col("un"), F.lit("")) != ""))
+    rows = (log.where(is_article_read() & (F.coalesce(F.col("un"), F.lit("")) != ""))
             .select(clean_user(F.col("un")).alias("user"), F.explode(codes).alias("module"), kws.alias("kws"))
             .select("user", "module", F.explode("kws").alias("tag")))
     return (rows.where(F.col("user") != "").groupBy("user", "module", "tag")

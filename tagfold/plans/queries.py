@@ -16,7 +16,7 @@ from ..operators import portrait as pt
 from ..operators import stats as st
 from ..operators import recommend as rc
 from ..operators import text as tx
-from ..schemas import GUEST_COLUMNS, LOG_FIELDS, PORTRAIT_COLUMNS
+from ..schemas import GUEST_COLUMNS, PORTRAIT_COLUMNS
 from ..session import scratch_path
 from ..sinks import writers as wr
 from ..sources import readers as rd
@@ -473,7 +473,7 @@ def q_content_match(spark, sf_dir):
     """R3 over the new log's (user, article) reads, scored against the
     stored keyword-interest portrait."""
     _, new = _old_new(spark, sf_dir)
-    reads = new.where(pt._is_article_read() & (F.col("un") != ""))
+    reads = new.where(pt.is_article_read() & (F.col("un") != ""))
     pairs = reads.select(F.regexp_replace("un", '[ "]', "").alias("user"), F.col("ri").alias("item")).distinct()
     items = formatted_log(spark, sf_dir).select(F.col("ri").alias("item"), "rcc", "rkd").distinct()
     return rc.content_match(pairs, _old_portrait(spark, sf_dir, [DIM_TOTAL_INTEREST]), items)
