@@ -157,3 +157,60 @@ def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file, (file_name, content)."""
     df = spark.read.text(path, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("file_name"), F.col("value").alias("content"))
+
+
+def _fields(spark: SparkSession, path: str, sep: str) -> DataFrame:
+    """Lines split on a literal separator with JVM split semantics."""
+    import re as _re
+    return spark.read.text(path).select(java_split(F.col("value"), _re.escape(sep)).alias("f"))
+
+
+def read_journal_purchases(spark: SparkSession, path: str) -> DataFrame:
+    """Tab-separated ``code, times, datetime, album, subject``; lines with
+    fewer than 5 fields or a non-numeric count are rejected."""
+    f = _fields(spark, path, "\t")
+    t = f.where(F.size("f") >= 5).select(
+        F.get("f", 0).alias("code"), F.get("f", 1).try_cast("int").alias("times"),
+        F.get("f", 2).alias("datetime"), F.get("f", 3).alias("album"), F.get("f", 4).alias("subject"))
+    return t.where(F.col("times").isNotNull())
+
+
+def read_article_events(spark: SparkSession, path: str) -> DataFrame:
+    """Tab-separated ``fileName, dataType``; lines with fewer than 2
+    fields are dropped."""
+    f = _fields(spark, path, "\t")
+    return f.where(F.size("f") >= 2).select(F.get("f", 0).alias("fileName"), F.get("f", 1).alias("dataType"))
+
+
+def read_titles(spark: SparkSession, path: str) -> DataFrame:
+    """Tab-separated ``fileName, title``; short lines dropped."""
+    f = _fields(spark, path, "\t")
+    return f.where(F.size("f") >= 2).select(F.get("f", 0).alias("fileName"), F.get("f", 1).alias("title"))
+
+
+def read_category_purchases(spark: SparkSession, path: str) -> DataFrame:
+    """Tab-separated, at least 7 fields: user = field 0, count = field 3,
+    category = field 6 (malformed rows dropped, D-22)."""
+    f = _fields(spark, path, "\t")
+    t = f.where(F.size("f") >= 7).select(
+        F.get("f", 0).alias("user"), F.get("f", 3).try_cast("int").alias("count"), F.get("f", 6).alias("category"))
+    return t.where(F.col("count").isNotNull() & (F.col("user") != ""))
+
+
+def read_ratings(spark: SparkSession, path: str) -> DataFrame:
+    """``userId,productId,rating`` CSV -> (user_id, item_id, rating);
+    rows that do not parse are rejected (the reference asserts)."""
+    schema = "user_id int, item_id int, rating float"
+    df = spark.read.csv(path, schema=schema, mode="DROPMALFORMED")
+    return df.where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull() & F.col("rating").isNotNull())
+
+
+def read_id_map(spark: SparkSession, path: str, id_col: str = "id", name_col: str = "name") -> DataFrame:
+    """``id,name`` CSV."""
+    df = spark.read.csv(path, schema=f"{id_col} int, {name_col} string", mode="DROPMALFORMED")
+    return df.where(F.col(id_col).isNotNull())
+
+
+def read_name_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Plain text lines as ``value`` (roster files)."""
+    return spark.read.text(path)
