@@ -363,9 +363,11 @@ def initial_roster(named_lines: DataFrame, *name_lists: DataFrame, checkpoint: b
     name lists; blanks removed; distinct; ids 0.. in name order; empty
     portraits in the 14-column legacy layout.
 
-    Ids come from range partitions: each partition numbers its sorted rows
-    (Arrow batches, in order) and adds the count of all rows in earlier
-    partitions, so no single task sees every name.
+    Ids without a single-partition window: names are range-partitioned
+    (sampled bounds, so a popular prefix is spread out) and checkpointed so
+    both uses below see the same ranges; each range is numbered by
+    ``row_number()`` over its own partition id, and the ids are offset by
+    the counts of all earlier ranges (a table with one row per range).
     """
     f = F.split(F.col("value"), "\t")
     names = named_lines.select(F.when(F.size(f) == 2, F.get(f, 1)).otherwise(F.lit("")).alias("name"))
@@ -374,23 +376,12 @@ def initial_roster(named_lines: DataFrame, *name_lists: DataFrame, checkpoint: b
     names = names.where(F.trim(F.col("name")) != "").distinct()
     spark = names.sparkSession
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (names.repartitionByRange(nparts, "name").sortWithinPartitions("name")
-              .withColumn("pid", F.spark_partition_id()))
+    ranged = names.repartitionByRange(nparts, "name").withColumn("pid", F.spark_partition_id())
     if checkpoint:
         from ..session import checkpoint_dir
         checkpoint_dir(spark)
         ranged = ranged.checkpoint(eager=True)
-
-    def number(batches):
-        import pandas as pd
-        i = 0
-        for b in batches:
-            n = len(b)
-            yield pd.DataFrame({"name": b["name"], "pid": b["pid"],
-                                "rn": range(i, i + n)})
-            i += n
-
-    numbered = ranged.mapInPandas(number, "name string, pid int, rn long")
+    numbered = ranged.withColumn("rn", F.row_number().over(Window.partitionBy("pid").orderBy("name")) - 1)
     counts = ranged.groupBy("pid").agg(F.count(F.lit(1)).alias("c"))
     offs = counts.withColumn("off", F.coalesce(F.sum("c").over(
         Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
