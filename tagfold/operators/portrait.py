@@ -24,8 +24,8 @@ from ..functions import jsonmaps as J
 from ..functions.decay import (BASE_COEFFICIENT, MIN_KEYWORDS_COUNT, MIN_WEIGHT, PERIOD_DAYS,
                                coefficient_power, decay_factor, floor_and_round, whole_days)
 from ..functions.tags import (ARTICLE_ACTIONS, AUTHOR_STOP_NAMES, action_weight, author_names,
-                              clean_user, interest_keywords, interest_modules, subject_codes,
-                              subsubject_codes)
+                              clean_user, interest_keywords, interest_modules, java_split,
+                              subject_codes, subsubject_codes)
 from ..schemas import (DIM_RECENT_AUTHOR, DIM_RECENT_INTEREST, DIM_SEARCH, DIM_SUBJECT,
                        DIM_SUBSUBJECT, DIM_TOTAL_AUTHOR, DIM_TOTAL_INTEREST, DIMS, GUEST_COLUMNS,
                        NESTED_DIMS, PORTRAIT_COLUMNS, TAG_COLUMNS)
@@ -316,8 +316,10 @@ def unpack_portrait(wide: DataFrame) -> DataFrame:
 
 def guest_visit_counts(guest_log: DataFrame) -> DataFrame:
     """Per (guest cookie, class code) the number of article rows whose
-    ``rcc`` lists the code (a code listed twice in one row counts twice)."""
-    codes = F.filter(F.split(F.col("rcc"), ";"), lambda c: c != "")
+    ``rcc`` lists the code (a code listed twice in one row counts twice;
+    codes are cut with JVM split semantics, so an empty code between two
+    ';' counts as the reference counts it)."""
+    codes = java_split(F.col("rcc"), ";")
     rows = (guest_log.where((F.col("ro") == "article") & (F.col("rcc") != ""))
             .select(F.col("gki").alias("user"), F.explode(codes).alias("code")))
     return rows.groupBy("user", "code").agg(F.count(F.lit(1)).cast("double").alias("score"))
@@ -343,9 +345,9 @@ def guest_scores_json(scores: DataFrame) -> DataFrame:
 
 def legacy_keyword_portrait(log: DataFrame) -> DataFrame:
     """A10: +1 per distinct keyword of an article row under each of its
-    class codes (full codes, split on ';'), keywords split on comma, blank,
-    ';' and '$' after dropping '<', blank and '>' (no case folding)."""
-    codes = F.filter(F.split(F.col("rcc"), ";"), lambda c: c != "")
+    class codes (full codes, JVM split on ';'), keywords split on comma,
+    blank, ';' and '$' after dropping '<', blank and '>' (no case folding)."""
+    codes = java_split(F.col("rcc"), ";")
     kws = F.array_distinct(F.filter(F.split(F.regexp_replace(F.coalesce(F.col("rkd"), F.lit("")), "[< >]", ""),
                                             "[, ;$]"), lambda c: c != ""))
     rows = (log.where(is_article_read() & (F.coalesce(F.col("un"), F.lit("")) != ""))

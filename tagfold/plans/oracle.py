@@ -24,6 +24,14 @@ def _list(items) -> str:
     return "[" + ", ".join(_q(x) for x in items) + "]"
 
 
+def _jsplit(x: str, sep: str) -> str:
+    """JVM ``split`` of ``x`` on a literal separator: trailing empty pieces
+    dropped, input without a separator returned whole."""
+    p = f"string_split({x}, '{sep}')"
+    trailing = f"coalesce(list_position(list_transform(list_reverse({p}), lambda e: e <> ''), true) - 1, len({p}))"
+    return f"(CASE WHEN len({p}) = 1 THEN {p} ELSE list_slice({p}, 1, len({p}) - {trailing}) END)"
+
+
 AS_OF = fx.AS_OF_MS
 OLD_BEFORE = fx.OLD_BEFORE_MS
 STOPS = _list(fx.FIXTURE_STOP_NAMES)
@@ -274,7 +282,7 @@ g_all AS (
 ),
 g_old_counts AS (
   SELECT gki AS usr, code, CAST(count(*) AS DOUBLE) AS score
-  FROM (SELECT gki, unnest(list_filter(string_split(rcc, ';'), lambda c: c <> '')) AS code
+  FROM (SELECT gki, unnest(""" + _jsplit('rcc', ';') + """) AS code
         FROM g_all WHERE vt_ms < """ + str(OLD_BEFORE) + """) GROUP BY ALL
 ),
 g_latest AS (SELECT gki AS usr, max(vt_ms) AS latest_ms FROM g_all WHERE vt_ms < """ + str(OLD_BEFORE) + """ GROUP BY ALL),
@@ -494,7 +502,7 @@ FROM wide""",
     "guest_portrait": "WITH " + LOG + "," + OLD_GUEST + f""",
 fresh AS (
   SELECT gki AS usr, code, CAST(count(*) AS DOUBLE) AS score
-  FROM (SELECT gki, unnest(list_filter(string_split(rcc, ';'), lambda c: c <> '')) AS code
+  FROM (SELECT gki, unnest({_jsplit('rcc', ';')}) AS code
         FROM g_all WHERE vt_ms >= {OLD_BEFORE}) GROUP BY ALL
 ),
 u AS (SELECT usr, code, score FROM g_decayed WHERE score >= 0.01 UNION ALL SELECT * FROM fresh)
@@ -503,7 +511,7 @@ SELECT usr AS "user", code, round(sum(score), 6) AS score FROM u GROUP BY usr, c
     "legacy_keyword_portrait": "WITH " + LOG + f""",
 a AS (
   SELECT regexp_replace(un, '[ "]', '', 'g') AS usr,
-         list_filter(string_split(rcc, ';'), lambda c: c <> '') AS codes,
+         {_jsplit('rcc', ';')} AS codes,
          list_distinct(list_filter(regexp_split_to_array(regexp_replace(coalesce(rkd, ''), '[< >]', '', 'g'),
                                                          '[, ;$]'), lambda x: x <> '')) AS kws
   FROM hlog
@@ -572,7 +580,7 @@ ORACLE_SQL["read_portrait_text"] = ORACLE_SQL["portrait_wide"]
 GUEST_WIDE = "WITH " + LOG + "," + OLD_GUEST + f""",
 fresh AS (
   SELECT gki AS usr, code, CAST(count(*) AS DOUBLE) AS score
-  FROM (SELECT gki, unnest(list_filter(string_split(rcc, ';'), lambda c: c <> '')) AS code
+  FROM (SELECT gki, unnest({_jsplit('rcc', ';')}) AS code
         FROM g_all WHERE vt_ms >= {OLD_BEFORE}) GROUP BY ALL
 ),
 u AS (SELECT usr, code, score FROM g_decayed WHERE score >= 0.01 UNION ALL SELECT * FROM fresh),

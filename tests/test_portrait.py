@@ -121,3 +121,11 @@ def test_initial_roster_ids_follow_name_order(spark):
     extra = spark.createDataFrame([("cat",), ("amy",), ("",)], "value string")
     out = pt.initial_roster(tsv, extra, partitions=3).orderBy("UserID").collect()
     assert [(r.UserID, r.UserName) for r in out] == [(0, "amy"), (1, "bob"), (2, "cat")]
+
+
+def test_guest_counts_follow_jvm_split(spark):
+    rows = [("g1", "article", "A;;B;A;;"), ("g1", "article", "B"), ("g1", "tushu", "A")]
+    log = spark.createDataFrame(rows, "gki string, ro string, rcc string")
+    got = {(r.user, r.code): r.score for r in pt.guest_visit_counts(log).collect()}
+    # "A;;B;A;;" -> [A, '', B, A] (trailing empties dropped): A twice, '' once
+    assert got == {("g1", "A"): 2.0, ("g1", ""): 1.0, ("g1", "B"): 2.0}
