@@ -60,11 +60,18 @@ def row_key(log: DataFrame) -> F.Column:
                     F.lit("-"), F.col("vt"))
 
 
-def log_to_cells(log: DataFrame, qualifiers: list[str] = CELL_QUALIFIERS) -> DataFrame:
-    """K9: (row_key, family, qualifier, value) cells of a log, range
-    partitioned and sorted by (row_key, qualifier) as a bulk loader expects."""
-    stack = F.explode(F.array(*[F.struct(F.lit(q).alias("qualifier"), F.col(q).alias("value"))
-                                for q in qualifiers]))
-    cells = log.select(row_key(log).alias("row_key"), stack.alias("c")).select(
-        "row_key", F.lit(CELL_FAMILY).alias("family"), "c.qualifier", "c.value")
+def rows_to_cells(df: DataFrame, key: F.Column, columns: list[str], family: str = CELL_FAMILY) -> DataFrame:
+    """Any rows as (row_key, family, qualifier, value) cells, one per
+    column, range-partitioned and sorted by (row_key, qualifier) as a sorted
+    bulk load expects. Values are written as text."""
+    stack = F.explode(F.array(*[F.struct(F.lit(c).alias("qualifier"), F.col(c).cast("string").alias("value"))
+                                for c in columns]))
+    cells = df.select(key.alias("row_key"), stack.alias("c")).select(
+        "row_key", F.lit(family).alias("family"), "c.qualifier", "c.value")
     return cells.repartitionByRange("row_key", "qualifier").sortWithinPartitions("row_key", "qualifier")
+
+
+def log_to_cells(log: DataFrame, qualifiers: list[str] = CELL_QUALIFIERS) -> DataFrame:
+    """K9: cells of a log under family ``cf1``, keyed by the deterministic
+    row key."""
+    return rows_to_cells(log, row_key(log), qualifiers, CELL_FAMILY)

@@ -100,3 +100,10 @@ def test_tables_go_to_the_session_checkpoint_folder(spark):
     import re
     norm = lambda u: re.sub(r"^file:/+", "/", u)  # noqa: E731 -- file:/x and file:///x are the same path
     assert all(norm(f).startswith(norm(base).rstrip("/")) for f in a.inputFiles())
+
+
+def test_rows_to_cells_any_table(spark):
+    people = spark.createDataFrame([(1, "ann", 30), (2, "bob", None)], "id int, name string, age int")
+    cells = wr.rows_to_cells(people, F.col("id").cast("string"), ["name", "age"], "info").collect()
+    assert [(c.row_key, c.family, c.qualifier, c.value) for c in cells] == [
+        ("1", "info", "age", "30"), ("1", "info", "name", "ann"), ("2", "info", "age", None), ("2", "info", "name", "bob")]
