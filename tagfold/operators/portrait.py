@@ -5,9 +5,10 @@ Canonical model: the long form ``(user, dim, module, tag, weight, last_ms)``
 ``unionByName`` and ONE ``groupBy(user, dim, module, tag)`` whose partial
 aggregate combines map-side, so a user holding a third of the log still
 shuffles at most one row per distinct tag per map task. Windows run only
-after that aggregate, where a user's group is bounded by the tag vocabulary
-rather than by the log volume, and every top-k filter is ``row_number <= k``
-(WindowGroupLimit trims each group before the exchange).
+on aggregated portraits, where a user's group is bounded by the tag
+vocabulary rather than by the log volume: decay with pruning shares one
+``repartition(user, dim)``, truncation and JSON packing share one
+``repartition(user)`` (a packed row is one value per user anyway).
 
 Canonical order of a portrait (the reference keeps insertion order, which a
 distributed plan cannot carry): modules by total weight desc then code, tags
