@@ -68,7 +68,7 @@ def job_portrait_update(spark, a):
     else:
         tags = pt.log_portrait(log, stop_names=stops)
         known = None
-    wr.write_parquet(tags, a.output)
+    wr.write_parquet(tags, a.output, ["dim"])    # decay reads only its dimensions
     _publish(spark, a.table, a.output)
     if a.wide_output:
         saved = spark.read.parquet(a.output)

@@ -152,11 +152,13 @@ def q_decay_factor(spark, sf_dir):
 def stored_portrait(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored portrait an update starts from (long form, all seven
     dimensions): the portrait of the log rows before the split, written once
-    as a table like the portrait table the daily job reads."""
+    as a table partitioned by ``dim``, like the portrait table the daily job
+    reads."""
     def build():
         old, _ = _old_new(spark, sf_dir)
         return pt.log_portrait(old, DIMS, STOP)
-    return materialized(spark, f"portrait:{sf_dir}", build)
+    # partitioned by dimension: the decay branches prune to their own files
+    return materialized(spark, f"portrait:{sf_dir}", build, ["dim"])
 
 
 def _old_portrait(spark, sf_dir, dims=DIMS):

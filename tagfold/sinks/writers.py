@@ -44,11 +44,22 @@ def write_partitioned_by_date(df: DataFrame, path: str, date_col: str = "date",
 
 def publish_location(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> None:
     """K5/K6: point ``table`` at ``path`` (create it on first use), then
-    refresh cached metadata so readers see the new data."""
-    if not spark.catalog.tableExists(table):
-        spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{path}'")
-    else:
+    refresh cached metadata so readers see the new data.
+
+    An unpartitioned table is switched with ``ALTER TABLE ... SET LOCATION``.
+    A partitioned one keeps a location per partition, so it is re-created
+    over the new path (the table is external: dropping it drops metadata
+    only) and its partitions are recovered from the directories."""
+    def partitioned() -> bool:
+        return any(c.isPartition for c in spark.catalog.listColumns(table))
+
+    if spark.catalog.tableExists(table) and not partitioned():
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{path}'")
+    if partitioned():
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     spark.catalog.refreshTable(table)
 
 

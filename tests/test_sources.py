@@ -107,3 +107,21 @@ def test_rows_to_cells_any_table(spark):
     cells = wr.rows_to_cells(people, F.col("id").cast("string"), ["name", "age"], "info").collect()
     assert [(c.row_key, c.family, c.qualifier, c.value) for c in cells] == [
         ("1", "info", "age", "30"), ("1", "info", "name", "ann"), ("2", "info", "age", None), ("2", "info", "name", "bob")]
+
+
+def test_publish_location_switches_plain_and_partitioned_tables(spark):
+    d = _tmp()
+    a, b = os.path.join(d, "a"), os.path.join(d, "b")
+    spark.range(3).write.parquet(a)
+    spark.range(5).write.parquet(b)
+    wr.publish_location(spark, "pub_plain", a)
+    assert spark.table("pub_plain").count() == 3
+    wr.publish_location(spark, "pub_plain", b)
+    assert spark.table("pub_plain").count() == 5
+    pa, pb = os.path.join(d, "pa"), os.path.join(d, "pb")
+    spark.range(4).withColumn("k", F.col("id") % 2).write.partitionBy("k").parquet(pa)
+    spark.range(6).withColumn("k", F.col("id") % 3).write.partitionBy("k").parquet(pb)
+    wr.publish_location(spark, "pub_parts", pa)
+    assert spark.table("pub_parts").count() == 4
+    wr.publish_location(spark, "pub_parts", pb)
+    assert spark.table("pub_parts").count() == 6 and os.path.isdir(pa)
