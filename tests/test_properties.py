@@ -62,3 +62,27 @@ def test_keyword_and_module_rules(spark, values):
         assert set(kws[i]) == py_keywords(v) and len(kws[i]) == len(set(kws[i])), v
         assert set(mods[i]) == py_modules(v), v
         assert set(subj[i]) == py_subjects(v), v
+
+
+weights = st.lists(st.tuples(st.floats(min_value=0.0001, max_value=500, allow_nan=False),
+                             st.integers(min_value=-3, max_value=95)), min_size=1, max_size=40)
+
+
+@settings(max_examples=10, deadline=None)
+@given(weights)
+def test_decay_never_raises_a_weight(spark, ws):
+    from tagfold.operators import portrait as pt
+    from tagfold.schemas import TAGS_SCHEMA
+    as_of, day = 1706745600000, 86_400_000
+    rows = [("u", "RecentRelatedAuthor", "", f"t{i}", w, as_of - d * day) for i, (w, d) in enumerate(ws)]
+    df = spark.createDataFrame(rows, TAGS_SCHEMA)
+    before = {r[3]: r[4] for r in rows}
+    for r in pt.decay_recent_author(df, as_of).collect():
+        assert r.weight <= max(before[r.tag], 0.001) + 0.00005, (r.tag, before[r.tag], r.weight)
+        assert r.last_ms == as_of
+    nested = df.withColumn("latest_ms", F.lit(as_of - 3 * day))
+    for r in pt.decay_guest_nested(nested, as_of).collect():
+        assert r.weight <= before[r.tag] + 0.00005 and r.weight >= 0.01
+    low = pt.decay_recent_interest(df, as_of, min_weight=0.01, fraction=0.01).collect()
+    for r in low:
+        assert r.weight <= max(before[r.tag], 0.001) + 0.00005
