@@ -86,3 +86,26 @@ def test_decay_never_raises_a_weight(spark, ws):
     low = pt.decay_recent_interest(df, as_of, min_weight=0.01, fraction=0.01).collect()
     for r in low:
         assert r.weight <= max(before[r.tag], 0.001) + 0.00005
+
+
+author_texts = st.lists(st.text(alphabet="ab ,;\r\n，s", max_size=14), min_size=1, max_size=40)
+
+
+def py_authors(au, stops):
+    cleaned = re.sub("[\r \n]", "", au)
+    return {x for x in re.split("[,，;]", cleaned) if x != "" and x not in stops}
+
+
+def py_subsubjects(rcc):
+    return {c for c in re.split("[, ;]", rcc) if c != ""}
+
+
+@settings(max_examples=15, deadline=None)
+@given(author_texts)
+def test_author_and_subsubject_rules(spark, values):
+    stops = ["s", "ab"]
+    auth = _run(spark, values, lambda c: T.author_names(c, stops))
+    sub = _run(spark, values, T.subsubject_codes)
+    for i, v in enumerate(values):
+        assert set(auth[i]) == py_authors(v, stops) and len(auth[i]) == len(set(auth[i])), v
+        assert set(sub[i]) == py_subsubjects(v), v
