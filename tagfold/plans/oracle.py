@@ -691,7 +691,10 @@ LEFT JOIN df ON df.term = g.term CROSS JOIN n
 GROUP BY g.doc_id"""
 
 
-ORACLE_SQL["count_tfidf"] = _count_tfidf_sql(5)
+try:  # the stop-word list is read from the Spark ML jar; without it this oracle is left out
+    ORACLE_SQL["count_tfidf"] = _count_tfidf_sql(5)
+except (OSError, IndexError, KeyError):
+    pass
 
 ORACLE_SQL["read_related_authors"] = (
     "SELECT UserName, TotalRelatedAuthor, RecentRelatedAuthor FROM (" + ORACLE_SQL["portrait_wide"] + ")")
