@@ -129,3 +129,16 @@ def test_guest_counts_follow_jvm_split(spark):
     got = {(r.user, r.code): r.score for r in pt.guest_visit_counts(log).collect()}
     # "A;;B;A;;" -> [A, '', B, A] (trailing empties dropped): A twice, '' once
     assert got == {("g1", "A"): 2.0, ("g1", ""): 1.0, ("g1", "B"): 2.0}
+
+
+def test_new_users_clean_both_sides(spark):
+    known = spark.createDataFrame([('a b',), ('"c"',)], "user string")
+    log = spark.createDataFrame([("ab",), ('"a b"',), ("c",), ("d d",), ("",), ("  ",), ("d d",)], "un string")
+    got = sorted(r.user for r in pt.new_users(known, log).collect())
+    assert got == ["dd"]                       # 'ab' and 'c' are known once cleaned; blanks-only names vanish
+
+
+def test_new_guests_by_cookie(spark):
+    known = spark.createDataFrame([("g1",)], "user string")
+    log = spark.createDataFrame([("g1",), ("g2",), ("g2",), ("",)], "gki string")
+    assert [r.user for r in pt.new_users(known, log, "gki").collect()] == ["g2"]
