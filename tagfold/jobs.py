@@ -144,8 +144,16 @@ def job_roster(spark, a):
 
 
 def job_keywords(spark, a):
-    """M3: top-k TF-IDF keywords per document (parquet with doc_id, text)."""
-    docs = spark.read.parquet(a.docs).select(F.col(a.id_col).alias("doc_id"), F.col(a.text_col).alias("text"))
+    """M3: top-k TF-IDF keywords per document: documents from parquet
+    (``--docs`` with id/text columns) or one document per file of a
+    directory (``--text-dir``, S18; the file path is the id)."""
+    if a.text_dir:
+        docs = rd.read_whole_files(spark, a.text_dir).select(F.col("file_name").alias("doc_id"),
+                                                             F.col("content").alias("text"))
+    elif a.docs:
+        docs = spark.read.parquet(a.docs).select(F.col(a.id_col).alias("doc_id"), F.col(a.text_col).alias("text"))
+    else:
+        raise SystemExit("keywords: give --docs or --text-dir")
     wr.write_parquet(tx.tfidf_keywords(docs, a.k), a.output)
 
 
@@ -197,7 +205,8 @@ def _parser() -> argparse.ArgumentParser:
     add("ua-stats", job_ua_stats, ("--input", req), ("--output", req))
     add("category-tags", job_category_tags, ("--input", req), ("--output", req), ("--k", {"type": int, "default": 10}))
     add("roster", job_roster, ("--named", req), ("--output", req), ("--lists", {}))
-    add("keywords", job_keywords, ("--docs", req), ("--output", req), ("--k", {"type": int, "default": 25}),
+    add("keywords", job_keywords, ("--docs", {}), ("--text-dir", {}), ("--output", req),
+        ("--k", {"type": int, "default": 25}),
         ("--id-col", {"default": "doc_id"}), ("--text-col", {"default": "text"}))
     add("als", job_als, ("--ratings", req), ("--model", req), ("--output", req), ("--items", {}),
         ("--k", {"type": int, "default": 10}))

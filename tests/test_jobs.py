@@ -67,3 +67,16 @@ def test_text_file_jobs(spark):
     jobs.main(["als", "--ratings", p("ratings.csv"), "--model", p("model"), "--output", p("als")], spark)
     assert spark.read.parquet(p("als/recommendations")).count() > 0
     assert os.path.isdir(p("model"))
+
+
+def test_keywords_from_whole_files(spark):
+    d = tempfile.mkdtemp(prefix="tagfold-jobs-")
+    os.makedirs(os.path.join(d, "docs"))
+    texts = {"a.txt": "apple apple banana\ncherry", "b.txt": "banana date", "c.txt": "apple"}
+    for name, text in texts.items():
+        with open(os.path.join(d, "docs", name), "w") as f:
+            f.write(text)
+    jobs.main(["keywords", "--text-dir", os.path.join(d, "docs"), "--output", os.path.join(d, "kw"), "--k", "1"], spark)
+    top = {os.path.basename(r.doc_id): r.term for r in spark.read.parquet(os.path.join(d, "kw")).collect()}
+    # a: apple x2 (df 2) vs cherry x1 (df 1): 2*ln(4/3)=0.575 < ln(4/2)=0.693 -> cherry
+    assert top == {"a.txt": "cherry", "b.txt": "date", "c.txt": "apple"}
