@@ -142,3 +142,14 @@ def test_new_guests_by_cookie(spark):
     known = spark.createDataFrame([("g1",)], "user string")
     log = spark.createDataFrame([("g1",), ("g2",), ("g2",), ("",)], "gki string")
     assert [r.user for r in pt.new_users(known, log, "gki").collect()] == ["g2"]
+
+
+def test_pack_ties_ordered_by_name(spark):
+    rows = [("u", DIM_TOTAL_INTEREST, "M2", "b", 1.0, 1), ("u", DIM_TOTAL_INTEREST, "M2", "a", 1.0, 1),
+            ("u", DIM_TOTAL_INTEREST, "M1", "z", 2.0, 1),
+            ("u", DIM_SUBJECT, "", "y", 3.0, 1), ("u", DIM_SUBJECT, "", "x", 3.0, 1)]
+    packed = {r.dim: r.json for r in pt.pack_portrait(spark.createDataFrame(rows, TAGS_SCHEMA)).collect()}
+    nested = json.loads(packed[DIM_TOTAL_INTEREST])
+    assert list(nested) == ["M1", "M2"]            # equal totals (2.0): module code decides
+    assert list(nested["M2"]) == ["a", "b"]        # equal weights: tag decides
+    assert list(json.loads(packed[DIM_SUBJECT])) == ["x", "y"]
