@@ -2,24 +2,37 @@
 
 from __future__ import annotations
 
+from . import preference
 from .common import prepare, table
+from .decontam import find_leaks
 from .hostrules import quality_rules
+from .langid import identify_languages
 from .packing import pack_documents
+from .pii import find_personal_data
+from .preference import format_preferences
+from .secret_scan import scan_secrets
 from .shards import shard_documents
 
 
-def _over_documents(operator):
+def _over(operator, *tables):
     def run(spark, sf_dir):
         prepare(spark)
-        return operator(table(spark, sf_dir, "documents"))
+        return operator(*(table(spark, sf_dir, t) for t in tables))
     run.__name__ = operator.__name__
     return run
 
 
 QUERIES = {
-    "op1_slot_shards": _over_documents(shard_documents),
-    "op2_nnls_packing": _over_documents(pack_documents),
-    "op8_host_rules": _over_documents(quality_rules),
+    "op1_slot_shards": _over(shard_documents, "documents"),
+    "op2_nnls_packing": _over(pack_documents, "documents"),
+    "op3_semi_crf_pii": _over(find_personal_data, "documents"),
+    "op5_preference_format": _over(format_preferences, "conversations"),
+    "op7_bitmask_langid": _over(identify_languages, "documents"),
+    "op8_host_rules": _over(quality_rules, "documents"),
+    "op9_randomness_secrets": _over(scan_secrets, "documents"),
+    "op10_bm25_decontam": _over(find_leaks, "documents", "benchmark"),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op5_preference_format": preference.ORACLE,
+}
