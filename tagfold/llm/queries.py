@@ -12,6 +12,7 @@ from .pii import find_personal_data
 from .preference import format_preferences
 from .secret_scan import scan_secrets
 from .shards import shard_documents
+from .suffixes import remove_repeats
 
 
 def _over(operator, *tables):
@@ -27,6 +28,7 @@ QUERIES = {
     "op2_nnls_packing": _over(pack_documents, "documents"),
     "op3_semi_crf_pii": _over(find_personal_data, "documents"),
     "op5_preference_format": _over(format_preferences, "conversations"),
+    "op6_suffix_family": _over(remove_repeats, "documents"),
     "op7_bitmask_langid": _over(identify_languages, "documents"),
     "op8_host_rules": _over(quality_rules, "documents"),
     "op9_randomness_secrets": _over(scan_secrets, "documents"),
