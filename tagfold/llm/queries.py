@@ -6,6 +6,7 @@ from . import preference
 from .common import prepare, table
 from .decontam import find_leaks
 from .hostrules import quality_rules
+from .jaccard import join_near_copies
 from .langid import identify_languages
 from .packing import pack_documents
 from .pii import find_personal_data
@@ -27,6 +28,7 @@ QUERIES = {
     "op1_slot_shards": _over(shard_documents, "documents"),
     "op2_nnls_packing": _over(pack_documents, "documents"),
     "op3_semi_crf_pii": _over(find_personal_data, "documents"),
+    "op4_jaccard_metric_join": _over(join_near_copies, "documents"),
     "op5_preference_format": _over(format_preferences, "conversations"),
     "op6_suffix_family": _over(remove_repeats, "documents"),
     "op7_bitmask_langid": _over(identify_languages, "documents"),
@@ -36,5 +38,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_jaccard_metric_join": _over(join_near_copies, "documents"),
     "op5_preference_format": preference.ORACLE,
 }
