@@ -36,6 +36,8 @@ MAX_ATOMS = 8
 EPOCHS = 6
 # an added span needs this posterior odds over leaving its atoms unmarked
 MIN_MARGIN = 2.0
+# score of a feature that no training segment had
+UNSEEN = -2.0
 
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -230,9 +232,8 @@ def train(texts: list[str], epochs: int = EPOCHS, seed: int = 7) -> dict[str, fl
             a, b = _forward(n, lat, score), _backward(n, lat, score)
             for x, ((i, j, _, feats), s) in enumerate(zip(lat, score)):
                 g = (x in best) - math.exp(a[i] + s + b[j + 1] - a[n])
-                if abs(g) > 1e-6:
-                    for f in feats:
-                        w[f] = w.get(f, 0.0) + rate * (g - 1e-4 * w.get(f, 0.0))
+                for f in feats:
+                    w[f] = w.get(f, 0.0) + rate * (g - 1e-4 * w.get(f, 0.0))
     return w
 
 
@@ -247,7 +248,7 @@ def decode(text: str, w: dict[str, float]) -> list[tuple[int, int, int]]:
             for j in range(i, min(n, i + MAX_ATOMS)):
                 for k in allowed(text, chain, i, j):
                     some = True
-                    s = sum(w.get(f, 0.0) for f in features(text, chain, i, j, k))
+                    s = sum(w.get(f, UNSEEN) for f in features(text, chain, i, j, k))
                     ends[j + 1].append((i, k, s - MIN_MARGIN))
         if not some:
             continue
