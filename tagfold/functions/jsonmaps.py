@@ -22,9 +22,10 @@ SCORE_MAP = "map<string,double>"
 
 
 def json_string(s: Column) -> Column:
-    """A JSON string literal for ``s`` (backslash and quote escaped)."""
-    esc = F.replace(F.replace(s, F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
-    return F.concat(F.lit('"'), esc, F.lit('"'))
+    """A JSON string literal for ``s``; quotes, backslashes and control
+    characters are escaped by ``to_json``, so the text holds no line break."""
+    one = F.to_json(F.array(s))
+    return F.when(s.isNotNull(), F.substr(one, F.lit(2), F.length(one) - 2))
 
 
 def tag_entry(tag: Column, weight: Column, last_ms: Column) -> Column:
@@ -55,8 +56,3 @@ def nested_tags(text: Column) -> Column:
     """Nested tag map text -> map; empty inner maps dropped."""
     m = F.coalesce(F.from_json(text, NESTED_MAP), F.create_map().cast(NESTED_MAP))
     return F.map_filter(m, lambda k, v: F.size(v) > 0)
-
-
-def score_map(text: Column) -> Column:
-    m = F.from_json(text, SCORE_MAP)
-    return F.coalesce(m, F.create_map().cast(SCORE_MAP))

@@ -4,10 +4,9 @@ Keyword extraction is plain DataFrame work: tokens are exploded, term
 frequencies and document frequencies are partial aggregates (map-side
 combined, so a term present in every document still ships one row per map
 task), and the per-document top-k is ``row_number() <= k`` (WindowGroupLimit
-trims each document before the window's exchange). The tf x df join is left
-to the planner: AQE broadcasts the document-frequency side when its runtime
-size is under the broadcast threshold and splits skewed partitions of a
-sort-merge join otherwise.
+trims each document before the window's exchange). The tf x df join reads two
+written tables: AQE broadcasts the document frequencies when they are small
+and splits skewed partitions of a sort-merge join otherwise.
 
 IDF is MLlib's: ``ln((N + 1) / (df + 1))``.
 """
@@ -18,17 +17,26 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.jsonmaps import json_string
+from ..functions.stopwords import ENGLISH_STOP_WORDS
+from ..session import scratch_path
 
-# Tokens are maximal runs of a-z in the lower-cased text, at
-# least three characters long.
-TOKEN_SPLIT = "[^a-z]+"
-MIN_TOKEN_LEN = 3
+# A token is a run of letters, marks and digits of any script, lower-cased.
+# Han characters are written without blanks; each is a token of its own.
+TOKEN_SPLIT = r"[^\p{L}\p{M}\p{N}]+"
+UNSPACED = r"(\p{IsHan})"
 
 
 def token_array(text: Column) -> Column:
-    """Lower-cased alphabetic tokens of at least MIN_TOKEN_LEN characters."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), TOKEN_SPLIT),
-                    lambda t: F.length(t) >= MIN_TOKEN_LEN)
+    """Lower-cased tokens of the whole text, of any length."""
+    spaced = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), UNSPACED, " $1 ")
+    return F.filter(F.split(spaced, TOKEN_SPLIT), lambda t: t != "")
+
+
+def _table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared folder, and a scan of it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def term_frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -41,16 +49,12 @@ def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """(doc_id, term, tf, df, score) with ``score = tf * ln((N+1)/(df+1))``.
 
     N is one scalar (a count job); the document frequencies come from the
-    (doc, term) aggregate, so a document counts once per term. The
-    (doc, term, tf) table is checkpointed before it is used twice."""
-    from ..session import checkpoint_dir
-    checkpoint_dir(docs.sparkSession)
+    (doc, term) aggregate, so a document counts once per term. Both sides of
+    the join are written tables: tokenising runs once, and each side is a plain
+    exchange, which AQE splits where a term is in very many documents."""
     n_docs = docs.count()
-    # Tokenising is the expensive part and both the tf and the df side need
-    # it; a reliable checkpoint (shared folder) runs it once and cuts the
-    # lineage, where plan reuse would not (pruning makes the two differ).
-    tf = term_frequencies(docs, id_col, text_col).checkpoint(eager=True)
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    tf = _table(term_frequencies(docs, id_col, text_col), "tf")
+    df = _table(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "df")
     idf = F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))
     return tf.join(df, "term").select("doc_id", "term", "tf", "df", (F.col("tf") * idf).alias("score"))
 
@@ -95,41 +99,24 @@ def hashing_tfidf(docs: DataFrame, num_features: int = 20) -> DataFrame:
         Tokenizer(inputCol="text", outputCol="words"),
         HashingTF(inputCol="words", outputCol="tf", numFeatures=num_features),
         IDF(inputCol="tf", outputCol="features")])
-    d = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
+    d = _table(docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")), "texts")
     out = pipe.fit(d).transform(d)
     return out.select("doc_id", vector_to_array("features").alias("features"))
 
 
-def english_stop_words() -> list[str]:
-    """MLlib's default English stop-word list, read from the Spark ML jar
-    (no JVM needed, so an oracle can use the very same list)."""
-    import glob
-    import os
-    import zipfile
-
-    import pyspark
-    jar = sorted(glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar")))[0]
-    with zipfile.ZipFile(jar) as z:
-        return z.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8").split()
+def count_tfidf(docs: DataFrame, vocab_size: int = 5, stop_words=ENGLISH_STOP_WORDS) -> DataFrame:
+    """M2: tokens + stop words removed + count vectorizer over a vocabulary of
+    ``vocab_size`` + IDF; intermediates dropped; features rounded to 6 decimals.
 
-
-def count_tfidf(docs: DataFrame, vocab_size: int = 5) -> DataFrame:
-    """M2: tokens + stop words removed (MLlib's English list) + count
-    vectorizer over a vocabulary of ``vocab_size`` + IDF; intermediates
-    dropped; features rounded to 6 decimals.
-
-    Tokens are what ``RegexTokenizer(pattern=TOKEN_SPLIT, minTokenLength=3)``
-    and ``StopWordsRemover`` produce, built with SQL array functions (the ML
-    transformers convert every array through a Scala UDF, about twice as
-    slow). The vocabulary is the ``vocab_size`` most frequent terms, ties by
-    term: a partial aggregate plus a top-k (only ``vocab_size`` words reach
-    the driver), handed to ``CountVectorizerModel.from_vocabulary``; MLlib's
-    own fit breaks count ties arbitrarily."""
+    The token table is written once and read by the vocabulary, the IDF fit and
+    the transform. The vocabulary is the ``vocab_size`` most frequent terms,
+    ties by term: a partial aggregate plus a top-k (only ``vocab_size`` words
+    reach the driver), handed to ``CountVectorizerModel.from_vocabulary``;
+    MLlib's own fit breaks count ties arbitrarily."""
     from pyspark.ml.feature import IDF, CountVectorizerModel
     from pyspark.ml.functions import vector_to_array
-    stops = english_stop_words()
-    content = F.filter(token_array(F.col("text")), lambda t: ~t.isin(stops))
-    tok = docs.select("doc_id", content.alias("content"))
+    content = F.filter(token_array(F.col("text")), lambda t: ~t.isin(list(stop_words)))
+    tok = _table(docs.select("doc_id", content.alias("content")), "tokens")
     counts = tok.select(F.explode("content").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
     vocab = [r.term for r in counts.orderBy(F.desc("n"), F.asc("term")).limit(vocab_size).collect()]
     feat = CountVectorizerModel.from_vocabulary(vocab, inputCol="content", outputCol="feature").transform(tok)
@@ -137,17 +124,25 @@ def count_tfidf(docs: DataFrame, vocab_size: int = 5) -> DataFrame:
     return out.select("doc_id", F.transform(vector_to_array("features"), lambda x: F.round(x, 6)).alias("features"))
 
 
-def word2vec_vectors(docs: DataFrame, vector_size: int = 3, min_count: int = 0, seed: int = 42,
-                     partitions: int | None = None) -> DataFrame:
-    """M6: Word2Vec document vectors (mean of word vectors). Training runs
-    on ``partitions`` partitions (default: the session's parallelism), not
-    on MLlib's default of one."""
+def word2vec_vectors(docs: DataFrame, vocab_size: int, vector_size: int = 3, seed: int = 42,
+                     partitions: int = 8) -> DataFrame:
+    """M6: Word2Vec document vectors (mean of word vectors) over the
+    ``vocab_size`` most frequent words. MLlib gathers the vocabulary and its
+    vectors on the driver, so the caller states their number; other words are
+    left out, as ``minCount`` does. Training runs on ``partitions`` partitions,
+    a parameter of the model and not of the cluster."""
     from pyspark.ml.feature import Word2Vec
     from pyspark.ml.functions import vector_to_array
-    spark = docs.sparkSession
-    parts = partitions or spark.sparkContext.defaultParallelism
-    d = docs.select("doc_id", token_array(F.col("text")).alias("words"))
-    w2v = Word2Vec(vectorSize=vector_size, minCount=min_count, seed=seed, numPartitions=parts,
+    tok = _table(docs.select("doc_id", token_array(F.col("text")).alias("words")), "tokens")
+    counts = tok.select(F.explode("words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    vocab = [r.term for r in counts.orderBy(F.desc("n"), F.asc("term")).limit(vocab_size).collect()]
+    known = F.broadcast(docs.sparkSession.createDataFrame([(t,) for t in vocab], "term string"))  # vocab_size rows
+    kept = (tok.select("doc_id", F.posexplode("words").alias("pos", "term")).join(known, "term")
+            .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("w"))
+            .select("doc_id", F.col("w.term").alias("kept")))
+    d = _table(tok.select("doc_id").join(kept, "doc_id", "left")
+               .select("doc_id", F.coalesce("kept", F.array().cast("array<string>")).alias("words")), "words")
+    w2v = Word2Vec(vectorSize=vector_size, minCount=0, seed=seed, numPartitions=partitions,
                    inputCol="words", outputCol="vector")
     out = w2v.fit(d).transform(d)
     return out.select("doc_id", vector_to_array("vector").alias("vector"))

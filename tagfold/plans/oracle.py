@@ -10,6 +10,7 @@ floating-point division.
 
 from __future__ import annotations
 
+from ..functions.stopwords import ENGLISH_STOP_WORDS
 from ..functions.tags import ARTICLE_ACTIONS, BOT_MARKERS
 from ..schemas import GUEST_COLUMNS, LOG_FIELDS, PORTRAIT_COLUMNS
 from ..operators.filters import OTHER_TYPE, TYPE_CLASSES
@@ -534,12 +535,13 @@ FROM d""",
 }
 
 
-# TF-IDF over whole documents: tokens = runs of a-z in the lower-cased text,
-# length >= 3; idf = ln((N + 1) / (df + 1)); ties by term.
-TFIDF = """
+# TF-IDF over whole documents: tokens = runs of letters, marks and digits of the
+# lower-cased text, Han characters one by one; idf = ln((N + 1) / (df + 1)); ties by term.
+TOKENS = r"""regexp_split_to_array(regexp_replace(lower(coalesce(text, '')), '(\p{Han})', ' \1 ', 'g'),
+                                    '[^\p{L}\p{M}\p{N}]+')"""
+TFIDF = f"""
 toks AS (
-  SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z]+'),
-                                    lambda t: length(t) >= 3)) AS term
+  SELECT doc_id, unnest(list_filter({TOKENS}, lambda t: t <> '')) AS term
   FROM documents
 ),
 tf AS (SELECT doc_id, term, count(*) AS tf FROM toks GROUP BY ALL),
@@ -666,13 +668,11 @@ GROUP BY p.usr, p.ri"""
 ORACLE_SQL["ua_daily_export"] = ORACLE_SQL["ua_daily_counts"]
 
 
-def _count_tfidf_sql(vocab_size: int = 5) -> str:
-    from ..operators.text import english_stop_words
-    stops = _list(english_stop_words())
+def _count_tfidf_sql(vocab_size: int = 5, stop_words=ENGLISH_STOP_WORDS) -> str:
+    stops = _list(list(stop_words))
     return f"""
 WITH toks AS (
-  SELECT doc_id, unnest(list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z]+'),
-                                    lambda t: length(t) >= 3 AND NOT list_contains({stops}, t))) AS term
+  SELECT doc_id, unnest(list_filter({TOKENS}, lambda t: t <> '' AND NOT list_contains({stops}, t))) AS term
   FROM documents
 ),
 cnt AS (SELECT term, count(*) AS c FROM toks GROUP BY term),
@@ -691,10 +691,7 @@ LEFT JOIN df ON df.term = g.term CROSS JOIN n
 GROUP BY g.doc_id"""
 
 
-try:  # the stop-word list is read from the Spark ML jar; without it this oracle is left out
-    ORACLE_SQL["count_tfidf"] = _count_tfidf_sql(5)
-except (OSError, IndexError, KeyError):
-    pass
+ORACLE_SQL["count_tfidf"] = _count_tfidf_sql(5)
 
 ORACLE_SQL["read_related_authors"] = (
     "SELECT UserName, TotalRelatedAuthor, RecentRelatedAuthor FROM (" + ORACLE_SQL["portrait_wide"] + ")")
