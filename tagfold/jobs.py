@@ -26,7 +26,7 @@ from .operators import recommend as rc
 from .operators import stats as st
 from .operators import text as tx
 from .schemas import LOG_FIELDS, TAG_COLUMNS
-from .session import checkpoint_dir, get_spark
+from .session import checkpoint_dir, get_spark, path_exists
 from .sinks import writers as wr
 from .sources import readers as rd
 
@@ -43,9 +43,21 @@ def _with_time(log: DataFrame) -> DataFrame:
                       F.date_format(F.timestamp_millis(vt_ms), "yyyyMMdd").try_cast("int").alias("log_day"))
 
 
-def _publish(spark: SparkSession, table: str | None, path: str, fmt: str = "parquet") -> None:
+def _publish(spark: SparkSession, table: str | None, path: str, fmt: str = "parquet", **how) -> None:
     if table:
-        wr.publish_location(spark, table, path, fmt)
+        wr.publish_location(spark, table, path, fmt, **how)
+
+
+def _users_path(portrait: str) -> str:
+    """The users of a stored portrait, those without any tag included."""
+    return portrait.rstrip("/") + "_users"
+
+
+def _users(spark: SparkSession, portrait: str, tags: DataFrame) -> DataFrame:
+    """Users of a stored portrait; of one without a users table, those of its tags."""
+    if path_exists(spark, _users_path(portrait)):
+        return spark.read.parquet(_users_path(portrait)).select("user")
+    return tags.select("user").distinct()
 
 
 def job_format_log(spark, a):
@@ -53,6 +65,9 @@ def job_format_log(spark, a):
     lines = spark.read.text(a.input)
     log = flt.bot_filter(rd.read_raw_log(lines))
     wr.write_parquet(_with_time(log), a.output, ["log_day"])
+    # lines that are not log rows are left out and counted
+    counts = rd.raw_log_counts(lines)
+    wr.write_parquet(counts, a.output.rstrip("/") + "_counts")
 
 
 def job_portrait_update(spark, a):
@@ -64,48 +79,48 @@ def job_portrait_update(spark, a):
     if a.portrait:
         old = spark.read.parquet(a.portrait).select(*TAG_COLUMNS)
         tags = pt.portrait_update(old, log, as_of, stops, a.min_weight, a.min_keywords)
-        known = old.select("user").distinct()
+        known = _users(spark, a.portrait, old)
     else:
         tags = pt.log_portrait(log, stop_names=stops)
         known = None
     wr.write_parquet(tags, a.output, ["dim"])    # decay reads only its dimensions
+    users = pt.log_users(log)
+    if known is not None:
+        users = users.unionByName(known).distinct()
+    wr.write_parquet(users, _users_path(a.output))
     _publish(spark, a.table, a.output)
     if a.wide_output:
-        saved = spark.read.parquet(a.output)
-        users = pt.log_users(log)
-        if known is not None:
-            users = users.unionByName(known).distinct()
+        saved, users = spark.read.parquet(a.output), spark.read.parquet(_users_path(a.output))
         wr.write_delimited(pt.portrait_wide(users, saved, a.as_of), a.wide_output, "&")
 
 
 def job_serving(spark, a):
     """P10: truncated serving portrait from a stored long-form portrait."""
     tags = spark.read.parquet(a.portrait).select(*TAG_COLUMNS)
-    users = tags.select("user").distinct()
+    users = _users(spark, a.portrait, tags)
     out = pt.serving_portrait(users, tags, a.as_of, a.n)
     if a.format == "csv":
         wr.write_delimited(out, a.output, "&")
+        _publish(spark, a.table, a.output, "csv", schema=", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema),
+                 options={"sep": "&"})
     else:
         wr.write_parquet(out, a.output)
-    _publish(spark, a.table, a.output, a.format)
+        _publish(spark, a.table, a.output, a.format)
 
 
 def job_guest_portrait(spark, a):
-    """Stored guest scores (user, code, score, latest_ms) + log."""
+    """Stored guest scores (user, code, score, latest_ms) + log. Scores
+    are decayed up to ``--as-of`` and ``latest_ms`` says so, so the next run
+    decays by the days since this one and not by those since the last log."""
     log = spark.read.parquet(a.log)
     old = spark.read.parquet(a.scores) if a.scores else None
     new = flt.guests(log)
+    as_of = _as_of_ms(a.as_of)
     if old is None:
         scores = pt.guest_visit_counts(new)
     else:
-        scores = pt.guest_portrait(old, new, _as_of_ms(a.as_of), a.coefficient, a.min_weight)
-    latest = new.groupBy(F.col("gki").alias("user")).agg(F.max("vt_ms").alias("latest_ms"))
-    out = scores.join(latest, "user", "left")
-    if old is not None:
-        prev = old.select("user", F.col("latest_ms").alias("prev_ms")).distinct()
-        out = (out.join(prev, "user", "left")
-               .withColumn("latest_ms", F.greatest("latest_ms", "prev_ms")).drop("prev_ms"))
-    wr.write_parquet(out, a.output)
+        scores = pt.guest_portrait(old, new, as_of, a.coefficient, a.min_weight)
+    wr.write_parquet(scores.withColumn("latest_ms", F.lit(as_of).cast("long")), a.output)
 
 
 def job_ranking(spark, a):
@@ -168,7 +183,9 @@ def job_als(spark, a):
     rc.als_rmse(model, test).coalesce(1).write.mode("overwrite").json(a.output + "/rmse")
     names = (rd.read_id_map(spark, a.items, "item_id", "item_name") if a.items
              else spark.createDataFrame([], "item_id int, item_name string"))
-    wr.write_parquet(rc.als_recommend(model, names, a.k), a.output + "/recommendations")
+    # candidates: the pairs given, else the held-out ratings
+    candidates = (rd.read_ratings(spark, a.candidates) if a.candidates else test).select("user_id", "item_id")
+    wr.write_parquet(rc.als_recommend(model, candidates, names, a.k), a.output + "/recommendations")
 
 
 def job_cells(spark, a):
@@ -208,7 +225,7 @@ def _parser() -> argparse.ArgumentParser:
     add("keywords", job_keywords, ("--docs", {}), ("--text-dir", {}), ("--output", req),
         ("--k", {"type": int, "default": 25}),
         ("--id-col", {"default": "doc_id"}), ("--text-col", {"default": "text"}))
-    add("als", job_als, ("--ratings", req), ("--model", req), ("--output", req), ("--items", {}),
+    add("als", job_als, ("--ratings", req), ("--model", req), ("--output", req), ("--items", {}), ("--candidates", {}),
         ("--k", {"type": int, "default": 10}))
     add("cells", job_cells, ("--log", req), ("--output", req))
     return p

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.tags import ARTICLE_ACTIONS, BOT_MARKERS, is_human
+from ..functions.tags import BOT_MARKERS, is_human
 
 # Spellings of publication types and the class each maps to;
 # every other spelling maps to the class "其他" (other).
@@ -18,8 +18,7 @@ TYPE_CLASSES = [
     (["报纸文献", "CCND", "报纸"], "报纸"),
 ]
 OTHER_TYPE = "其他"
-# The six classes ranked separately, in report order.
-TYPE_ORDER = ["会议", "博士", "期刊", "硕士", "报纸", "其他"]
+
 
 
 def bot_filter(log: DataFrame, markers=BOT_MARKERS) -> DataFrame:
@@ -27,27 +26,11 @@ def bot_filter(log: DataFrame, markers=BOT_MARKERS) -> DataFrame:
     return log.where(is_human(F.col("ua"), markers))
 
 
-def registered(log: DataFrame) -> DataFrame:
-    """rows of signed-in users."""
-    return log.where(F.col("un").isNotNull() & (F.col("un") != ""))
-
-
 def guests(log: DataFrame) -> DataFrame:
     """rows without a user name but with a class code."""
     return log.where((F.col("un") == "") & (F.col("rcc") != ""))
 
 
-def article_reads(log: DataFrame) -> DataFrame:
-    """article rows with a class code and a reading action."""
-    return log.where((F.col("ro") == "article") & (F.col("rcc") != "")
-                     & F.col("ac").isin(ARTICLE_ACTIONS))
-
-
-def searches(log: DataFrame) -> DataFrame:
-    """search rows."""
-    return log.where(F.col("ac") == "search")
-
-
 def normalize_type(c: Column) -> Column:
     """F8: publication-type spelling -> one of six classes."""
     out = F.lit(OTHER_TYPE)

@@ -127,25 +127,24 @@ def decay_recent_interest(tags: DataFrame, as_of_ms: int, min_weight: float = MI
     The sequential rule equals a rank rule: with ``h`` tags kept anyway,
     exactly the LAST ``max(0, min_keywords + 1 - h)`` low tags (in portrait
     order: modules by total weight desc then code, tags by weight desc then
-    tag) survive. One exchange on (user, dim) serves all three windows
-    (module total, kept count, rank among the low tags); the input is a
-    stored portrait, already one row per tag.
+    tag) survive. Module totals and ``h`` are partial aggregates; only low tags
+    are ranked, and as at most ``min_keywords + 1`` of a user survive, the rank
+    filter trims them before the window's exchange.
     """
     fraction = min_weight if fraction is None else fraction
     keep_n = min_keywords + 1
     w2 = floor_and_round(F.col("weight") * decay_factor(
         whole_days(as_of_ms, F.col("last_ms")), PERIOD_DAYS, fraction))
-    t = (tags.select(*TAG_COLUMNS).repartition("user", "dim")
-         .withColumn("w2", w2).withColumn("low", F.col("w2") < F.lit(min_weight)))
-    by_mod = Window.partitionBy("user", "dim", "module")
-    by_dim = Window.partitionBy("user", "dim")
-    rev = Window.partitionBy("user", "dim", "low").orderBy(
-        F.asc("mw"), F.desc("module"), F.asc("weight"), F.desc("tag"))
-    t = (t.withColumn("mw", F.round(F.sum("weight").over(by_mod), 4))
-         .withColumn("h", F.sum((~F.col("low")).cast("int")).over(by_dim))
-         .withColumn("rn", F.row_number().over(rev)))
-    kept = t.where(~F.col("low") | (F.col("rn") <= F.lit(keep_n) - F.col("h")))
-    return kept.select(*KEYS, F.col("w2").alias("weight"), "last_ms")
+    t = tags.select(*TAG_COLUMNS).withColumn("w2", w2).withColumn("low", F.col("w2") < F.lit(min_weight))
+    high, low = t.where(~F.col("low")), t.where(F.col("low"))
+    totals = t.groupBy("user", "dim", "module").agg(F.round(F.sum("weight"), 4).alias("mw"))
+    kept_anyway = high.groupBy("user", "dim").agg(F.count(F.lit(1)).alias("h"))
+    last = Window.partitionBy("user", "dim").orderBy(F.asc("mw"), F.desc("module"), F.asc("weight"), F.desc("tag"))
+    ranked = (low.join(totals, ["user", "dim", "module"]).withColumn("rn", F.row_number().over(last))
+              .where(F.col("rn") <= keep_n).join(kept_anyway, ["user", "dim"], "left")
+              .where(F.col("rn") <= F.lit(keep_n) - F.coalesce("h", F.lit(0))))
+    out = [*KEYS, F.col("w2").alias("weight"), "last_ms"]
+    return high.select(*out).unionByName(ranked.select(*out))
 
 
 def decay_recent_author(tags: DataFrame, as_of_ms: int, fraction: float = MIN_WEIGHT) -> DataFrame:
@@ -210,15 +209,9 @@ def portrait_update(old_tags: DataFrame, log: DataFrame, as_of_ms: int,
 
 # ---------------------------------------------------------------- packing
 
-def _by_user(tags: DataFrame) -> DataFrame:
-    """One exchange on ``user``: every later window and aggregate of the
-    packing (keyed by user, dim, module) is satisfied by it, and the packed
-    row of a user has to be built in one task anyway."""
-    return tags.repartition("user")
-
-
 def _packed(tags: DataFrame) -> DataFrame:
-    """Long form (clustered by user) -> (user, dim, json) in canonical order:
+    """Long form -> (user, dim, json) in canonical order, built per module and
+    only put together per dimension and user:
     tags by weight desc then tag; modules of a nested dimension by total
     weight desc then code (``mw`` when the rows carry the total of their
     untruncated module, else the sum of the given rows). A flat dimension
@@ -242,7 +235,7 @@ def _packed(tags: DataFrame) -> DataFrame:
 
 def pack_portrait(tags: DataFrame) -> DataFrame:
     """Long form -> (user, dim, json) in canonical order."""
-    return _packed(_by_user(tags.select(*TAG_COLUMNS)))
+    return _packed(tags.select(*TAG_COLUMNS))
 
 
 def _wide(users: DataFrame, packed: DataFrame) -> DataFrame:
@@ -269,15 +262,17 @@ def truncate_portrait(tags: DataFrame, n: int = 3) -> DataFrame:
     nested dimension and first n tags within each kept module (a flat
     dimension is the single module '', so one rule covers both). Rows carry
     ``mw``, the total of their whole module, which keeps the module order of
-    the full portrait when packed. Clustered by user for the packing."""
-    by_mod = Window.partitionBy("user", "dim", "module")
+    the full portrait when packed. Module totals are a partial aggregate, and
+    both cuts are ``row_number() <= n``, which WindowGroupLimit applies before
+    its exchange; the full portrait is shuffled once, by module, to join the
+    modules that stay."""
     mod_order = Window.partitionBy("user", "dim").orderBy(F.desc("mw"), F.asc("module"))
     tag_order = Window.partitionBy("user", "dim", "module").orderBy(F.desc("weight"), F.asc("tag"))
-    t = (_by_user(tags.select(*TAG_COLUMNS))
-         .withColumn("mw", F.round(F.sum("weight").over(by_mod), 4))
-         .withColumn("mrank", F.dense_rank().over(mod_order))
-         .withColumn("trank", F.row_number().over(tag_order)))
-    return t.where((F.col("mrank") <= n) & (F.col("trank") <= n)).select(*TAG_COLUMNS, "mw")
+    t = tags.select(*TAG_COLUMNS)
+    mods = (t.groupBy("user", "dim", "module").agg(F.round(F.sum("weight"), 4).alias("mw"))
+            .withColumn("mrank", F.row_number().over(mod_order)).where(F.col("mrank") <= n).drop("mrank"))
+    top = t.join(mods, ["user", "dim", "module"]).withColumn("trank", F.row_number().over(tag_order))
+    return top.where(F.col("trank") <= n).select(*TAG_COLUMNS, "mw")
 
 
 def serving_portrait(users: DataFrame, tags: DataFrame, latest_log_time: str, n: int = 3) -> DataFrame:
@@ -319,9 +314,10 @@ def guest_visit_counts(guest_log: DataFrame) -> DataFrame:
     """Per (guest cookie, class code) the number of article rows whose
     ``rcc`` lists the code (a code listed twice in one row counts twice;
     codes are cut with JVM split semantics, so an empty code between two
-    ';' counts as the reference counts it)."""
+    ';' counts as the reference counts it). A row without a cookie belongs to
+    no guest, here as in ``new_users`` over cookies."""
     codes = java_split(F.col("rcc"), ";")
-    rows = (guest_log.where((F.col("ro") == "article") & (F.col("rcc") != ""))
+    rows = (guest_log.where((F.col("ro") == "article") & (F.col("rcc") != "") & (F.col("gki") != ""))
             .select(F.col("gki").alias("user"), F.explode(codes).alias("code")))
     return rows.groupBy("user", "code").agg(F.count(F.lit(1)).cast("double").alias("score"))
 
@@ -360,8 +356,7 @@ def legacy_keyword_portrait(log: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- roster
 
-def initial_roster(named_lines: DataFrame, *name_lists: DataFrame, checkpoint: bool = True,
-                   partitions: int | None = None) -> DataFrame:
+def initial_roster(named_lines: DataFrame, *name_lists: DataFrame, partitions: int | None = None) -> DataFrame:
     """P11 (U4 + W11): names from a two-field TSV (second field) and plain
     name lists; blanks removed; distinct; ids 0.. in name order; empty
     portraits in the 14-column legacy layout.
@@ -380,10 +375,9 @@ def initial_roster(named_lines: DataFrame, *name_lists: DataFrame, checkpoint: b
     spark = names.sparkSession
     nparts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = names.repartitionByRange(nparts, "name").withColumn("pid", F.spark_partition_id())
-    if checkpoint:
-        from ..session import checkpoint_dir
-        checkpoint_dir(spark)
-        ranged = ranged.checkpoint(eager=True)
+    from ..session import checkpoint_dir
+    checkpoint_dir(spark)
+    ranged = ranged.checkpoint(eager=True)
     numbered = ranged.withColumn("rn", F.row_number().over(Window.partitionBy("pid").orderBy("name")) - 1)
     counts = ranged.groupBy("pid").agg(F.count(F.lit(1)).alias("c"))
     offs = counts.withColumn("off", F.coalesce(F.sum("c").over(

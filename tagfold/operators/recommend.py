@@ -9,10 +9,11 @@ given (user, item) pairs -- never for the user x item product.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.tags import interest_keywords, interest_modules
+from ..session import path_exists
 
 
 def hash_split(ratings: DataFrame, id_col: str, train_share: int = 8, buckets: int = 10):
@@ -31,15 +32,15 @@ def als_model(train: DataFrame, max_iter: int = 5, reg: float = 0.01, seed: int
 
 
 def load_or_train(path: str, train: DataFrame, **params):
-    """Load the ALS model saved at ``path`` when it exists,
-    otherwise train it and save it there."""
+    """Load the ALS model saved at ``path`` when there is one,
+    otherwise train it and save it there. A model that is there but cannot be
+    loaded is an error and stays as it is."""
     from pyspark.ml.recommendation import ALSModel
-    try:
+    if path_exists(train.sparkSession, path):
         return ALSModel.load(path)
-    except Exception:  # noqa: BLE001 -- no model at that path yet
-        model = als_model(train, **params)
-        model.write().overwrite().save(path)
-        return model
+    model = als_model(train, **params)
+    model.write().save(path)
+    return model
 
 
 def als_rmse(model, test: DataFrame) -> DataFrame:
@@ -49,14 +50,18 @@ def als_rmse(model, test: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("scored_rows"))
 
 
-def als_recommend(model, item_names: DataFrame, k: int = 10) -> DataFrame:
-    """Top-k items per user, exploded, item names attached with a
-    left join ('' when unknown)."""
-    recs = model.recommendForAllUsers(k).select("user_id", F.posexplode("recommendations").alias("pos", "r"))
-    recs = recs.select("user_id", (F.col("pos") + 1).alias("rank"), F.col("r.item_id").alias("item_id"),
-                       F.col("r.rating").alias("score"))
-    return (recs.join(item_names, "item_id", "left")
-            .select("user_id", "rank", "item_id", "score", F.coalesce(F.col("item_name"), F.lit("")).alias("item_name")))
+def als_recommend(model, candidates: DataFrame, item_names: DataFrame, k: int = 10) -> DataFrame:
+    """The k best of the given (user_id, item_id) candidates per user
+    by predicted rating (ties by item), item names attached with a left join
+    ('' when unknown). Users and items that the model does not know drop out.
+    Only the given pairs are scored, never users x items; WindowGroupLimit
+    keeps k rows per user and map task before the exchange."""
+    w = Window.partitionBy("user_id").orderBy(F.desc("prediction"), F.asc("item_id"))
+    p = model.transform(candidates.select("user_id", "item_id").distinct())
+    top = p.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return (top.join(item_names, "item_id", "left")
+            .select("user_id", "rank", "item_id", F.col("prediction").alias("score"),
+                    F.coalesce(F.col("item_name"), F.lit("")).alias("item_name")))
 
 
 def item_tags(items: DataFrame) -> DataFrame:
@@ -78,3 +83,13 @@ def content_match(pairs: DataFrame, user_tags: DataFrame, items: DataFrame) -> D
     ut = user_tags.select("user", "module", "tag", F.col("weight").alias("uw"))
     j = pairs.join(it, "item").join(ut, ["user", "module", "tag"])
     return j.groupBy("user", "item").agg(F.round(F.sum(F.col("uw") * F.col("iw")), 4).alias("score"))
+
+
+def recommend_unseen(scores: DataFrame, seen: DataFrame, already: DataFrame, n: int) -> DataFrame:
+    """R4 tail over given (user, item) scores: pairs without a positive score,
+    seen by the user or recommended before are dropped; the n best stay, ranked
+    (ties by item)."""
+    keep = (scores.where(F.col("score") > 0).join(seen.select("user", "item"), ["user", "item"], "left_anti")
+            .join(already.select("user", "item"), ["user", "item"], "left_anti"))
+    w = Window.partitionBy("user").orderBy(F.desc("score"), F.asc("item"))
+    return keep.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).select("user", "rank", "item", "score")

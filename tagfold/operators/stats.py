@@ -49,8 +49,8 @@ def top_articles_by_type(events: DataFrame, titles: DataFrame, n: int = 100,
     counted files of each class, joined to one title per file.
 
     The title side is reduced to one row per file (smallest title) with a
-    partial aggregate; the top-n side is bounded by 6 * n rows, so it is the
-    side that gets broadcast.
+    partial aggregate; the top-n side has at most 6 * n rows, and AQE broadcasts
+    it when that is small.
     """
     counts = (events.where(F.col("fileName").isNotNull() & F.col("dataType").isNotNull())
               .select("fileName", normalize_type(F.col("dataType")).alias("DataType"))
@@ -59,7 +59,7 @@ def top_articles_by_type(events: DataFrame, titles: DataFrame, n: int = 100,
     top = counts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= n).drop("_rn")
     one_title = (titles.where(F.col("fileName") != "")
                  .groupBy("fileName").agg(F.min("title").alias("Title")))
-    j = one_title.join(F.broadcast(top), "fileName")
+    j = one_title.join(top, "fileName")
     return j.select(F.col("fileName").alias("FileName"), "Title", "DataType",
                     F.col("BuyCount").cast("long").alias("BuyCount"),
                     F.lit(0).cast("long").alias("BrowseCount"), F.lit(year).alias("Year"))

@@ -32,6 +32,8 @@ AS_OF = fx.AS_OF_MS
 # fixture (with the 0.01 default no weight >= 1 ever falls below it).
 PRUNE_MIN_WEIGHT = 0.1
 PRUNE_FRACTION = 0.01
+# Words that Word2Vec learns vectors for (MLlib holds them on the driver).
+W2V_VOCABULARY = 2000
 
 
 def prepare_session(spark: SparkSession) -> None:
@@ -303,7 +305,7 @@ def q_count_tfidf(spark, sf_dir):
 
 
 def q_word2vec_vectors(spark, sf_dir):
-    return tx.word2vec_vectors(_documents(spark, sf_dir), 3, 0, 42)
+    return tx.word2vec_vectors(_documents(spark, sf_dir), W2V_VOCABULARY)
 
 
 # ------------------------------------------------------------ sources and sinks
@@ -465,10 +467,11 @@ def q_als_rmse(spark, sf_dir):
 
 
 def q_als_recommend(spark, sf_dir):
-    model, _ = _als(spark, sf_dir)
+    """R2 over the held-out (user, item) pairs as candidates."""
+    model, test = _als(spark, sf_dir)
     names = load(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("item_id"),
                                                 F.col("p_name").alias("item_name"))
-    return rc.als_recommend(model, names, 10)
+    return rc.als_recommend(model, test, names, 10)
 
 
 def q_content_match(spark, sf_dir):

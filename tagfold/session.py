@@ -43,9 +43,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and intermediate tables.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir) from the
-    session. Only when neither is set -- local tests -- a fresh local folder is
-    created and registered, so cluster jobs never fall back to local disk
-    silently when the cluster names a shared location.
+    session. Only where neither is set and the master is local, as in tests, a
+    fresh local folder is created; a cluster has to name a shared one.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -53,6 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir has to name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="tagfold-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
@@ -68,6 +69,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 _TABLES: dict[tuple, str] = {}
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in any file system."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def materialized(spark: SparkSession, key: str, build, partition_by: list[str] | None = None):
     """Write ``build()`` once per application as a parquet table under the
     shared checkpoint folder and return a scan of it.

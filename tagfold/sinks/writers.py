@@ -34,31 +34,59 @@ def write_delimited(df: DataFrame, path: str, sep: str = "&") -> str:
 def write_partitioned_by_date(df: DataFrame, path: str, date_col: str = "date",
                               order_col: str = "count") -> str:
     """K4: one directory per date, rows sorted by ``order_col`` descending
-    inside each file. Rows are range-partitioned by (date, count) so a large
-    day is split over several tasks instead of landing in one."""
-    (df.repartitionByRange(date_col, F.desc(order_col))
-       .sortWithinPartitions(date_col, F.desc(order_col))
+    inside each file. Rows are range-partitioned by date, count and the other
+    columns, so a large day is split over several tasks even where most of its
+    counts are equal."""
+    rest = [c for c in df.columns if c not in (date_col, order_col)]
+    (df.repartitionByRange(date_col, F.desc(order_col), *rest)
+       .sortWithinPartitions(date_col, F.desc(order_col), *rest)
        .write.mode("overwrite").partitionBy(date_col).option("sep", ",").csv(path))
     return path
 
 
-def publish_location(spark: SparkSession, table: str, path: str, fmt: str = "parquet") -> None:
-    """K5/K6: point ``table`` at ``path`` (create it on first use), then
-    refresh cached metadata so readers see the new data.
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    An unpartitioned table is switched with ``ALTER TABLE ... SET LOCATION``.
-    A partitioned one keeps a location per partition, so it is re-created
-    over the new path (the table is external: dropping it drops metadata
-    only) and its partitions are recovered from the directories."""
-    def partitioned() -> bool:
-        return any(c.isPartition for c in spark.catalog.listColumns(table))
 
-    if spark.catalog.tableExists(table) and not partitioned():
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+def publish_location(spark: SparkSession, table: str, path: str, fmt: str = "parquet", schema: str | None = None,
+                     options: dict[str, str] | None = None) -> None:
+    """K5/K6: point ``table`` at ``path`` (create it on first use), then
+    refresh cached metadata so readers see the new data. Delimited text needs
+    its columns (``schema``, DDL) and ``options`` such as the separator.
+
+    The table stays readable throughout and no file is deleted: its location
+    is switched, and of a partitioned table the location of each partition;
+    partitions that the new path lacks are dropped last (metadata only, as the
+    table is external). A managed table owns its files and is refused."""
+    opts = f" OPTIONS ({', '.join(f'{_quoted(k)} {_quoted(v)}' for k, v in options.items())})" if options else ""
+    if not spark.catalog.tableExists(table):
+        cols = f" ({schema})" if schema else ""
+        spark.sql(f"CREATE TABLE {table}{cols} USING {fmt}{opts} LOCATION {_quoted(path)}")
+    elif spark.catalog.getTable(table).tableType != "EXTERNAL":
+        raise ValueError(f"{table} is not an external table; its files are not this job's to replace")
     else:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{path}'")
-    if partitioned():
+        keys = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+        if not keys:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
+        else:
+            there = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+            new = spark.read.format(fmt).options(**(options or {})).load(path).select(*keys).distinct().collect()
+            spec = lambda vals: ", ".join(f"`{k}`={_quoted(v)}" for k, v in vals.items())
+            for r in new:
+                vals = {k: str(r[k]) for k in keys}
+                name = "/".join(f"{k}={v}" for k, v in vals.items())
+                where = f"{path.rstrip('/')}/{name}"
+                if name in there:
+                    there.discard(name)
+                    spark.sql(f"ALTER TABLE {table} PARTITION ({spec(vals)}) SET LOCATION {_quoted(where)}")
+                else:
+                    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec(vals)}) LOCATION {_quoted(where)}")
+            for name in there:
+                vals = dict(x.split("=", 1) for x in name.split("/"))
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec(vals)})")
+            spark.catalog.refreshTable(table)
+            return
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
     spark.catalog.refreshTable(table)
 

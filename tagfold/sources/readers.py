@@ -43,6 +43,12 @@ def read_raw_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return parse_log_lines(lines, value_col).where("ok").drop("ok")
 
 
+def raw_log_counts(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """One row: lines read, and lines rejected by the parser."""
+    return parse_log_lines(lines, value_col).agg(
+        F.count(F.lit(1)).alias("lines"), F.count(F.when(~F.col("ok"), 1)).alias("rejected"))
+
+
 def _json_default(c: Column) -> Column:
     """X16: '', blank or missing JSON text becomes '{}'."""
     return F.when(F.coalesce(F.trim(c), F.lit("")).isin("", '""'), F.lit("{}")).otherwise(c)
