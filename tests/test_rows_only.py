@@ -15,7 +15,7 @@ def test_als_recommend_shape(spark):
     assert by_user
     for rows in by_user.values():
         rows.sort(key=lambda r: r.rank)
-        assert [r.rank for r in rows] == list(range(1, len(rows) + 1)) and len(rows) == 10
+        assert [r.rank for r in rows] == list(range(1, len(rows) + 1)) and len(rows) <= 10
         assert all(a.score >= b.score for a, b in zip(rows, rows[1:]))
         assert len({r.item_id for r in rows}) == len(rows)
     assert any(r.item_name != "" for r in recs)
