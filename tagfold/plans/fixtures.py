@@ -44,7 +44,7 @@ def derive_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     p = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
     k = F.get_json_object("props", "$.k").try_cast("bigint")
-    j = e.join(p, k == p["p_partkey"])
+    j = e.join(p, k == p["p_partkey"])  # events without a part touch no resource
     vt_ms = F.unix_millis(F.col("ts").cast("timestamp"))
     def s(c):
         return (F.col(c) if isinstance(c, str) else c).cast("string")
@@ -78,6 +78,16 @@ def derive_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(*out)
 
 
+# Noon of the log's first day: what a portrait stored then knows. Later users
+# and guests are new to it.
+KNOWN_BEFORE_MS = 1_704_110_400_000
+
+
+def known_log(log_df: DataFrame) -> DataFrame:
+    """Rows of the log's first half day."""
+    return log_df.where((F.col("log_day") <= 20240101) & (F.col("vt_ms") < F.lit(KNOWN_BEFORE_MS)))
+
+
 def old_log(log_df: DataFrame) -> DataFrame:
     """Rows before the split (the day predicate prunes partitions)."""
     return log_df.where((F.col("log_day") <= F.lit(OLD_BEFORE_DAY))

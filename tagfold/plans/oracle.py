@@ -455,12 +455,12 @@ SELECT usr AS "user", module, tag, round(weight, 4) AS weight, last_ms FROM d WH
     "new_users": "WITH " + LOG + f""",
 u AS (SELECT regexp_replace(un, '[ "]', '', 'g') AS usr, vt_ms FROM hlog)
 SELECT DISTINCT usr AS "user" FROM u WHERE usr <> '' AND vt_ms >= {OLD_BEFORE}
-  AND usr NOT IN (SELECT usr FROM u WHERE usr <> '' AND vt_ms < {OLD_BEFORE})""",
+  AND usr NOT IN (SELECT usr FROM u WHERE usr <> '' AND vt_ms < {fx.KNOWN_BEFORE_MS})""",
 
     "new_guests": "WITH " + LOG + f""",
 g AS (SELECT gki, vt_ms FROM hlog WHERE un = '' AND rcc <> '' AND coalesce(gki, '') <> '')
 SELECT DISTINCT gki AS "user" FROM g WHERE vt_ms >= {OLD_BEFORE}
-  AND gki NOT IN (SELECT gki FROM g WHERE vt_ms < {OLD_BEFORE})""",
+  AND gki NOT IN (SELECT gki FROM g WHERE vt_ms < {fx.KNOWN_BEFORE_MS})""",
 
     "portrait_update": "WITH " + LOG + "," + UPDATED + """
 SELECT usr AS "user", dim, module, tag, round(weight, 4) AS weight, last_ms FROM updated""",

@@ -228,13 +228,14 @@ def q_portrait_search_merge(spark, sf_dir):
 
 
 def q_new_users(spark, sf_dir):
-    old, new = _old_new(spark, sf_dir)
-    return pt.new_users(pt.log_users(old), new)
+    """Users of the new log that a portrait of the first half day lacks."""
+    _, new = _old_new(spark, sf_dir)
+    return pt.new_users(pt.log_users(fx.known_log(formatted_log(spark, sf_dir))), new)
 
 
 def q_new_guests(spark, sf_dir):
-    old, new = _old_new(spark, sf_dir)
-    known = pt.log_users(flt.guests(old), "gki")
+    _, new = _old_new(spark, sf_dir)
+    known = pt.log_users(flt.guests(fx.known_log(formatted_log(spark, sf_dir))), "gki")
     return pt.new_users(known, flt.guests(new), "gki")
 
 
