@@ -338,7 +338,8 @@ SELECT dataType AS spelling, {_type_case('dataType')} AS type_class, count(*) AS
     "journal_purchase_stats": f"""
 WITH jp AS (
   SELECT CAST(l_partkey AS VARCHAR) AS code, l_linenumber AS times,
-         strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS datetime, l_returnflag AS album, l_linestatus AS subject
+         strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS datetime,
+         CASE WHEN l_linenumber = 7 THEN '\\N' ELSE l_returnflag END AS album, l_linestatus AS subject
   FROM lineitem
 ),
 r AS (
@@ -621,6 +622,13 @@ cells AS (
 ORACLE_SQL["log_to_cells"] = "WITH " + LOG + CELLS + """
 SELECT row_key, family, qualifier, value FROM cells"""
 
+ORACLE_SQL["customer_cells"] = """
+SELECT CAST(c_custkey AS VARCHAR) AS row_key, 'info' AS family, c.qualifier, c.value
+FROM (SELECT c_custkey, unnest([
+  struct_pack(qualifier := 'c_name', value := CAST(c_name AS VARCHAR)),
+  struct_pack(qualifier := 'c_mktsegment', value := CAST(c_mktsegment AS VARCHAR)),
+  struct_pack(qualifier := 'c_nationkey', value := CAST(c_nationkey AS VARCHAR))]) AS c FROM customer)"""
+
 ORACLE_SQL["cell_range_scan"] = "WITH " + LOG + CELLS + f"""
 SELECT row_key, {", ".join(f"max(CASE WHEN qualifier = '{q}' THEN value END) AS {q}" for q in _QUALS)}
 FROM cells WHERE row_key >= '4' AND row_key < '8' GROUP BY row_key"""

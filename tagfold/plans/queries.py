@@ -69,19 +69,42 @@ def q_book_ranking(spark, sf_dir):
     return st.resource_ranking(formatted_log(spark, sf_dir), "tushu", 100)
 
 
+_TEXTS: dict[tuple, str] = {}
+
+
+def _as_text(spark, key: str, build, sep: str = "\t") -> str:
+    """Path of the rows of ``build()`` as lines of ``sep``-joined fields,
+    written once per application: the input of the text readers."""
+    k = (spark.sparkContext.applicationId, key)
+    if k not in _TEXTS:
+        df = build()
+        path = scratch_path(spark, "text")
+        df.select(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns])).write.text(path)
+        _TEXTS[k] = path
+    return _TEXTS[k]
+
+
+def _article_events(spark, sf_dir):
+    """The events as tab-separated text, read back."""
+    return rd.read_article_events(spark, _as_text(spark, f"events:{sf_dir}", lambda: fx.article_events(spark, sf_dir)))
+
+
 def q_top_articles_by_type(spark, sf_dir):
-    return st.top_articles_by_type(fx.article_events(spark, sf_dir), fx.titles(spark, sf_dir), 100, 2018)
+    titles = rd.read_titles(spark, _as_text(spark, f"titles:{sf_dir}", lambda: fx.titles(spark, sf_dir)))
+    return st.top_articles_by_type(_article_events(spark, sf_dir), titles, 100, 2018)
 
 
 def q_normalize_type(spark, sf_dir):
-    ev = fx.article_events(spark, sf_dir)
+    ev = _article_events(spark, sf_dir)
     return (ev.select(F.col("dataType").alias("spelling"),
                       flt.normalize_type(F.col("dataType")).alias("type_class"))
             .groupBy("spelling", "type_class").agg(F.count(F.lit(1)).alias("n")))
 
 
 def q_journal_purchase_stats(spark, sf_dir):
-    return st.journal_purchase_stats(fx.journal_purchases(spark, sf_dir), fx.AS_OF_TEXT)
+    """Tab-separated purchases through the reader."""
+    path = _as_text(spark, f"purchases:{sf_dir}", lambda: fx.journal_purchases(spark, sf_dir))
+    return st.journal_purchase_stats(rd.read_journal_purchases(spark, path), fx.AS_OF_TEXT)
 
 
 def q_ua_daily_counts(spark, sf_dir):
@@ -90,7 +113,11 @@ def q_ua_daily_counts(spark, sf_dir):
 
 
 def q_user_category_tags(spark, sf_dir):
-    return st.user_category_tags(fx.category_purchases(spark, sf_dir), 10)
+    """Seven tab-separated fields through the reader."""
+    e = F.lit("")
+    path = _as_text(spark, f"categories:{sf_dir}", lambda: fx.category_purchases(spark, sf_dir).select(
+        "user", e.alias("f1"), e.alias("f2"), "count", e.alias("f4"), e.alias("f5"), "category"))
+    return st.user_category_tags(rd.read_category_purchases(spark, path), 10)
 
 
 # ------------------------------------------------------------ log cleaning
@@ -279,6 +306,8 @@ def q_initial_roster(spark, sf_dir):
         F.concat_ws("\t", F.col("c_custkey").cast("string"), F.col("c_name")).alias("value"))
     s = load(spark, sf_dir, "supplier").select(F.col("s_name").alias("value"))
     u = fx.log(spark, sf_dir).select(F.col("un").alias("value"))
+    # Three lists of lines, read as text
+    c, s, u = (rd.read_name_lines(spark, _as_text(spark, f"names{i}:{sf_dir}", lambda d=d: d)) for i, d in enumerate((c, s, u)))
     return pt.initial_roster(c, s, u).select("UserID", "UserName", "Age", "Gender", "SingleArticleInterest",
                                              "latest_log_time")
 
@@ -396,6 +425,12 @@ def q_log_to_cells(spark, sf_dir):
     return wr.log_to_cells(formatted_log(spark, sf_dir))
 
 
+def q_customer_cells(spark, sf_dir):
+    """Any rows as sorted cells."""
+    return wr.rows_to_cells(load(spark, sf_dir, "customer"), F.col("c_custkey").cast("string"),
+                            ["c_name", "c_mktsegment", "c_nationkey"], "info")
+
+
 # Fixed values of the range-scan check: keys from '4' up to (not including) '8'.
 RANGE_LO, RANGE_HI = "4", "8"
 
@@ -472,6 +507,8 @@ def q_als_recommend(spark, sf_dir):
     model, test = _als(spark, sf_dir)
     names = load(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("item_id"),
                                                 F.col("p_name").alias("item_name"))
+    # The id map as text
+    names = rd.read_id_map(spark, wr.write_delimited(names, scratch_path(spark, "names"), ","), "item_id", "item_name")
     return rc.als_recommend(model, test, names, 10)
 
 
@@ -533,6 +570,7 @@ QUERIES = {
     "read_preference_portrait": q_read_preference_portrait,
     "read_raw_catalogue": q_read_raw_catalogue,
     "log_to_cells": q_log_to_cells,
+    "customer_cells": q_customer_cells,
     "cell_range_scan": q_cell_range_scan,
     "key_pattern_scan": q_key_pattern_scan,
     "publish_location": q_publish_location,
