@@ -89,6 +89,18 @@ def catalog_keywords(items: DataFrame, id_col: str = "doc_id", class_col: str =
                                                 F.lit("}")).alias("keywords"))
 
 
+def catalogue_scores(items: DataFrame, k: int = 10) -> DataFrame:
+    """(id, class, keyword, score) of catalogue items: the given keyword
+    map where there is one, else the k best TF-IDF keywords of the title (over
+    the items without a map)."""
+    given = items.where(F.col("keywords").isNotNull()).select("id", "class", F.explode("keywords").alias("keyword", "score"))
+    bare = items.where(F.col("keywords").isNull()).select("id", "class", "title")
+    top = top_keywords(tfidf(bare, "id", "title"), k).select(
+        F.col("doc_id").alias("id"), F.col("term").alias("keyword"), "score")
+    made = top.join(bare.select("id", "class"), "id").select("id", "class", "keyword", "score")
+    return given.unionByName(made).withColumn("score", F.round("score", 4))
+
+
 def hashing_tfidf(docs: DataFrame, num_features: int = 20) -> DataFrame:
     """M1: whitespace Tokenizer + HashingTF + IDF (MLlib), features as an
     array column."""

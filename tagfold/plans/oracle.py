@@ -673,6 +673,28 @@ SELECT p.usr AS "user", p.ri AS item, round(sum(o.weight * 1.0), 4) AS score
 FROM pairs p JOIN it ON p.ri = it.ri JOIN old_p o ON o.usr = p.usr AND o.module = it.module AND o.tag = it.tag
 GROUP BY p.usr, p.ri"""
 
+ORACLE_SQL["content_recommend"] = f"""
+WITH m AS ({ORACLE_SQL["content_match"]}),
+{LOG.strip().rstrip(",")},
+seen AS (SELECT DISTINCT regexp_replace(un, '[ "]', '', 'g') AS usr, ri FROM hlog
+         WHERE un <> '' AND vt_ms < {OLD_BEFORE} AND ro = 'article' AND coalesce(rcc, '') <> '' AND ac IN ({", ".join(_q(a) for a in ARTICLE_ACTIONS)})),
+bought AS (SELECT DISTINCT regexp_replace(un, '[ "]', '', 'g') AS usr, ri FROM hlog
+           WHERE un <> '' AND vt_ms >= {OLD_BEFORE} AND ac = 'buy'),
+p AS (SELECT m."user" AS u, m.item AS i, m.score AS s FROM m),
+r AS (
+  SELECT u, i, s, CAST(row_number() OVER (PARTITION BY u ORDER BY s DESC, i) AS INTEGER) AS rank
+  FROM p LEFT JOIN seen ON seen.usr = u AND seen.ri = i LEFT JOIN bought ON bought.usr = u AND bought.ri = i
+  WHERE s > 0 AND seen.usr IS NULL AND bought.usr IS NULL)
+SELECT u AS "user", rank, i AS item, s AS score FROM r WHERE rank <= 10"""
+
+ORACLE_SQL["read_catalogue"] = "WITH odd AS (SELECT * FROM documents WHERE doc_id % 2 = 1), " + TFIDF.replace(
+    "FROM documents", "FROM odd") + """
+SELECT CAST(doc_id AS VARCHAR) AS id, source AS class, lang AS keyword, round((n_chars % 100) / 100.0, 4) AS score
+FROM documents WHERE doc_id % 2 = 0
+UNION ALL
+SELECT CAST(rk.doc_id AS VARCHAR), d.source, rk.term, round(rk.score, 4)
+FROM rk JOIN documents d ON d.doc_id = rk.doc_id WHERE rank <= 10"""
+
 ORACLE_SQL["ua_daily_export"] = ORACLE_SQL["ua_daily_counts"]
 
 

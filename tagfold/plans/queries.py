@@ -326,6 +326,20 @@ def q_catalog_keywords(spark, sf_dir):
     return tx.catalog_keywords(_documents(spark, sf_dir), "doc_id", "source", "text", 10)
 
 
+def q_read_catalogue(spark, sf_dir):
+    """The documents as catalogue text; every second item's map lacks its
+    own class, so its keywords come from its title."""
+    d = load(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    cls = F.when(F.col("doc_id") % 2 == 0, F.col("source")).otherwise(F.lit("other"))
+    maps = F.to_json(F.create_map(cls, F.create_map(F.col("lang"), (F.col("n_chars") % 100) / 100.0)))
+    e = F.lit("")
+    lines = d.select(F.col("doc_id").cast("string").alias("f0"), e.alias("f1"),
+                     F.regexp_replace(F.coalesce("text", e), "[\r\n]", " ").alias("f2"), e.alias("f3"), e.alias("f4"),
+                     F.lit(fx.AS_OF_TEXT).alias("f5"), F.col("source").alias("f6"), e.alias("f7"), maps.alias("f8"))
+    path = wr.write_delimited(lines, scratch_path(spark, "catalogue"), "&")
+    return tx.catalogue_scores(rd.read_catalogue(spark, path), 10)
+
+
 def q_hashing_tfidf(spark, sf_dir):
     return tx.hashing_tfidf(_documents(spark, sf_dir), 20)
 
@@ -522,6 +536,18 @@ def q_content_match(spark, sf_dir):
     return rc.content_match(pairs, _old_portrait(spark, sf_dir, [DIM_TOTAL_INTEREST]), items)
 
 
+def q_content_recommend(spark, sf_dir):
+    """R4's tail over R3's given pairs: articles a user had read before the
+    split are dropped, as are those the user bought since (recommended before);
+    the ten best stay."""
+    old, new = _old_new(spark, sf_dir)
+    pair = lambda lg: (lg.where(F.col("un") != "")
+                       .select(F.regexp_replace("un", '[ "]', "").alias("user"), F.col("ri").alias("item")).distinct())
+    seen = pair(old.where(pt.is_article_read()))
+    bought = pair(new.where(F.col("ac") == "buy"))
+    return rc.recommend_unseen(q_content_match(spark, sf_dir), seen, bought, 10)
+
+
 QUERIES = {
     "article_ranking": q_article_ranking,
     "book_ranking": q_book_ranking,
@@ -558,6 +584,7 @@ QUERIES = {
     "initial_roster": q_initial_roster,
     "tfidf_keywords": q_tfidf_keywords,
     "catalog_keywords": q_catalog_keywords,
+    "read_catalogue": q_read_catalogue,
     "hashing_tfidf": q_hashing_tfidf,
     "count_tfidf": q_count_tfidf,
     "word2vec_vectors": q_word2vec_vectors,
@@ -578,4 +605,5 @@ QUERIES = {
     "als_rmse": q_als_rmse,
     "als_recommend": q_als_recommend,
     "content_match": q_content_match,
+    "content_recommend": q_content_recommend,
 }

@@ -159,6 +159,19 @@ def read_raw_catalogue(spark: SparkSession, path: str) -> DataFrame:
         F.replace(F.get("f", 3), F.lit("&"), F.lit("")).alias("content"), F.get("f", 6).alias("class"))
 
 
+def read_catalogue(spark: SparkSession, path: str, sep: str = "&") -> DataFrame:
+    """Catalogue text, id = field 0, title = field 2, time = field 5,
+    class = field 6, and field 8 a JSON map ``{class: {keyword: score}}``.
+    ``keywords`` is the map under the item's own class, null where that is
+    absent. Lines without an id are rejected."""
+    schema = ", ".join(f"f{i} string" for i in range(9))
+    f = spark.read.csv(path, schema=schema, sep=sep, mode="PERMISSIVE")
+    maps = F.from_json(F.col("f8"), "map<string,map<string,double>>")
+    return f.where(F.coalesce(F.col("f0"), F.lit("")) != "").select(
+        F.col("f0").alias("id"), F.col("f6").alias("class"), F.coalesce("f2", F.lit("")).alias("title"),
+        F.col("f5").alias("time"), F.try_element_at(maps, F.col("f6")).alias("keywords"))
+
+
 def read_whole_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per file, (file_name, content)."""
     df = spark.read.text(path, wholetext=True)
