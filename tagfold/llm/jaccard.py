@@ -9,16 +9,16 @@ own and at distance one from all others; it lies on the border of n Voronoi
 regions, and the first n // 4 + 1 of them in a fixed order of the pivots are
 enough for every linked pair to share a region.
 
-Regions join recursively. One with at most ``REGION`` members takes a member as
-its pivot and measures the others against it; members linked to it are done
-with each other, and of the others only pairs that the triangle inequality
-leaves open and that no chain of links joins yet are measured. A larger region's
-shingle is common: it moves to the end of the pivots' order, and the members
-alone join anew in that order (two documents whose only shared regions are
-large are both members). Documents that are mostly made of common shingles stay
-in large regions. These get a document as pivot, the most central one; windows
-a quarter wide of the distance to it become the next regions, each document
-standing in its own and the next one, until the regions are small or linked up.
+Regions join recursively. In one with at most ``REGION`` members each member is
+measured against a member taken as pivot; of the other pairs only those that no
+chain of links joins yet, and that share enough regions, are measured. A larger
+region's shingle is common: it moves to the end of the pivots' order, and the
+members alone join anew in that order (two documents whose only shared regions
+are large are both members). Documents that are mostly made of common shingles
+stay in large regions. These get the most central documents as pivots; members
+that the pivot's links do not reach are compared, in blocks, with the members
+in a window of the distance to the pivot, a quarter to either side by the
+triangle inequality.
 
 Equal sets are one node throughout. A node is the 64-bit hash of its set, and
 shingles are compared by 64-bit hashes.
@@ -43,11 +43,11 @@ from .common import ARROW_ROWS, _mix, shingle_set, small, written
 from .graph import components
 
 # members of a region that is joined in one place
-REGION = 64
+REGION = 128
 # common shingles that are shipped to all tasks (8 bytes each)
 MAX_COMMON = 1_000_000
-# nested regions by document pivots before members are split in plain blocks
-MAX_DEPTH = 8
+# nodes that a task compares others with at once
+BLOCK = 1024
 _NODE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -68,9 +68,9 @@ def node_of(s: np.ndarray) -> int:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_key``, the hash of id and text: rows with one key are
+    """``docs`` with ``_row_key``, the hash of id and text: rows with one key are
     repeated rows."""
-    return docs.withColumn("_key", F.xxhash64("doc_id", "text"))
+    return docs.withColumn("_row_key", F.xxhash64("doc_id", "text"))
 
 
 def nodes(docs: DataFrame) -> DataFrame:
@@ -201,6 +201,21 @@ def measured(pairs: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
     return written(j.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, shared long, either long").distinct(), "op4_measured")
 
 
+def sets_of(v: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
+    """(v, s): the shingle sets of the nodes ``v``, as bytes."""
+    keys = written(v.join(reps.select(F.col("v").alias("_v"), "key"), F.col("v") == F.col("_v"))
+                   .select(F.col("key").alias("_k")).distinct(), "op4_set_keys")
+
+    def run(batches):
+        for b in batches:
+            s = [shingle_set(t) for t in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in s], pa.int64()),
+                                              pa.array([x.tobytes() for x in s], pa.binary())], names=["v", "s"])
+
+    return written(texts.join(small(keys), F.col("key") == F.col("_k"), "left_semi").select("text")
+                   .mapInArrow(run, "v long, s binary").dropDuplicates(["v"]), "op4_sets")
+
+
 def linked(m: DataFrame) -> DataFrame:
     return m.filter("4 * shared >= 3 * either").select("a", "b")
 
@@ -210,97 +225,174 @@ def _alike(x: str, y: str):
     return (4 * F.col(x) >= 3 * F.col(y)) & (4 * F.col(y) >= 3 * F.col(x))
 
 
+def _best(rows: DataFrame) -> DataFrame:
+    """Of rows (v, pv, c) the pivot with the most shared regions per node."""
+    return (rows.groupBy("v").agg(F.max(F.struct("c", "pv")).alias("x"))
+            .select(F.col("v").alias("a"), F.col("x.pv").alias("b")))
+
+
 class Join:
-    """One run of the join; ``measure`` measures pairs of nodes."""
+    """One run of the join; ``measure`` measures pairs of nodes, ``sets``
+    brings the shingle sets of nodes."""
 
-    def __init__(self, measure, region: int = REGION, depth: int = MAX_DEPTH):
-        self.measure, self.region, self.depth = measure, region, depth
+    def __init__(self, measure, sets, block: int = BLOCK):
+        self.measure, self.sets, self.block = measure, sets, block
         self.links: list[DataFrame] = []
 
-    def all_links(self) -> DataFrame:
-        return reduce(DataFrame.unionByName, self.links)
-
-    def by_document_pivots(self, rows: DataFrame) -> list[DataFrame]:
-        """Regions (r, v, n, u) of any size down to regions of a bounded size,
-        as rows (r, v, n); links found on the way are kept."""
-        done = []
-        rows = written(rows.distinct(), "op4_large")
-        for depth in range(self.depth + 1):
-            size = written(rows.groupBy(F.col("r").alias("_r")).agg(
-                F.count(F.lit(1)).alias("m"), F.min(F.struct("u", "v", "n")).alias("p")), "op4_size")
-            done.append(rows.join(small(size.filter(f"m BETWEEN 2 AND {self.region}")), F.col("r") == F.col("_r"))
-                        .select("r", "v", "n"))
-            large = size.filter(f"m > {self.region}")
-            if not large.limit(1).count():
-                break
-            here = written(rows.join(small(large), F.col("r") == F.col("_r"))
-                           .select("r", "v", "n", "u", "m", F.col("p.v").alias("pv"), F.col("p.n").alias("pn")), "op4_here")
-            if depth == self.depth:  # exact for what no pivot divides: blocks of members, two by two
-                blocks = F.ceil(2 * F.col("m") / self.region).cast("int")
-                own = F.pmod(F.xxhash64("v"), blocks).cast("int")
-                b = here.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-                done.append(b.select(F.xxhash64("r", F.least("own", "other"), F.greatest("own", "other")).alias("r"), "v", "n"))
-                break
-            m = self.measure(here.filter("v <> pv").filter(_alike("n", "pn")).select(F.col("v").alias("a"), F.col("pv").alias("b")))
-            self.links.append(linked(m))
-            roots = written(components(self.all_links()), "op4_roots").select(F.col("node").alias("_v"), "root")
-            d = m.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "shared", "either")
-            x = here.join(small(roots), F.col("v") == F.col("_v"), "left").join(
-                d, (F.col("v") == F.col("_a")) & (F.col("pv") == F.col("_b")), "left")
-            x = written(x.select("r", "v", "n", "u", "pv", F.coalesce("root", "v").alias("root"), "shared", "either"), "op4_told")
-            # a region whose members are linked up has nothing left to find
-            still = written(x.groupBy(F.col("r").alias("_r")).agg(F.min("root").alias("x0"), F.max("root").alias("x1"))
-                            .filter("x0 <> x1").select("_r"), "op4_still")
-            x = x.filter("v <> pv").join(small(still), F.col("r") == F.col("_r"))
-            # quarter-wide windows of the distance; one not measured is above a quarter
-            cell = F.floor(4 * (F.col("either") - F.col("shared")) / F.col("either")).cast("int")
-            cells = F.when(F.col("either").isNull(), F.sequence(F.lit(1), F.lit(4))).when(
-                cell >= 4, F.array(F.lit(4))).otherwise(F.array(cell, cell + 1))
-            x = x.withColumn("c", F.explode(cells)).select(F.xxhash64("r", "c").alias("r"), "v", "n", "u")
-            rows = written(x.distinct(), "op4_large")
-        return done
-
-    def in_place(self, groups: DataFrame) -> None:
-        """Join regions of a bounded size, rows (members), an array of (v, n)."""
-        g = written(groups.distinct().select(F.xxhash64("members").alias("gid"), "members")
-                    .withColumn("p", F.element_at("members", 1)), "op4_groups")
-        member = g.select("gid", "p", F.explode("members").alias("x")).select(
-            "gid", F.col("p.v").alias("pv"), F.col("p.n").alias("pn"), "x.v", "x.n")
-        m = self.measure(member.filter("v <> pv").filter(_alike("n", "pn")).select(F.col("v").alias("a"), F.col("pv").alias("b")))
-        self.links.append(linked(m))
-        roots = written(components(self.all_links()), "op4_roots").select(F.col("node").alias("_v"), "root")
-        d = m.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "shared", "either")
-        told = (member.join(small(roots), F.col("v") == F.col("_v"), "left")
-                .join(d, (F.col("v") == F.col("_a")) & (F.col("pv") == F.col("_b")), "left")
-                .groupBy("gid", "pv").agg(
-                    F.collect_list(F.struct("v", "n", F.coalesce("root", "v").alias("root"),
-                                            F.coalesce("shared", F.lit(-1)).alias("shared"),
-                                            F.coalesce("either", F.lit(-1)).alias("either"))).alias("x"))
+    def roots(self) -> DataFrame:
+        c = components(reduce(DataFrame.unionByName, self.links))
+        return small(written(c, "op4_roots").select(F.col("node").alias("_v"), "root"))
+
+    def add(self, pairs: DataFrame) -> None:
+        self.links.append(linked(self.measure(pairs)))
+
+    # ---- regions of a bounded size
+
+    def members(self, groups: DataFrame) -> DataFrame:
+        """Rows (gid, level, k, pv, pn, v, n) of the regions (level, members);
+        ``k`` regions have the same members, the first of which is the pivot."""
+        g = written(groups.groupBy("level", "members").agg(F.count(F.lit(1)).alias("k"))
+                    .withColumn("gid", F.xxhash64("level", "members")).withColumn("p", F.element_at("members", 1)), "op4_groups")
+        return g.select("gid", "level", "k", F.col("p.v").alias("pv"), F.col("p.n").alias("pn"),
+                        F.explode("members").alias("x")).select("gid", "level", "k", "pv", "pn", "x.v", "x.n")
+
+    def stars(self, member: DataFrame) -> DataFrame:
+        """Likely links: each node and the pivot it shares most regions with."""
+        return _best(member.filter("v <> pv").filter(_alike("n", "pn")).groupBy("v", "pv").agg(F.sum("k").alias("c")))
+
+    def crossing(self, member: DataFrame, moved: DataFrame) -> DataFrame:
+        """The pairs of a region that no chain of links joins yet and that
+        share enough regions. ``moved`` (level, v) are the members of that
+        level which join anew in the next one, where pairs of them are found.
+
+        Two documents with c shared regions of a level have at most c plus the
+        rest of the longer one in common, as all their shared shingles up to
+        the end of the shorter prefix are such regions."""
+        again = written(moved.distinct().select(F.col("level").alias("_l"), F.col("v").alias("_w")), "op4_moved")
+        told = (member.join(self.roots(), F.col("v") == F.col("_v"), "left")
+                .join(small(again), (F.col("level") == F.col("_l")) & (F.col("v") == F.col("_w")), "left")
+                .groupBy("gid", "level", "k").agg(F.collect_list(F.struct(
+                    "v", "n", F.coalesce("root", "v").alias("root"), F.col("_w").isNotNull().alias("moved"))).alias("x"))
                 .filter(F.size(F.array_distinct("x.root")) > 1))
 
         def run(batches):
             for b in batches:
-                a, z = [], []
-                for pv, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                    x = sorted(((r["n"], r["v"], r["root"], r["shared"], r["either"]) for r in x if r["v"] != pv))
-                    for i, (n, v, root, s, e) in enumerate(x):
-                        for n2, v2, root2, s2, e2 in x[i + 1:]:
+                out = [[], [], [], [], [], []]
+                for level, k, x in zip(*(b.column(i).to_pylist() for i in range(3))):
+                    x = sorted((r["n"], r["v"], r["root"], r["moved"]) for r in x)
+                    for i, (n, v, root, mv) in enumerate(x):
+                        for n2, v2, root2, mv2 in x[i + 1:]:
                             if 4 * n < 3 * n2:
                                 break
-                            # distances to the pivot at most a quarter apart: |s/e - s2/e2| <= 1/4
-                            if root != root2 and (e < 0 or e2 < 0 or 4 * abs(s * e2 - s2 * e) <= e * e2):
-                                a.append(max(v, v2))
-                                z.append(min(v, v2))
+                            if root != root2 and not (mv and mv2):
+                                pair = ((v, v2, n, n2) if v > v2 else (v2, v, n2, n))
+                                for c, y in zip(out, (level, k, *pair)):
+                                    c.append(y)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(out, [pa.int32()] + [pa.int64()] * 5)],
+                    names=["level", "k", "a", "b", "na", "nb"])
+
+        rest = F.greatest(*[F.col(z) - F.floor(F.col(z) / 4) - 1 for z in ("na", "nb")])
+        return (told.select("level", "k", "x").mapInArrow(run, "level int, k long, a long, b long, na long, nb long")
+                .groupBy("level", "a", "b", "na", "nb").agg(F.sum("k").alias("c"))
+                .filter(F.col("c") + rest >= F.ceil(3 * (F.col("na") + F.col("nb")) / 7)).select("a", "b"))
+
+    # ---- regions of any size, by document pivots
+
+    @staticmethod
+    def central(rows: DataFrame) -> DataFrame:
+        """Rows (v, n, u, pv, pn) of regions (r, v, n, u): the pivot is the
+        member with the fewest uncommon shingles."""
+        p = written(rows.groupBy(F.col("r").alias("_r")).agg(F.min(F.struct("u", "v", "n")).alias("p")), "op4_central")
+        return rows.join(small(p), F.col("r") == F.col("_r")).select(
+            "v", "n", "u", F.col("p.v").alias("pv"), F.col("p.n").alias("pn"))
+
+    def by_document_pivots(self, central: DataFrame) -> DataFrame | None:
+        """Links of large regions. Regions with common members make a cluster,
+        which gets its most central document as pivot. Only members that the
+        pivot's links do not reach are left to compare, in blocks, with the
+        members whose distance to the pivot is at most a quarter from theirs."""
+        pairs = central.filter("v <> pv").select(F.col("v").alias("a"), F.col("pv").alias("b")).distinct()
+        cluster = written(components(pairs), "op4_clusters").select(F.col("node").alias("_c"), F.col("root").alias("cluster"))
+        node = (central.groupBy("v").agg(F.min("n").alias("n"), F.min("u").alias("u"))
+                .join(small(cluster), F.col("v") == F.col("_c")).drop("_c")
+                .join(self.roots(), F.col("v") == F.col("_v"), "left")
+                .select("v", "n", "u", "cluster", F.coalesce("root", "v").alias("root")))
+        node = written(node, "op4_nodes")
+        heads = written(node.groupBy(F.col("cluster").alias("_c")).agg(
+            F.min(F.struct("u", "v", "root")).alias("p"), F.min("root").alias("x0"), F.max("root").alias("x1"))
+            .filter("x0 <> x1").select("_c", F.col("p.v").alias("pv"), F.col("p.root").alias("proot")), "op4_heads")
+        node = written(node.join(small(heads), F.col("cluster") == F.col("_c")).drop("_c"), "op4_open")
+        if not node.limit(1).count():
+            return None
+        d = self.measure(node.filter("v <> pv").select(F.col("v").alias("a"), F.col("pv").alias("b")))
+        d = d.select(F.col("a").alias("_v"), F.floor(4 * (F.col("either") - F.col("shared")) / F.col("either")).cast("int").alias("cell"))
+        node = written(node.join(small(d), F.col("v") == F.col("_v"), "left").select(
+            "v", "cluster", (F.col("root") != F.col("proot")).alias("outside"), F.coalesce("cell", F.lit(0)).alias("cell")), "op4_cells")
+
+        # windows: members go to the cells of all they can link with
+        near = node.withColumn("t", F.explode(F.sequence(F.greatest(F.col("cell") - 1, F.lit(0)), F.col("cell") + 1)))
+        count = written(near.groupBy(F.col("cluster").alias("_c"), F.col("t").alias("_t")).agg(
+            F.sum((F.col("outside") & (F.col("cell") == F.col("t"))).cast("int")).alias("no"), F.count(F.lit(1)).alias("nm"))
+            .filter("no > 0").select("_c", "_t", F.ceil(F.col("no") / self.block).cast("int").alias("ob"),
+                                     F.ceil(F.col("nm") / (8 * self.block)).cast("int").alias("mb")), "op4_blocks")
+        near = near.join(small(count), (F.col("cluster") == F.col("_c")) & (F.col("t") == F.col("_t")))
+        one = lambda n: F.pmod(F.xxhash64("v"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        asks = (near.filter(F.col("outside") & (F.col("cell") == F.col("t"))).withColumn("o", one("ob"))
+                .withColumn("m", every("mb")).withColumn("kind", F.lit(0)))
+        told = near.withColumn("m", one("mb")).withColumn("o", every("ob")).withColumn("kind", F.lit(1))
+        rows = asks.select("cluster", "t", "o", "m", "kind", "v").unionByName(told.select("cluster", "t", "o", "m", "kind", "v"))
+        rows = rows.select(F.xxhash64("cluster", "t", "o", "m").alias("key"), "kind", "v")
+        sets = self.sets(node.select("v").distinct()).withColumnRenamed("v", "_v")
+        rows = rows.join(sets, F.col("v") == F.col("_v")).select("key", "kind", "v", "s")
+
+        def run(batches):
+            key, asked, parent = None, None, {}
+            own: list[tuple[int, np.ndarray]] = []
+
+            def find(x):
+                while parent.setdefault(x, x) != x:
+                    x = parent[x]
+                return x
+
+            for b in batches:
+                a, z = [], []
+                for k, kind, v, raw in zip(*(b.column(i).to_pylist() for i in range(4))):
+                    if k != key:
+                        key, asked, parent, own = k, None, {}, []
+                    s = np.frombuffer(raw, dtype=np.uint64)
+                    if kind == 0:
+                        own.append((v, s))
+                        continue
+                    if asked is None:
+                        if not own:
+                            continue
+                        h = np.concatenate([x for _, x in own])
+                        who = np.repeat(np.arange(len(own)), [len(x) for _, x in own])
+                        order = np.argsort(h, kind="stable")
+                        asked = (h[order], who[order], np.array([len(x) for _, x in own]), [x for x, _ in own])
+                    h, who, size, name = asked
+                    lo, hi = np.searchsorted(h, s, "left"), np.searchsorted(h, s, "right")
+                    n = hi - lo
+                    at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+                    shared = np.bincount(who[at], minlength=len(size))
+                    for i in np.flatnonzero(4 * shared >= 3 * (size + len(s) - shared)):
+                        x, y = find(name[i]), find(v)
+                        if x != y:
+                            parent[x] = y
+                            a.append(v)
+                            z.append(name[i])
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["a", "b"])
 
-        self.links.append(linked(self.measure(told.select("pv", "x").mapInArrow(run, "a long, b long"))))
+        return written(rows.repartition("key").sortWithinPartitions("key", "kind", "v").mapInArrow(run, "a long, b long"), "op4_found")
 
 
-def joined(docs: DataFrame, region: int = REGION, max_common: int = MAX_COMMON, depth: int = MAX_DEPTH) -> DataFrame:
+def joined(docs: DataFrame, region: int = REGION, max_common: int = MAX_COMMON, block: int = BLOCK) -> DataFrame:
     """(doc_id, key, n_shingles, component_id, first) of every document;
     ``first`` is the key of its component's document of smallest id."""
     spark = docs.sparkSession
-    docs = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).withColumnRenamed("_key", "key")
+    docs = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).withColumnRenamed("_row_key", "key")
     base = written(nodes(docs), "op4_nodes")
     reps = written(base.filter("v IS NOT NULL").groupBy("v").agg(F.min("key").alias("key")), "op4_reps")
     copies = written(base.filter("v IS NOT NULL").select("v", "key")
@@ -309,11 +401,12 @@ def joined(docs: DataFrame, region: int = REGION, max_common: int = MAX_COMMON,
     texts = docs.select("key", "text")
     firsts = texts.join(small(copies), F.col("key") == F.col("_c"), "left_anti")
 
-    run = Join(lambda pairs: measured(pairs, texts, reps), region, depth)
+    run = Join(lambda pairs: measured(pairs, texts, reps), lambda v: sets_of(v, texts, reps), block)
     groups: list[DataFrame] = []
     large: list[DataFrame] = []
+    moved: list[DataFrame] = [spark.createDataFrame([], "level int, v long")]
     common = np.zeros(0, dtype=np.uint64)
-    level = firsts
+    level, before = firsts, None
     while True:
         with _rows_per_batch(spark, 20_000):
             e = entries(level, common)
@@ -321,31 +414,42 @@ def joined(docs: DataFrame, region: int = REGION, max_common: int = MAX_COMMON,
                 e = written(e, "op4_entries")
                 large.append(e.filter("core").select(F.col("h").alias("r"), "v", "n", "u"))
             r = written(regions(e.filter("NOT core"), region), "op4_regions")
-        groups.append(r.filter("NOT large").select(F.arrays_zip("v", "n").alias("members")))
+        at = len(groups)
+        groups.append(r.filter("NOT large").select(F.lit(at).alias("level"), F.arrays_zip("v", "n").alias("members")))
         hot = r.filter("large").select("h", F.element_at("v", 1).alias("v"), F.element_at("n", 1).alias("n"))
+        n = hot.select("v").distinct().count()
         count = written(hot.groupBy("h").agg(F.count(F.lit(1)).alias("m")), "op4_hot")
-        room = max_common - len(common)
-        new = [x.h for x in count.orderBy(F.desc("m"), "h").limit(room).collect()] if room > 0 else []
-        if count.count() > len(new):  # beyond the bound: regions of their own
-            taken = spark.createDataFrame([(x,) for x in new], "_h long")
-            over = count.join(F.broadcast(taken), F.col("h") == F.col("_h"), "left_anti").select(F.col("h").alias("_o"))
-            large.append(hot.join(over, F.col("h") == F.col("_o")).select(F.col("h").alias("r"), "v", "n", F.col("n").alias("u")))
+        # members that hardly get fewer are told apart by document pivots instead
+        room = max_common - len(common) if before is None or 2 * n <= before else 0
+        new = [x.h for x in count.orderBy(F.desc("m"), "h").limit(room).collect()] if n and room > 0 else []
+        taken = spark.createDataFrame([(x,) for x in new], "_h long")  # at most max_common
+        if n:  # what is not taken stays a region
+            large.append(hot.join(F.broadcast(taken), F.col("h") == F.col("_h"), "left_anti")
+                         .select(F.col("h").alias("r"), "v", "n", F.col("n").alias("u")))
         if not new:
             break
+        before = n
+        hot = hot.join(F.broadcast(taken), F.col("h") == F.col("_h"), "left_semi")
+        moved.append(hot.select(F.lit(at).alias("level"), "v"))
         common = np.union1d(common, np.array(new, dtype=np.int64).view(np.uint64))
         members = written(hot.select(F.col("v").alias("_v")).distinct()
                           .join(reps, F.col("_v") == F.col("v")).select(F.col("key").alias("_m")).distinct(), "op4_members")
         level = texts.join(small(members), F.col("key") == F.col("_m"), "left_semi")
 
+    member = run.members(reduce(DataFrame.unionByName, groups))
+    star = run.stars(member)
+    if large:
+        central = written(run.central(written(reduce(DataFrame.unionByName, large).distinct(), "op4_large")), "op4_members")
+        star = star.unionByName(_best(central.filter("v <> pv").filter(_alike("n", "pn"))
+                                      .groupBy("v", "pv").agg(F.count(F.lit(1)).alias("c"))))
+    run.add(star)
+    run.add(run.crossing(member, reduce(DataFrame.unionByName, moved)))
     if large:
-        for rows in run.by_document_pivots(reduce(DataFrame.unionByName, large)):
-            groups.append(rows.groupBy("r").agg(F.array_sort(F.collect_set(F.struct("v", "n"))).alias("members"))
-                          .filter("size(members) > 1").select("members"))
-    kind = "array<struct<v:bigint,n:int>>"
-    run.in_place(reduce(DataFrame.unionByName, [g.select(F.col("members").cast(kind).alias("members")) for g in groups]))
-
-    roots = written(components(run.all_links()), "op4_roots").select(F.col("node").alias("_v"), "root")
-    x = written(base.join(small(roots), F.col("v") == F.col("_v"), "left")
+        found = run.by_document_pivots(central)
+        if found is not None:
+            run.links.append(found)
+    roots = run.roots()
+    x = written(base.join(roots, F.col("v") == F.col("_v"), "left")
                 .select("doc_id", "key", "n", F.coalesce("root", "v").alias("root")), "op4_told")
     # a missing id comes after all others
     least = written(x.filter("root IS NOT NULL").groupBy(F.col("root").alias("_r")).agg(
