@@ -22,15 +22,15 @@ from tagfold.llm.common import prepare, small, table, written
 
 def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """``docs`` but the rows whose key is in ``keys``, a column of hashes."""
-    out = written(keys.toDF("_out").distinct(), "pipeline_out")
-    return jaccard.keyed(docs).join(small(out), F.col("_key") == F.col("_out"), "left_anti").drop("_key")
+    out = written(keys.toDF("_pipeline_out").distinct(), "pipeline_out")
+    return jaccard.keyed(docs).join(small(out), F.col("_row_key") == F.col("_pipeline_out"), "left_anti").drop("_row_key")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules of their host let pass."""
     prepare(spark)
-    judged = hostrules.judged(jaccard.keyed(docs).select("_key", "source", "text"), ["_key"])
-    return _without(docs, judged.filter("NOT kept").select("_key"))
+    judged = hostrules.judged(jaccard.keyed(docs).select("_row_key", "source", "text"), ["_row_key"])
+    return _without(docs, judged.filter("NOT kept").select("_row_key"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,16 +41,16 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = groups.filter("key <> first").select("key")
     kept = _without(docs, out.unionByName(again))
     # documents given more than once, by rows: one of each that stays
-    twice = again.join(out.distinct(), "key", "left_anti").withColumnRenamed("key", "_k")
-    once = (jaccard.keyed(docs).join(small(written(twice, "pipeline_twice")), F.col("_key") == F.col("_k"))
-            .dropDuplicates(["_key"]).select(*docs.columns))
+    twice = again.join(out.distinct(), "key", "left_anti").withColumnRenamed("key", "_pipeline_key")
+    once = (jaccard.keyed(docs).join(small(written(twice, "pipeline_twice")), F.col("_row_key") == F.col("_pipeline_key"))
+            .dropDuplicates(["_row_key"]).select(*docs.columns))
     return kept.unionByName(once)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
     prepare(spark)
-    rows = jaccard.keyed(docs).select(F.col("_key").alias("doc_id"), "text")
+    rows = jaccard.keyed(docs).select(F.col("_row_key").alias("doc_id"), "text")
     leaks = decontam.find_leaks(rows, table(spark, sf_dir, "benchmark"))
     return _without(docs, leaks.select("doc_id"))
 
