@@ -32,6 +32,8 @@ KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
 # bound of the training sample: documents with a digit or "@", in hash order
 TRAIN_DOCS = 2000
+# and of at most so many characters, so that the sample fits the driver
+TRAIN_CHARS = 20_000
 MAX_ATOMS = 8
 EPOCHS = 6
 # an added span needs this posterior odds over leaving its atoms unmarked
@@ -297,11 +299,15 @@ def shown(spans) -> str:
 
 # ------------------------------------------------------------------- Spark
 
-def fitted(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> dict[str, float]:
-    """Weights fitted on at most ``train_docs`` documents of ``docs``."""
-    rows = (docs.select("text").filter(F.col("text").rlike("[0-9]{3}|@")).distinct()
-            .orderBy(F.xxhash64("text"), "text").limit(train_docs).collect())
-    return train([r.text for r in rows])
+def fitted(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_chars: int = TRAIN_CHARS) -> dict[str, float]:
+    """Weights fitted on at most ``train_docs`` texts of ``docs``, the first in
+    the order of their hash; copies count once."""
+    some = (docs.select("text").filter(F.col("text").rlike("[0-9]{3}|@") & (F.length("text") <= train_chars))
+            .withColumn("_h", F.xxhash64("text")))
+    first = some.select("_h").distinct().orderBy("_h").limit(train_docs)
+    hashes = docs.sparkSession.createDataFrame([(r._h,) for r in first.collect()], "_f long")  # train_docs rows
+    rows = some.join(F.broadcast(hashes), F.col("_h") == F.col("_f"), "left_semi").dropDuplicates(["_h"]).collect()
+    return train([r.text for r in sorted(rows, key=lambda r: r._h)])
 
 
 def found(docs: DataFrame, keys: list[str], weights: dict[str, float]) -> DataFrame:

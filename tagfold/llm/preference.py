@@ -41,13 +41,13 @@ def formatted(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     """(pair_id, part, block, sub, rendered, loss_mask, n_turns) of rows
     (pair_id, side, turn, role, text)."""
     h = F.xxhash64(F.col("role").isNull(), F.col("role"), F.col("text").isNull(), F.col("text"))
+    turn = F.coalesce("turn", F.lit(-1))
     rows = turns.filter("pair_id IS NOT NULL").select(
-        "pair_id", "side", F.coalesce("turn", F.lit(-1)).alias("turn"), "role", "text").dropDuplicates()
-    rows = rows.withColumn("h", h)
+        "pair_id", "side", turn.alias("turn"), "role", "text", h.alias("h"), F.floor(turn / block).cast("long").alias("block"))
     is_chosen = F.col("side") == "chosen"
-    # decimal sums do not overflow
+    # decimal sums do not overflow; hashes stand for the texts here
     digest = lambda keep: F.sum(F.when(keep, F.col("h").cast("decimal(38,0)")))
-    per_turn = written(rows.groupBy("pair_id", "turn").agg(
+    per_turn = written(rows.select("pair_id", "side", "turn", "h").distinct().groupBy("pair_id", "turn").agg(
         digest(is_chosen).alias("c"), digest(~is_chosen).alias("r"),
         F.sum(is_chosen.cast("long")).alias("nc"), F.sum((~is_chosen).cast("long")).alias("nr")), "op5_turns")
     differs = ~(F.col("c").eqNullSafe(F.col("r")) & (F.col("nc") == F.col("nr")))
@@ -56,7 +56,9 @@ def formatted(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     crowded = written(per_turn.filter(F.greatest("nc", "nr") > block)
                       .select(F.col("pair_id").alias("_p"), F.col("turn").alias("_t"),
                               F.greatest("nc", "nr").alias("_n")), "op5_crowded")
-    r = rows.join(small(first), F.col("pair_id") == F.col("_pair"))
+    # the one exchange of the texts serves the repeated rows and the blocks
+    r = rows.repartition("pair_id", "block").dropDuplicates(["pair_id", "block", "side", "turn", "h"])
+    r = r.join(small(first), F.col("pair_id") == F.col("_pair"))
     r = r.join(small(crowded), (F.col("pair_id") == F.col("_p")) & (F.col("turn") == F.col("_t")), "left")
     shared = F.col("first").isNull() | (F.col("turn") < F.col("first"))
     r = r.filter(~shared | is_chosen)  # the prompt once
@@ -65,7 +67,6 @@ def formatted(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     ranges = F.ceil(F.col("_n") / block)
     r = r.withColumn("sub", F.when(F.col("_n").isNull(), 0).otherwise(
         F.least(ranges - 1, F.floor((F.col("h") / 2.0 ** 64 + 0.5) * ranges))).cast("long"))
-    r = r.withColumn("block", F.floor(F.col("turn") / block).cast("long"))
     # a crowded turn is a block of its own
     r = r.withColumn("alone", F.when(F.col("_n").isNull(), F.lit(None)).otherwise(F.col("turn")))
 
