@@ -113,3 +113,37 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     """The digest per document."""
     return judged(docs, ["doc_id"]).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+ORACLE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (
+  SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c
+  FROM (SELECT rid, i, ws[i:i + 4] AS g FROM (SELECT rid, ws, unnest(range(1, len(ws) - 3)) AS i FROM d))),
+cov AS (SELECT rid, count(DISTINCT i + k) AS n FROM win, (SELECT unnest(range(0, 5)) AS k) WHERE c > 1 GROUP BY rid),
+ln AS (SELECT rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+m AS (
+  SELECT d.rid, doc_id, source, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+         CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words,
+         len(l) AS n_lines
+  FROM d JOIN ln ON d.rid = ln.rid LEFT JOIN cov ON d.rid = cov.rid),
+f AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS r1, 10 * n_symbols > n_words AS r2,
+         100 * n_dup_lines > 30 * n_lines AS r3, word_chars < 3 * n_words OR word_chars > 12 * n_words AS r4
+  FROM m),
+h AS (
+  SELECT source, rule, count(*) AS n, count(*) FILTER (WHERE failed) AS k
+  FROM (SELECT source, unnest([1, 2, 3, 4]) AS rule, unnest([r1, r2, r3, r4]) AS failed FROM f) GROUP BY source, rule),
+mo AS (SELECT rule, avg(k / n) AS mean, var_samp(k / n) AS var FROM h GROUP BY rule),
+s AS (
+  SELECT source, max((k + mean * w) / (n + w)) > 0.5 AS strict FROM (
+    SELECT h.*, mean, CASE WHEN var > 0 THEN greatest(1.0, least(1e6, mean * (1 - mean) / var - 1)) ELSE 1.0 END AS w
+    FROM h JOIN mo ON h.rule = mo.rule) GROUP BY source)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r1 AS base_failed,
+       NOT r1 AND NOT (strict AND (r1 OR r2 OR r3 OR r4)) AS kept
+FROM f JOIN s ON f.source IS NOT DISTINCT FROM s.source
+"""

@@ -463,3 +463,22 @@ def joined(docs: DataFrame, region: int = REGION, max_common: int = MAX_COMMON,
 def join_near_copies(docs: DataFrame) -> DataFrame:
     """The digest per document."""
     return joined(docs).select("doc_id", "n_shingles", "component_id")
+
+
+ORACLE = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, list_aggregate(ws[i:i + 4], 'string_agg', ' ') AS x
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws) - 3))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+links AS (
+  SELECT a, b FROM (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM s p JOIN s q ON p.x = q.x AND p.doc_id <> q.doc_id
+                    GROUP BY p.doc_id, q.doc_id)
+  JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b
+  WHERE 100 * c >= 75 * (na.n + nb.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM d UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, r.c AS component_id
+FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id
+"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import preference
+from . import hostrules, jaccard, preference
 from .common import prepare, table
 from .decontam import find_leaks
 from .hostrules import quality_rules
@@ -39,5 +39,7 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op4_jaccard_metric_join": _over(join_near_copies, "documents"),
+    "op4_jaccard_metric_join": jaccard.ORACLE,
     "op5_preference_format": preference.ORACLE,
+    "op8_host_rules": hostrules.ORACLE,
 }
