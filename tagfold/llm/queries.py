@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import hostrules, jaccard, preference
+from . import hostrules, jaccard, preference, suffixes
 from .common import prepare, table
 from .decontam import find_leaks
 from .hostrules import quality_rules
@@ -41,5 +41,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_jaccard_metric_join": _over(join_near_copies, "documents"),
     "op4_jaccard_metric_join": jaccard.ORACLE,
     "op5_preference_format": preference.ORACLE,
+    "op6_suffix_family": suffixes.ORACLE,
     "op8_host_rules": hostrules.ORACLE,
 }

@@ -325,3 +325,26 @@ def trimmed(docs: DataFrame, batches: int = BATCHES, crowded: int = CROWDED) ->
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """The digest per document."""
     return trimmed(docs).drop("kept")
+
+
+ORACLE = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (
+  SELECT rid, s, b[s:s + 199] AS g
+  FROM (SELECT rid, b, unnest(range(1, octet_length(b) - 198)) AS s FROM d)),
+f AS (SELECT rid, s FROM (SELECT rid, s, count(*) OVER (PARTITION BY g) AS c FROM w) WHERE c > 1),
+i AS (
+  SELECT rid, min(s) AS a, max(s) + 199 AS z
+  FROM (SELECT rid, s, sum(fresh) OVER (PARTITION BY rid ORDER BY s) AS k
+        FROM (SELECT rid, s, CASE WHEN s > lag(s) OVER (PARTITION BY rid ORDER BY s) + 200 THEN 1 ELSE 0 END AS fresh FROM f))
+  GROUP BY rid, k),
+gap AS (
+  SELECT rid, coalesce(lag(z) OVER (PARTITION BY rid ORDER BY a), 0) + 1 AS x, a - 1 AS y FROM i
+  UNION ALL SELECT d.rid, coalesce(z, 0) + 1, octet_length(b) FROM d LEFT JOIN (SELECT rid, max(z) AS z FROM i GROUP BY rid) e ON d.rid = e.rid),
+k AS (
+  SELECT d.rid, list_reduce(list_prepend(''::BLOB, list(CASE WHEN y >= x THEN b[x:y] ELSE ''::BLOB END ORDER BY x)), lambda p, q: p || q) AS kept
+  FROM gap JOIN d ON d.rid = gap.rid GROUP BY d.rid)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(octet_length(b) - octet_length(kept) AS BIGINT) AS n_removed,
+       coalesce(n, 0) AS n_spans, sha256(kept) AS kept_sha256
+FROM d JOIN k ON d.rid = k.rid LEFT JOIN (SELECT rid, count(*) AS n FROM i GROUP BY rid) j ON j.rid = d.rid
+"""
