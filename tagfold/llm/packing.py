@@ -30,7 +30,7 @@ from .common import written
 from .tokens import WordIds
 
 WINDOW = 4096
-GRAIN = 16
+GRAIN = 8
 DEPTH = 3
 END_ID = 2
 
