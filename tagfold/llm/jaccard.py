@@ -408,7 +408,7 @@ def joined(docs: DataFrame, region: int = REGION, max_common: int = MAX_COMMON,
     common = np.zeros(0, dtype=np.uint64)
     level, before = firsts, None
     while True:
-        with _rows_per_batch(spark, 20_000):
+        with _rows_per_batch(spark, 4096):  # of texts as well
             e = entries(level, common)
             if len(common):
                 e = written(e, "op4_entries")
