@@ -319,16 +319,19 @@ class Join:
                 .join(self.roots(), F.col("v") == F.col("_v"), "left")
                 .select("v", "n", "u", "cluster", F.coalesce("root", "v").alias("root")))
         node = written(node, "op4_nodes")
-        heads = written(node.groupBy(F.col("cluster").alias("_c")).agg(
-            F.min(F.struct("u", "v", "root")).alias("p"), F.min("root").alias("x0"), F.max("root").alias("x1"))
-            .filter("x0 <> x1").select("_c", F.col("p.v").alias("pv"), F.col("p.root").alias("proot")), "op4_heads")
+        # the pivot is taken from the cluster's largest component
+        parts = node.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("u", "v")).alias("p"))
+        heads = written(parts.groupBy(F.col("cluster").alias("_c")).agg(
+            F.max(F.struct("m", "root", "p")).alias("x"), F.count(F.lit(1)).alias("roots")).filter("roots > 1")
+            .select("_c", F.col("x.p.v").alias("pv"), F.col("x.root").alias("proot")), "op4_heads")
         node = written(node.join(small(heads), F.col("cluster") == F.col("_c")).drop("_c"), "op4_open")
         if not node.limit(1).count():
             return None
         d = self.measure(node.filter("v <> pv").select(F.col("v").alias("a"), F.col("pv").alias("b")))
         d = d.select(F.col("a").alias("_v"), F.floor(4 * (F.col("either") - F.col("shared")) / F.col("either")).cast("int").alias("cell"))
         node = written(node.join(small(d), F.col("v") == F.col("_v"), "left").select(
-            "v", "cluster", (F.col("root") != F.col("proot")).alias("outside"), F.coalesce("cell", F.lit(0)).alias("cell")), "op4_cells")
+            "v", "cluster", "root", (F.col("root") != F.col("proot")).alias("outside"), F.coalesce("cell", F.lit(0)).alias("cell")),
+            "op4_cells")
 
         # windows: members go to the cells of all they can link with
         near = node.withColumn("t", F.explode(F.sequence(F.greatest(F.col("cell") - 1, F.lit(0)), F.col("cell") + 1)))
@@ -342,47 +345,48 @@ class Join:
         asks = (near.filter(F.col("outside") & (F.col("cell") == F.col("t"))).withColumn("o", one("ob"))
                 .withColumn("m", every("mb")).withColumn("kind", F.lit(0)))
         told = near.withColumn("m", one("mb")).withColumn("o", every("ob")).withColumn("kind", F.lit(1))
-        rows = asks.select("cluster", "t", "o", "m", "kind", "v").unionByName(told.select("cluster", "t", "o", "m", "kind", "v"))
-        rows = rows.select(F.xxhash64("cluster", "t", "o", "m").alias("key"), "kind", "v")
+        cols = ["cluster", "t", "o", "m", "kind", "v", "root"]
+        rows = asks.select(*cols).unionByName(told.select(*cols))
+        rows = rows.select(F.xxhash64("cluster", "t", "o", "m").alias("key"), "kind", "v", "root")
         sets = self.sets(node.select("v").distinct()).withColumnRenamed("v", "_v")
-        rows = rows.join(sets, F.col("v") == F.col("_v")).select("key", "kind", "v", "s")
+        rows = rows.join(sets, F.col("v") == F.col("_v")).select("key", "kind", "v", "root", "s")
 
         def run(batches):
             key, asked, parent = None, None, {}
-            own: list[tuple[int, np.ndarray]] = []
+            own: list[tuple[int, int, np.ndarray]] = []
 
-            def find(x):
+            def find(x):  # components so far, by their roots
                 while parent.setdefault(x, x) != x:
-                    x = parent[x]
+                    parent[x] = x = parent[parent[x]]
                 return x
 
             for b in batches:
                 a, z = [], []
-                for k, kind, v, raw in zip(*(b.column(i).to_pylist() for i in range(4))):
+                for k, kind, v, root, raw in zip(*(b.column(i).to_pylist() for i in range(5))):
                     if k != key:
                         key, asked, parent, own = k, None, {}, []
                     s = np.frombuffer(raw, dtype=np.uint64)
                     if kind == 0:
-                        own.append((v, s))
+                        own.append((v, root, s))
                         continue
                     if asked is None:
                         if not own:
                             continue
-                        h = np.concatenate([x for _, x in own])
-                        who = np.repeat(np.arange(len(own)), [len(x) for _, x in own])
+                        h = np.concatenate([x[2] for x in own])
+                        who = np.repeat(np.arange(len(own)), [len(x[2]) for x in own])
                         order = np.argsort(h, kind="stable")
-                        asked = (h[order], who[order], np.array([len(x) for _, x in own]), [x for x, _ in own])
-                    h, who, size, name = asked
+                        asked = (h[order], who[order], np.array([len(x[2]) for x in own]))
+                    h, who, size = asked
                     lo, hi = np.searchsorted(h, s, "left"), np.searchsorted(h, s, "right")
                     n = hi - lo
                     at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
                     shared = np.bincount(who[at], minlength=len(size))
                     for i in np.flatnonzero(4 * shared >= 3 * (size + len(s) - shared)):
-                        x, y = find(name[i]), find(v)
+                        x, y = find(own[i][1]), find(root)
                         if x != y:
                             parent[x] = y
                             a.append(v)
-                            z.append(name[i])
+                            z.append(own[i][0])
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(z, pa.int64())], names=["a", "b"])
 
         return written(rows.repartition("key").sortWithinPartitions("key", "kind", "v").mapInArrow(run, "a long, b long"), "op4_found")
