@@ -20,7 +20,7 @@ def _docs(spark):
 
 
 def _brute_tfidf():
-    toks = {d: [t for t in re.split("[^a-z]+", (x or "").lower()) if len(t) >= 3] for d, x, _ in DOCS}
+    toks = {d: [t for t in re.split(r"[\W_]+", (x or "").lower()) if t] for d, x, _ in DOCS}
     tf = {d: Counter(ts) for d, ts in toks.items()}
     df = Counter(t for c in tf.values() for t in c)
     n = len(DOCS)
