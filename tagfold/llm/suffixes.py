@@ -17,7 +17,8 @@ beginnings with more than ``CROWDED`` distinct runs are compared by a shuffle
 of the single strings instead.
 
 Edge cases: a null text is empty; a text shorter than ``LENGTH`` has no such
-string; rows repeating an id or a text are compared like any others; texts
+string; rows repeating an id or a text are compared like any others, as rows
+are told apart by a hash of id and text (rows equal in both lose the same); texts
 longer than ``BLOCK`` bytes are handled in overlapping blocks; an empty table
 gives an empty result; extra columns are left aside.
 """
@@ -32,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import _BASE, _BYTE, _mix, powers, small, utf8, written
+from .jaccard import keyed
 
 LENGTH = 200
 GRAM = 24
@@ -89,7 +91,8 @@ def anchored(b: np.ndarray, length: int = LENGTH, gram: int = GRAM, block: int =
 
 
 def suffixes(docs: DataFrame) -> DataFrame:
-    """(g, f, doc_id) of every anchored suffix."""
+    """(g, f, doc_id) of every anchored suffix; here and below ``doc_id`` is
+    what tells the rows apart, in :func:`trimmed` the hash of id and text."""
     def run(batches):
         for b in batches:
             g, f, d = [], [], []
@@ -156,7 +159,7 @@ def _drop(df: DataFrame) -> None:
 
 
 def judged(matches: DataFrame, crowded: int = CROWDED) -> DataFrame:
-    """Per document: the suffixes that need a look, (g, f, repeated, ship,
+    """Per row: the suffixes that need a look, (g, f, repeated, ship,
     crowded): its whole run is repeated; its run is to be compared."""
     runs = written(matches.groupBy("g", "f").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("rep")), "op6_runs")
     kinds = written(runs.groupBy("g").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
@@ -267,21 +270,28 @@ def compared(ctx: DataFrame) -> DataFrame:
 def trimmed(docs: DataFrame, batches: int = BATCHES, crowded: int = CROWDED) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept) per document;
     ``kept`` are the remaining bytes."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
+    rows = docs.select(F.col("_row_key").alias("doc_id"), "text")
     family = SuffixFamily()
     which = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
     for k in range(batches):
-        family.add(suffixes(docs.filter(which == k)))
+        family.add(suffixes(rows.filter(which == k)))
     looks = written(judged(written(family.matches(), "op6_matches"), crowded), "op6_looks")
 
-    # only documents with a match are read again, by their ids where those are few
-    ids = looks.select("_d")
-    some = docs.join(small(ids), F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
-    looked = some.join(looks, F.col("doc_id").eqNullSafe(F.col("_d")))
-    ctx = written(contexts(looked.select("doc_id", "text", "g", "f", "repeated", "ship", "crowded")), "op6_contexts")
+    # only rows with a match are read again, by their keys where those are few
+    keys = looks.select("_d")
+    some = docs.join(small(keys), F.col("_row_key") == F.col("_d"), "left_semi")
+    # rows equal in id and text are looked at once: what they share is known to be repeated
+    equal = written(some.groupBy("_row_key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                    .select(F.col("_row_key").alias("_e")), "op6_equal")
+    same = F.col("_row_key") == F.col("_e")
+    once = some.join(small(equal), same, "left_anti").unionByName(
+        some.join(small(equal), same, "left_semi").dropDuplicates(["_row_key"]))
+    looked = once.join(looks, F.col("_row_key") == F.col("_d"))
+    ctx = written(contexts(looked.select("_row_key", "text", "g", "f", "repeated", "ship", "crowded")), "op6_contexts")
     ranges = (compared(ctx).groupBy("doc_id").agg(F.collect_list("s0").alias("s0"), F.collect_list("s1").alias("s1")))
     info = written(looks.select("_d", "g", "f", "repeated").join(
-        ranges.withColumnRenamed("doc_id", "_r"), F.col("_d").eqNullSafe(F.col("_r")), "left").drop("_r"), "op6_info")
+        ranges.withColumnRenamed("doc_id", "_r"), F.col("_d") == F.col("_r"), "left").drop("_r"), "op6_info")
 
     def cut(bs):
         for b in bs:
@@ -300,10 +310,8 @@ def trimmed(docs: DataFrame, batches: int = BATCHES, crowded: int = CROWDED) ->
                             np.add.at(edge, lo[hit], 1)
                             np.add.at(edge, hi[hit] + LENGTH, -1)
                     if s0:
-                        a, z = np.array(s0), np.array(s1)
-                        ok = z + LENGTH <= len(raw)  # of a row repeating the id with another text
-                        np.add.at(edge, a[ok], 1)
-                        np.add.at(edge, z[ok] + LENGTH, -1)
+                        np.add.at(edge, np.array(s0), 1)
+                        np.add.at(edge, np.array(s1) + LENGTH, -1)
                 gone = np.cumsum(edge[:-1]) > 0
                 spans = int(gone[0]) + int(((~gone[:-1]) & gone[1:]).sum()) if len(gone) else 0
                 kept = raw[~gone].tobytes()
@@ -317,8 +325,8 @@ def trimmed(docs: DataFrame, batches: int = BATCHES, crowded: int = CROWDED) ->
     none = [F.lit(None).cast(t).alias(c) for c, t in (("g", "array<bigint>"), ("f", "array<bigint>"),
                                                       ("repeated", "array<boolean>"), ("s0", "array<bigint>"),
                                                       ("s1", "array<bigint>"))]
-    clean = docs.join(small(ids), F.col("doc_id").eqNullSafe(F.col("_d")), "left_anti").select("doc_id", "text", *none)
-    hit = some.join(info, F.col("doc_id").eqNullSafe(F.col("_d"))).select("doc_id", "text", "g", "f", "repeated", "s0", "s1")
+    clean = docs.join(small(keys), F.col("_row_key") == F.col("_d"), "left_anti").select("doc_id", "text", *none)
+    hit = some.join(info, F.col("_row_key") == F.col("_d")).select("doc_id", "text", "g", "f", "repeated", "s0", "s1")
     return clean.mapInArrow(cut, schema).unionByName(hit.mapInArrow(cut, schema))
 
 

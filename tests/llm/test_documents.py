@@ -224,6 +224,23 @@ def test_repeats(edge, batches, crowded):
     assert by_row(got, ["n_bytes", "n_removed", "n_spans", "kept_sha256"]) == want
 
 
+@pytest.mark.parametrize("crowded", [100_000, 1])
+def test_repeats_of_different_texts_under_one_id(llm, crowded):
+    rng = np.random.default_rng(9)
+    say = lambda n: "".join(chr(c) for c in rng.integers(97, 123, n))
+    shared = [say(400) for _ in range(4)]
+    pairs = []
+    for d, (x, y) in ((1, shared[:2]), (None, shared[2:])):
+        pairs += [(d, x + say(900)), (d, say(1500)), (d, say(100) + y[:300] + say(700)), (d, say(40) + y + say(10))]
+        pairs += [(d, say(7) + x[50:] + say(300))] * 2
+    pairs += [(2, say(30) + shared[0]), (3, shared[3])]
+    got = rows(suffixes.trimmed(llm.createDataFrame(pairs, "doc_id long, text string"), 3, crowded).drop("kept"))
+    want = collections.defaultdict(collections.Counter)
+    for (d, _), x in zip(pairs, brute.trimmed([t for _, t in pairs])):
+        want[d][x] += 1
+    assert by_row(got, ["n_bytes", "n_removed", "n_spans", "kept_sha256"]) == want
+
+
 def test_repeats_of_the_small_table(documents, empty):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffixes.remove_repeats(documents).collect()}
     pairs = pairs_of(documents)
