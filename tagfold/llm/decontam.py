@@ -16,9 +16,10 @@ documents are searched with, so its size in memory is bounded; document
 frequencies are those of all items.
 
 Edge cases: null and empty texts, and items of fewer than two words, match
-nothing; repeated documents each give their rows; repeated items all match; a
-null document or item id is kept; an empty table on either side gives an empty
-result; extra columns are left aside.
+nothing; repeated documents each give their rows; items repeated in id and text
+are one item, and different texts under one id or a null id are items of their
+own, each giving its rows; a null document or item id is kept; an empty table on
+either side gives an empty result; extra columns are left aside.
 """
 
 from __future__ import annotations
@@ -145,8 +146,15 @@ class Index:
                 cur[t] += 1
 
 
+def known(items: DataFrame) -> DataFrame:
+    """(item, item_id, text) of the different items; ``item`` is the hash of
+    both, as benchmarks may use one id for several texts."""
+    return (items.select(F.col("item_id").cast("long").alias("item_id"), "text").filter("text IS NOT NULL").distinct()
+            .select(F.xxhash64("item_id", "text").alias("item"), "item_id", "text"))
+
+
 def indexed(items: DataFrame) -> DataFrame:
-    """(item, entry, terms, tf, df) per entry of the items ``(item_id, text)``."""
+    """(item, entry, terms, tf, df) per entry of the :func:`known` ``items``."""
     def run(batches):
         for b in batches:
             cols: list[list] = [[], [], [], []]
@@ -160,9 +168,8 @@ def indexed(items: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 cols, [pa.int64(), pa.int32(), pa.int64(), pa.int32()])], names=["item", "entry", "term", "tf"])
 
-    # items repeated row by row are one item
-    terms = written(items.select(F.col("item_id").cast("long"), "text").distinct()
-                    .mapInArrow(run, "item long, entry int, term long, tf int"), "op10_terms")
+    terms = written(items.select("item", "text").mapInArrow(run, "item long, entry int, term long, tf int"),
+                    "op10_terms")
     df = written(terms.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "op10_df")
     return (terms.join(df, "term").groupBy("item", "entry")
             .agg(F.collect_list(F.struct("term", "tf", "df")).alias("t"))
@@ -170,12 +177,13 @@ def indexed(items: DataFrame) -> DataFrame:
 
 
 def searched(docs: DataFrame, index: Index, texts: dict, threshold: float) -> DataFrame:
-    """(doc_id, item_id, bm25, question_overlap, answer_overlap, item_overlap)."""
+    """(doc_id, item_id, bm25, question_overlap, answer_overlap, item_overlap);
+    ``texts`` has (item_id, text) by item."""
     sc = docs.sparkSession.sparkContext
     overlap = {}
-    for item, text in texts.items():
+    for item, (item_id, text) in texts.items():
         q, a = parts_of(text)
-        overlap[item] = [np.unique(grams(words_of(x), 3)) for x in (q, a, text)]
+        overlap[item] = item_id, [np.unique(grams(words_of(x), 3)) for x in (q, a, text)]
     shared = sc.broadcast((index, overlap))
 
     def run(batches):
@@ -203,9 +211,10 @@ def searched(docs: DataFrame, index: Index, texts: dict, threshold: float) -> Da
                             best[item] = max(best.get(item, 0.0), score)
                 if best:
                     own = np.unique(grams(w, 3))
-                    for item, score in sorted(best.items(), key=lambda x: (x[0] is None, x[0])):
-                        share = [float(np.isin(p, own).mean()) if len(p) else None for p in parts[item]]
-                        for c, v in zip(out, [doc, item, round(score, 6), *share]):
+                    for item, score in sorted(best.items()):
+                        item_id, grams_of = parts[item]
+                        share = [float(np.isin(p, own).mean()) if len(p) else None for p in grams_of]
+                        for c, v in zip(out, [doc, item_id, round(score, 6), *share]):
                             c.append(v)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(out, [b.column(0).type, pa.int64()] + [pa.float64()] * 4)],
@@ -218,18 +227,17 @@ def searched(docs: DataFrame, index: Index, texts: dict, threshold: float) -> Da
 
 def retrieved(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, block_items: int = BLOCK_ITEMS) -> DataFrame:
     """All (document, item) pairs above the BM25 threshold, with overlaps."""
+    items = written(known(items), "op10_items")
     ix = written(indexed(items), "op10_index")
     stats = ix.agg(F.count(F.lit(1)).alias("n"), F.avg(F.aggregate("tf", F.lit(0), lambda a, x: a + x)).alias("m")).first()
-    known = items.select(F.col("item_id").cast("long").alias("item"), "text")
-    blocks = max(1, -(-known.select("item").distinct().count() // block_items))
+    blocks = max(1, -(-items.count() // block_items))
     which = F.pmod(F.xxhash64("item"), F.lit(blocks))
     out = None
     for k in range(blocks):
         rows = ix.filter(which == k).orderBy("item", "entry").collect()  # about block_items items
         if not rows:
             continue
-        texts = {r.item: r.text for r in known.filter(which == k).filter("text IS NOT NULL")
-                 .groupBy("item").agg(F.min("text").alias("text")).collect()}
+        texts = {r.item: (r.item_id, r.text) for r in items.filter(which == k).collect()}
         part = searched(docs, Index([(r.item, r.term, r.tf, r.df) for r in rows], stats.n, stats.m), texts, threshold)
         part = written(part, "op10_block") if blocks > 1 else part
         out = part if out is None else out.unionByName(part)

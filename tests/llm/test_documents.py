@@ -329,6 +329,19 @@ def test_long_items_are_indexed_in_entries_and_found(llm):
     assert {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, items).collect()} == {(1, 1), (None, 1)}
 
 
+def test_different_items_under_one_id_are_all_found(llm):
+    say = lambda k: " ".join(f"{k}{i}." if i % 20 == 19 else f"{k}{i}" for i in range(60))
+    ids = [1, 1, 1, None, None, None]
+    texts = [say(k) for k in "abcdef"]
+    items = llm.createDataFrame([*zip(ids, texts), (1, texts[0]), (None, texts[3])], "item_id long, text string")
+    docs = llm.createDataFrame([(10 + i, "before " * 50 + t + " after" * 70) for i, t in enumerate(texts)],
+                               "doc_id long, text string")
+    want = [(10 + i, x) for i, x in enumerate(ids)]
+    for block_items in (20_000, 2):
+        got = decontam.retrieved(docs, items, block_items=block_items).filter(decontam.leaked()).collect()
+        assert sorted((r.doc_id, r.item_id) for r in got) == want
+
+
 def test_shingle_sets_follow_the_words():
     for t in ("a b c d e f g", "a b", "", None, "A  b\tC\nd e", "x" * 50_000):
         assert len(shingle_set(t)) == len(brute.shingles(t))
