@@ -9,7 +9,7 @@ impacts of a passage's bigrams bounds its score for any entry. Passages that
 reach the threshold walk the posting lists with block-max WAND and return all
 entries above it. What is retrieved is verified on the document: the shares
 of the item's question (all but its last sentence) and answer (the last one)
-that occur in it, by word trigrams.
+that occur in it, by word trigrams, and by its bigram an item of two words.
 
 The index is built in blocks of ``BLOCK_ITEMS`` items, each of which all
 documents are searched with, so its size in memory is bounded; document
@@ -183,7 +183,8 @@ def searched(docs: DataFrame, index: Index, texts: dict, threshold: float) -> Da
     overlap = {}
     for item, (item_id, text) in texts.items():
         q, a = parts_of(text)
-        overlap[item] = item_id, [np.unique(grams(words_of(x), 3)) for x in (q, a, text)]
+        width = 2 if len(words_of(text)) == 2 else 3
+        overlap[item] = item_id, [(n, np.unique(grams(words_of(x), n))) for x, n in ((q, 3), (a, 3), (text, width))]
     shared = sc.broadcast((index, overlap))
 
     def run(batches):
@@ -210,10 +211,10 @@ def searched(docs: DataFrame, index: Index, texts: dict, threshold: float) -> Da
                             item = ix.item[entry]
                             best[item] = max(best.get(item, 0.0), score)
                 if best:
-                    own = np.unique(grams(w, 3))
+                    own = {2: g, 3: np.unique(grams(w, 3))}
                     for item, score in sorted(best.items()):
                         item_id, grams_of = parts[item]
-                        share = [float(np.isin(p, own).mean()) if len(p) else None for p in grams_of]
+                        share = [float(np.isin(p, own[n]).mean()) if len(p) else None for n, p in grams_of]
                         for c, v in zip(out, [doc, item_id, round(score, 6), *share]):
                             c.append(v)
             yield pa.RecordBatch.from_arrays(

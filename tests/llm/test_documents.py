@@ -342,6 +342,13 @@ def test_different_items_under_one_id_are_all_found(llm):
         assert sorted((r.doc_id, r.item_id) for r in got) == want
 
 
+def test_items_of_two_words_are_found(llm):
+    items = llm.createDataFrame([(1, "Alpha beta."), (2, "alpha"), (3, "gamma, alpha")], "item_id long, text string")
+    docs = llm.createDataFrame([(1, "so alpha beta it is"), (2, "alpha beta"), (3, "alpha or beta"), (4, "beta alpha")],
+                               "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in decontam.find_leaks(docs, items).collect()) == [(1, 1), (2, 1)]
+
+
 def test_shingle_sets_follow_the_words():
     for t in ("a b c d e f g", "a b", "", None, "A  b\tC\nd e", "x" * 50_000):
         assert len(shingle_set(t)) == len(brute.shingles(t))
