@@ -3,8 +3,9 @@
 quality rules -> near copies -> benchmark decontamination -> personal data ->
 packing. Each stage works on what its predecessor kept; all but the last return
 the columns of the documents. A stage that filters collects the rows to leave
-out, by a hash of id and text, and reads the documents once more without them,
-so texts are shuffled only where those rows are too many to broadcast.
+out, by a hash of id and text (and host, for its rules), and reads the documents
+once more without them, so texts are shuffled only where those rows are too many
+to broadcast.
 
 Edge cases: null ids and texts are handled as in the operators; a repeated row
 of a document that stays is dropped with the near copies; an empty table gives
@@ -20,17 +21,23 @@ from tagfold.llm import decontam, hostrules, jaccard, packing, pii
 from tagfold.llm.common import prepare, small, table, written
 
 
-def _without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+def _hosted(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_row_key``, the hash of id, text and host; hashes skip
+    nulls, so a flag tells a missing host from a missing text."""
+    return docs.withColumn("_row_key", F.xxhash64("doc_id", "text", F.col("source").isNull(), "source"))
+
+
+def _without(docs: DataFrame, keys: DataFrame, keyed=jaccard.keyed) -> DataFrame:
     """``docs`` but the rows whose key is in ``keys``, a column of hashes."""
     out = written(keys.toDF("_pipeline_out").distinct(), "pipeline_out")
-    return jaccard.keyed(docs).join(small(out), F.col("_row_key") == F.col("_pipeline_out"), "left_anti").drop("_row_key")
+    return keyed(docs).join(small(out), F.col("_row_key") == F.col("_pipeline_out"), "left_anti").drop("_row_key")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules of their host let pass."""
     prepare(spark)
-    judged = hostrules.judged(jaccard.keyed(docs).select("_row_key", "source", "text"), ["_row_key"])
-    return _without(docs, judged.filter("NOT kept").select("_row_key"))
+    judged = hostrules.judged(_hosted(docs).select("_row_key", "source", "text"), ["_row_key"])
+    return _without(docs, judged.filter("NOT kept").select("_row_key"), _hosted)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

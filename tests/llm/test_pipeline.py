@@ -53,3 +53,15 @@ def test_repeated_rows_stay_once(llm):
     docs = llm.createDataFrame([(1, text, "en", "s", 1)] * 3 + [(2, text, "en", "s", 1), (3, None, "en", "s", 1)] * 2,
                                "doc_id long, text string, lang string, source string, n_chars long")
     assert sorted(r.doc_id for r in P.near_copies(llm, docs, SF).collect()) == [1, 3]
+
+
+def test_a_strict_host_takes_no_row_of_another(llm):
+    say = lambda k: " ".join(f"{k}word{i}" for i in range(30))
+    odd = say("x") + " #####"
+    both = [(d, odd, s) for d in (7, None) for s in ("strict", "usual")]
+    data = [(100 + i, say(f"a{i}") + " #####", "strict") for i in range(20)] + [(200 + i, say(f"b{i}"), "usual") for i in range(20)]
+    data += both + [(9, None, say("c")), (9, say("c"), None)]
+    docs = llm.createDataFrame([(d, t, "en", s, 1) for d, t, s in data], "doc_id long, text string, lang string, source string, n_chars long")
+    got = P.quality(llm, docs, SF).collect()
+    assert {(r.doc_id, r.source) for r in got if r.doc_id in (7, 9, None)} == {(7, "usual"), (None, "usual"), (9, None)}
+    assert {r.doc_id for r in got} >= set(range(200, 220)) and not {r.doc_id for r in got} & set(range(100, 120))
