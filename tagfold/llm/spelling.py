@@ -11,14 +11,17 @@ edit apart share all other grams, at the same distance from the start where
 they lie before the edit and from the end where they lie after it. So of the
 grams in one common order, rare ones first, the ``bound + 1`` first of both
 words have one in common, and only those lists are merged; the longer lists are
-never opened. What shares a list entry is verified by its edit distance.
+never opened. As the single edit lies on one side of that gram, its list is
+keyed by the gram with all letters of its other side: a beginning of the word up
+to the gram's end, or an end from its start. What shares a list is verified by
+its edit distance.
 
 T is such that each length has at most ``DICTIONARY`` frequent grams (a count
 above total / DICTIONARY can be reached by no more), so the dictionary is small
 whatever the corpus. A list of more than ``LIST`` words is not joined as it is:
-its words are split by what is left of them after a deletion (words over
-``LONG`` letters: by their halves), which words one edit apart share too, so
-hot lists lose no pair and are not compared all with all.
+its words are split by what is left of their other letters after a deletion (of
+more than ``LONG`` letters: by their halves), which words one edit apart share
+too, so hot lists lose no pair and are not compared all with all.
 
 Edge cases: null and empty texts and a null id (an empty one before the colon)
 are allowed; repeated rows count as often as they occur; a very long text is
@@ -143,49 +146,51 @@ def affected(grams: list[tuple[int, int]]) -> int:
     return most
 
 
-def list_entries(word: str, frequent) -> list[tuple[str, int]]:
-    """The lists that a word is in and looks into: its ``bound + 1`` rarest
-    grams, each by its distance from the start (0 and up) and from the end
-    (below 0). Grams outside the dictionary are rarer than those in it."""
+def list_entries(word: str, frequent) -> list[int]:
+    """The lists that a word is in and looks into, two for each of its ``bound
+    + 1`` rarest grams: the length of the beginning up to the gram's end, and
+    that of the end from its start as a number below 0. Grams outside the
+    dictionary are rarer than those in it."""
     grams = grams_of(word, frequent)
     order = sorted((frequent.get(word[p:e], 0), p - e, word[p:e], p) for p, e in grams)
-    out = []
-    for _, _, g, p in order[:affected(grams) + 1]:
-        out += [(g, p), (g, p - len(word))]
-    return out
+    first = order[:affected(grams) + 1]
+    return sorted({p - size for _, size, _, p in first} | {p - len(word) for *_, p in first})
 
 
 def postings(words: DataFrame, frequent: dict[str, int]) -> DataFrame:
-    """(key, word, n) for every list entry; a key is the hash of gram and place."""
+    """(key, word, n, cut) for every list entry; a key is the hash of the
+    beginning or end that ``cut`` names."""
     shared = words.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
         known = shared.value
         for b in batches:
-            rows = [(g, a, w, n) for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
-                    for g, a in list_entries(w, known)]
+            rows = [(w, n, c) for w, n in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
+                    for c in list_entries(w, known)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in
-                                              enumerate((pa.string(), pa.int32(), pa.string(), pa.int64()))],
-                                             names=["gram", "place", "word", "n"])
+                                              enumerate((pa.string(), pa.int64(), pa.int32()))],
+                                             names=["word", "n", "cut"])
 
-    rows = words.select("word", "n").mapInArrow(run, "gram string, place int, word string, n long")
-    return rows.select(F.xxhash64("gram", "place").alias("key"), "word", "n")
+    rows = words.select("word", "n").mapInArrow(run, "word string, n long, cut int")
+    part = F.expr("if(cut > 0, left(word, cut), right(word, -cut))")
+    return rows.select(F.xxhash64(F.col("cut") > 0, part).alias("key"), "word", "n", "cut")
 
 
 def split_lists(entries: DataFrame) -> DataFrame:
-    """The entries with the keys of lists over ``LIST`` words split."""
-    heavy = written(entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > LIST).select("key"),
-                    "op12_heavy")
-    light = entries.join(small(heavy), "key", "left_anti")
-    size = F.length("word")
-    cut = F.transform(F.sequence(F.lit(0), size), lambda i: F.when(
-        i == 0, F.col("word")).otherwise(F.concat(F.col("word").substr(F.lit(1), i - 1),
-                                                  F.col("word").substr(i + 1, size))))
+    """(key, word, n) with the keys of lists over ``LIST`` words split."""
+    heavy = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > LIST).select("key")
+    heavy = small(written(heavy, "op12_heavy"))
+    light = entries.join(heavy, "key", "left_anti").select("key", "word", "n")
+    rest = F.expr("if(cut > 0, substring(word, cut + 1), left(word, length(word) + cut))")
+    hot = entries.join(heavy, "key", "left_semi").select("key", "word", "n", rest.alias("rest"))
+    size = F.length("rest")
+    cut = F.transform(F.sequence(F.lit(0), size), lambda i: F.when(i == 0, F.col("rest")).otherwise(
+        F.concat(F.col("rest").substr(F.lit(1), i - 1), F.col("rest").substr(i + 1, size))))
     half = F.array(*[F.concat(F.lit(f"{side}:"), x) for k in (1, 0) for side, x in (
-        ("l", F.expr(f"left(word, (length(word) - {k}) DIV 2)")), ("r", F.expr(f"right(word, (length(word) - {k}) DIV 2)")))])
-    parts = F.concat(F.when(size <= LONG + 1, cut).otherwise(F.array().cast("array<string>")),
-                     F.when(size >= LONG, half).otherwise(F.array().cast("array<string>")))
-    hot = (entries.join(small(heavy), "key", "left_semi").select("key", "word", "n", F.explode(F.array_distinct(parts)).alias("part"))
+        ("l", F.expr(f"left(rest, (length(rest) - {k}) DIV 2)")), ("r", F.expr(f"right(rest, (length(rest) - {k}) DIV 2)")))])
+    none = F.array().cast("array<string>")
+    parts = F.concat(F.when(size <= LONG + 1, cut).otherwise(none), F.when(size >= LONG, half).otherwise(none))
+    hot = (hot.select("key", "word", "n", F.explode(F.array_distinct(parts)).alias("part"))
            .select(F.xxhash64("key", "part").alias("key"), "word", "n"))
     return light.unionByName(hot)
 
@@ -193,7 +198,7 @@ def split_lists(entries: DataFrame) -> DataFrame:
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, near, n_word, n_near_word) of words one edit apart, both ways."""
     entries = written(postings(words, gram_dictionary(words)), "op12_entries")
-    lists = written(split_lists(entries), "op12_lists")
+    lists = split_lists(entries)
     a, b = lists.toDF("key", "word", "n_word"), lists.toDF("_key", "near", "n_near_word")
     same = ((F.col("key") == F.col("_key")) & (F.col("word") < F.col("near"))
             & (F.levenshtein("word", "near", 1) == 1))
