@@ -270,7 +270,9 @@ def archive_pages(pages: DataFrame, path: str | None = None) -> DataFrame:
     each page's digest row."""
     spark = pages.sparkSession
     path = path or scratch_path(spark, "op11_warc")
-    chunks = written(chunk_table(pages), "op11_chunks")
+    table, kept = chunk_table(pages), scratch_path(spark, "op11_chunks")
+    table.write.option("compression", "zstd").parquet(kept)
+    chunks = spark.read.schema(table.schema).parquet(kept)
     write_archive(chunks, record_heads(chunks), path)
     records = written(read_records(spark, path), "op11_records")
     full = records.filter("record_type = 'response'")
