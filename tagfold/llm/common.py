@@ -79,20 +79,21 @@ def _mix(x):
 
 _BYTE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_POWERS = np.ones(1, dtype=np.uint64)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_POWERS = {_BASE: np.ones(1, dtype=np.uint64), _INVERSE: np.ones(1, dtype=np.uint64)}
+# bytes of a text whose words are hashed at once
+SPAN = 1 << 18
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def powers(n: int):
-    """The first n powers of an odd 64-bit base, modulo 2**64."""
-    global _POWERS
-    if len(_POWERS) < n:
-        m = 1 << (n - 1).bit_length()
-        p = np.full(m, _BASE, dtype=np.uint64)
+def powers(n: int, base=_BASE):
+    """The first n powers (at least) of an odd 64-bit base, modulo 2**64."""
+    if len(_POWERS[base]) < n:
+        p = np.full(1 << (n - 1).bit_length(), base, dtype=np.uint64)
         p[0] = 1
-        _POWERS = np.multiply.accumulate(p)
-    return _POWERS
+        _POWERS[base] = np.multiply.accumulate(p)
+    return _POWERS[base]
 
 
 def utf8(text) -> np.ndarray:
@@ -115,15 +116,21 @@ def word_spans(b: np.ndarray):
 
 
 def word_hashes(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of every word."""
-    if not len(starts):
-        return np.zeros(0, dtype=np.uint64)
-    size = ends - starts
-    first = np.cumsum(size) - size
-    inside = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(first, size)
-    at = inside + np.repeat(starts, size)
-    terms = _BYTE[b[at]] * powers(int(size.max()))[inside]
-    return _mix(np.add.reduceat(terms, first) + size.astype(np.uint64))
+    """64-bit hash of every word: the polynomial of its bytes, a difference of
+    the text's running sums divided by the power at the word's start."""
+    n = len(starts)
+    out = np.zeros(n, dtype=np.uint64)
+    i = 0
+    while i < n:
+        # the words of a bounded span; a longer word is a span of its own
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SPAN, "right")))
+        at, size = starts[i], int(ends[j - 1] - starts[i])
+        sums = np.zeros(size + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[b[at:at + size]] * powers(size)[:size], out=sums[1:])
+        first, last = starts[i:j] - at, ends[i:j] - at
+        out[i:j] = (sums[last] - sums[first]) * powers(size, _INVERSE)[first]
+        i = j
+    return _mix(out + (ends - starts).astype(np.uint64))
 
 
 def shingle_hashes(words: np.ndarray, width: int = 5) -> np.ndarray:
@@ -135,11 +142,15 @@ def shingle_hashes(words: np.ndarray, width: int = 5) -> np.ndarray:
     w = min(width, n)
     out = np.full(n - w + 1, w, dtype=np.uint64)
     for j in range(w):
-        out = _mix(out * _BASE + words[j:n - w + 1 + j])
-    return out
+        out *= _BASE
+        out += words[j:n - w + 1 + j]
+    return _mix(out)
 
 
 def shingle_set(text, width: int = 5) -> np.ndarray:
     """Sorted distinct shingle hashes of a text, lower-casing A-Z."""
     b = lower_ascii(utf8(text))
-    return np.unique(shingle_hashes(word_hashes(b, *word_spans(b)), width))
+    s = np.sort(shingle_hashes(word_hashes(b, *word_spans(b)), width))
+    new = np.ones(len(s), dtype=bool)
+    np.not_equal(s[1:], s[:-1], out=new[1:])
+    return s[new]
