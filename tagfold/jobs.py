@@ -183,9 +183,12 @@ def job_als(spark, a):
     rc.als_rmse(model, test).coalesce(1).write.mode("overwrite").json(a.output + "/rmse")
     names = (rd.read_id_map(spark, a.items, "item_id", "item_name") if a.items
              else spark.createDataFrame([], "item_id int, item_name string"))
-    # candidates: the pairs given, else the held-out ratings
-    candidates = (rd.read_ratings(spark, a.candidates) if a.candidates else test).select("user_id", "item_id")
-    wr.write_parquet(rc.als_recommend(model, candidates, names, a.k), a.output + "/recommendations")
+    # among the pairs given, else among all items
+    if a.candidates:
+        best = rc.als_recommend(model, rd.read_ratings(spark, a.candidates).select("user_id", "item_id"), names, a.k)
+    else:
+        best = rc.als_top_items(model, names, a.k)
+    wr.write_parquet(best, a.output + "/recommendations")
 
 
 def job_cells(spark, a):

@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.tags import interest_keywords, interest_modules
-from ..session import path_exists
+from ..session import path_exists, scratch_path
+from .topk import top_items
 
 
 def hash_split(ratings: DataFrame, id_col: str, train_share: int = 8, buckets: int = 10):
@@ -64,6 +65,17 @@ def als_recommend(model, candidates: DataFrame, item_names: DataFrame, k: int =
                     F.coalesce(F.col("item_name"), F.lit("")).alias("item_name")))
 
 
+def als_top_items(model, item_names: DataFrame, k: int = 10) -> DataFrame:
+    """The k best of all items for every user of the model by predicted
+    rating (six decimals, ties by item), names attached ('' when unknown). The
+    factors are searched exactly (``topk``), not crossed."""
+    top = top_items(model.userFactors.select(F.col("id").alias("q"), F.col("features").alias("vec")),
+                    model.itemFactors.select("id", F.col("features").alias("vec")), k)
+    return (top.join(item_names, F.col("id") == F.col("item_id"), "left")
+            .select(F.col("q").alias("user_id"), "rank", F.col("id").alias("item_id"), "score",
+                    F.coalesce(F.col("item_name"), F.lit("")).alias("item_name")))
+
+
 def item_tags(items: DataFrame) -> DataFrame:
     """Item keyword map in long form (item, module, tag, weight 1.0) with the
     keyword-interest rule applied to the item's class codes and keywords."""
@@ -93,3 +105,66 @@ def recommend_unseen(scores: DataFrame, seen: DataFrame, already: DataFrame, n:
             .join(already.select("user", "item"), ["user", "item"], "left_anti"))
     w = Window.partitionBy("user").orderBy(F.desc("score"), F.asc("item"))
     return keep.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n).select("user", "rank", "item", "score")
+
+
+def _table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once under the shared folder, and a scan of it."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def catalogue_candidates(user_tags: DataFrame, postings: DataFrame, hidden: DataFrame, n: int) -> DataFrame:
+    """(user, item, partial, rest): the items that can be among a user's ``n``
+    best, with the weight they collect from the user's essential tags and the
+    most that the other tags can add.
+
+    ``postings`` (item, module, tag) is the inverted index. A tag that more
+    than ``n`` items have, besides those hidden from the user, gives that many
+    the tag's weight, so the n-th score is at least the greatest such weight.
+    Tags are taken by impact: the lightest ones that together stay below that
+    score cannot make an item on their own, and their lists are not opened for
+    candidates. The n-th best partial score then raises the bound once more."""
+    lists = postings.groupBy("module", "tag").agg(F.count(F.lit(1)).alias("n_items"))
+    out_of = hidden.groupBy("user").agg(F.count(F.lit(1)).alias("n_hidden"))
+    tags = user_tags.where(F.col("weight") > 0).select("user", "module", "tag", "weight")
+    tags = tags.join(lists, ["module", "tag"]).join(out_of, "user", "left")
+    by_user = Window.partitionBy("user")
+    sure = F.when(F.col("n_items") >= n + F.coalesce("n_hidden", F.lit(0)), F.col("weight"))
+    light = F.sum("weight").over(by_user.orderBy("weight", "module", "tag"))
+    tags = tags.select("user", "module", "tag", "weight", light.alias("light"),
+                       F.coalesce(F.max(sure).over(by_user), F.lit(0.0)).alias("least"))
+    tags = _table(tags.withColumn("essential", F.col("light") >= F.col("least") - SLACK), "impact_tags")
+    user = tags.groupBy("user").agg(F.first("least").alias("least"),
+                                    F.sum(F.when(~F.col("essential"), F.col("weight")).otherwise(0.0)).alias("rest"))
+    part = (tags.where("essential").join(postings, ["module", "tag"]).groupBy("user", "item").agg(F.sum("weight").alias("partial"))
+            .join(hidden, ["user", "item"], "left_anti"))
+    part = _table(part, "impact_partial")
+    nth = (part.withColumn("rank", F.row_number().over(by_user.orderBy(F.desc("partial"), "item"))).where(F.col("rank") <= n)
+           .groupBy("user").agg(F.min(F.when(F.col("rank") == n, F.col("partial"))).alias("nth")))
+    bounds = user.join(nth, "user").select("user", "rest", F.greatest("least", F.coalesce("nth", F.lit(0.0))).alias("_least"))
+    return (part.join(_table(bounds, "impact_bounds"), "user")
+            .where(F.col("partial") + F.col("rest") >= F.col("_least") - SLACK).drop("_least")), tags
+
+
+# more than rounding to four decimals can move a score
+SLACK = 1e-3
+
+
+def recommend_from_catalogue(user_tags: DataFrame, items: DataFrame, hidden: DataFrame, n: int) -> DataFrame:
+    """The ``n`` best items of the whole catalogue for every user by the sum
+    of the weights of shared (module, tag), without those ``hidden`` (user,
+    item: seen or recommended before): (user, rank, item, score), ties by item.
+    Exact: pairs are left out only where their bound is below the n-th score."""
+    postings = _table(item_tags(items).select("item", "module", "tag"), "postings")
+    hidden = hidden.select("user", "item").distinct()
+    part, tags = catalogue_candidates(user_tags, postings, hidden, n)
+    part = _table(part, "impact_pairs")
+    light = tags.where("NOT essential").select("user", "module", "tag", "weight")
+    more = (part.where("rest > 0").select("user", "item").join(postings, "item").join(light, ["user", "module", "tag"])
+            .groupBy("user", "item").agg(F.sum("weight").alias("more")))
+    score = F.round(F.col("partial") + F.coalesce("more", F.lit(0.0)), 4)
+    scored = part.join(more, ["user", "item"], "left").select("user", "item", score.alias("score"))
+    w = Window.partitionBy("user").orderBy(F.desc("score"), F.asc("item"))
+    return (scored.withColumn("rank", F.row_number().over(w)).where((F.col("rank") <= n) & (F.col("score") > 0))
+            .select("user", "rank", "item", "score"))

@@ -687,6 +687,45 @@ r AS (
   WHERE s > 0 AND seen.usr IS NULL AND bought.usr IS NULL)
 SELECT u AS "user", rank, i AS item, s AS score FROM r WHERE rank <= 10"""
 
+# every (user, item) pair that shares a keyword, scored; then the rank cut
+_ITEM_TAGS = ORACLE_SQL["content_match"]
+_ITEM_TAGS = _ITEM_TAGS[:_ITEM_TAGS.index("pairs AS")] + _ITEM_TAGS[_ITEM_TAGS.index("items AS"):_ITEM_TAGS.index("SELECT p.usr")]
+ORACLE_SQL["content_catalogue"] = _ITEM_TAGS + f""",
+p AS (SELECT o.usr AS u, it.ri AS i, round(sum(o.weight), 4) AS s
+      FROM old_p o JOIN it ON o.module = it.module AND o.tag = it.tag GROUP BY ALL),
+seen AS (SELECT DISTINCT regexp_replace(un, '[ "]', '', 'g') AS usr, ri FROM hlog
+         WHERE un <> '' AND vt_ms < {OLD_BEFORE} AND ro = 'article' AND coalesce(rcc, '') <> '' AND ac IN ({", ".join(_q(a) for a in ARTICLE_ACTIONS)})),
+bought AS (SELECT DISTINCT regexp_replace(un, '[ "]', '', 'g') AS usr, ri FROM hlog
+           WHERE un <> '' AND vt_ms >= {OLD_BEFORE} AND ac = 'buy'),
+r AS (
+  SELECT u, i, s, CAST(row_number() OVER (PARTITION BY u ORDER BY s DESC, i) AS INTEGER) AS rank
+  FROM p LEFT JOIN seen ON seen.usr = u AND seen.ri = i LEFT JOIN bought ON bought.usr = u AND bought.ri = i
+  WHERE s > 0 AND seen.usr IS NULL AND bought.usr IS NULL)
+SELECT u AS "user", rank, i AS item, s AS score FROM r WHERE rank <= 10"""
+
+ORACLE_SQL["publish_partitioned"] = "WITH " + LOG + f"""
+SELECT CASE WHEN ro = 'article' THEN '01' WHEN ro = 'tushu' THEN CASE WHEN ac = 'buy' THEN 'a b:c' ELSE 'x=y' END END AS label,
+       ri, count(*) AS visits
+FROM hlog WHERE vt_ms >= {OLD_BEFORE} GROUP BY ALL"""
+
+
+def _similar(vectors: str) -> str:
+    """Every pair of items (id, v) scored, the ten best of each."""
+    return f"""
+WITH v AS ({vectors}),
+n AS (SELECT id, v, sqrt(list_dot_product(v, v)) AS n FROM v),
+s AS (SELECT a.id, b.id AS other, round(list_dot_product(a.v, b.v) / (a.n * b.n + 1), 6) AS score
+      FROM n a JOIN n b ON a.id <> b.id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY id ORDER BY score DESC, other) AS INTEGER) AS rank FROM s)
+SELECT id, rank, other, score FROM r WHERE rank <= 10"""
+
+
+ORACLE_SQL["similar_items"] = _similar("SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL")
+ORACLE_SQL["similar_parts"] = _similar("""
+  SELECT l_partkey AS id, [round(count(*) / 10.0 - 3, 6), round(sum(CAST(l_quantity AS DOUBLE)) / count(*) - 25, 6),
+                           round(sum(CAST(l_discount * 100 AS DOUBLE)) / count(*) - 5, 6)] AS v
+  FROM lineitem GROUP BY l_partkey""")
+
 ORACLE_SQL["read_catalogue"] = "WITH odd AS (SELECT * FROM documents WHERE doc_id % 2 = 1), " + TFIDF.replace(
     "FROM documents", "FROM odd") + """
 SELECT CAST(doc_id AS VARCHAR) AS id, source AS class, lang AS keyword, round((n_chars % 100) / 100.0, 4) AS score

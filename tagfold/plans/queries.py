@@ -16,6 +16,7 @@ from ..operators import portrait as pt
 from ..operators import stats as st
 from ..operators import recommend as rc
 from ..operators import text as tx
+from ..operators import topk as tk
 from ..schemas import GUEST_COLUMNS, PORTRAIT_COLUMNS
 from ..session import scratch_path
 from ..sinks import writers as wr
@@ -488,6 +489,23 @@ def q_publish_location(spark, sf_dir):
     return spark.table(name)
 
 
+def q_publish_partitioned(spark, sf_dir):
+    """K5/K6: visits by partition, published and then switched to the new
+    log's; the partitions' names are text that has to survive (a leading zero,
+    a blank and a colon, an equals sign, none at all)."""
+    label = (F.when(F.col("ro") == "article", F.lit("01")).when(F.col("ro") == "tushu", F.when(
+        F.col("ac") == "buy", F.lit("a b:c")).otherwise(F.lit("x=y"))))
+    paths = []
+    for lg in _old_new(spark, sf_dir):
+        visits = lg.groupBy(label.alias("label"), "ri").agg(F.count(F.lit(1)).alias("visits"))
+        paths.append(wr.write_parquet(visits, scratch_path(spark, "visits"), ["label"]))
+    _published[0] += 1
+    name = f"tagfold_visits_{_published[0]}"
+    for path in paths:
+        wr.publish_location(spark, name, path)
+    return spark.table(name).select("label", "ri", "visits")
+
+
 # ------------------------------------------------------------ recommendation
 
 def _ratings(spark, sf_dir):
@@ -526,6 +544,31 @@ def q_als_recommend(spark, sf_dir):
     return rc.als_recommend(model, test, names, 10)
 
 
+def q_als_top_items(spark, sf_dir):
+    """The ten best of all items for every user of the model, names
+    attached."""
+    model, _ = _als(spark, sf_dir)
+    names = load(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("item_id"), F.col("p_name").alias("item_name"))
+    return rc.als_top_items(model, names, 10)
+
+
+def q_similar_items(spark, sf_dir):
+    """M7 over the embeddings: the ten most similar other vectors of each."""
+    e = load(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    return tk.similar_items(e, 10)
+
+
+def q_similar_parts(spark, sf_dir):
+    """M7 over vectors of three numbers, the reference's size: a part's order
+    lines, mean quantity and mean discount, each against the mean of all."""
+    li = load(spark, sf_dir, "lineitem").select("l_partkey", "l_quantity", "l_discount")
+    per = li.groupBy(F.col("l_partkey").alias("id")).agg(
+        F.count(F.lit(1)).cast("double").alias("c"), F.sum(F.col("l_quantity").cast("double")).alias("q"),
+        F.sum((F.col("l_discount") * 100).cast("double")).alias("d"))
+    vec = F.array(F.round(F.col("c") / 10 - 3, 6), F.round(F.col("q") / F.col("c") - 25, 6), F.round(F.col("d") / F.col("c") - 5, 6))
+    return tk.similar_items(per.select("id", vec.alias("vec")), 10)
+
+
 def q_content_match(spark, sf_dir):
     """R3 over the new log's (user, article) reads, scored against the
     stored keyword-interest portrait."""
@@ -548,6 +591,17 @@ def q_content_recommend(spark, sf_dir):
     return rc.recommend_unseen(q_content_match(spark, sf_dir), seen, bought, 10)
 
 
+def q_content_catalogue(spark, sf_dir):
+    """R4 over the whole catalogue: the ten best articles per user by shared
+    keywords, but those read before the split or bought since."""
+    old, new = _old_new(spark, sf_dir)
+    pair = lambda lg: (lg.where(F.col("un") != "")
+                       .select(F.regexp_replace("un", '[ "]', "").alias("user"), F.col("ri").alias("item")))
+    hidden = pair(old.where(pt.is_article_read())).unionByName(pair(new.where(F.col("ac") == "buy")))
+    items = formatted_log(spark, sf_dir).select(F.col("ri").alias("item"), "rcc", "rkd").distinct()
+    return rc.recommend_from_catalogue(_old_portrait(spark, sf_dir, [DIM_TOTAL_INTEREST]), items, hidden, 10)
+
+
 QUERIES = {
     "article_ranking": q_article_ranking,
     "book_ranking": q_book_ranking,
@@ -601,9 +655,14 @@ QUERIES = {
     "cell_range_scan": q_cell_range_scan,
     "key_pattern_scan": q_key_pattern_scan,
     "publish_location": q_publish_location,
+    "publish_partitioned": q_publish_partitioned,
     "ua_daily_export": q_ua_daily_export,
     "als_rmse": q_als_rmse,
     "als_recommend": q_als_recommend,
     "content_match": q_content_match,
     "content_recommend": q_content_recommend,
+    "content_catalogue": q_content_catalogue,
+    "als_top_items": q_als_top_items,
+    "similar_items": q_similar_items,
+    "similar_parts": q_similar_parts,
 }

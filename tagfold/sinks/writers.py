@@ -48,46 +48,73 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _partition_keys(spark: SparkSession, path: str) -> list[str]:
+    """Partition columns of a written table, from the names of its folders."""
+    jvm, keys, at = spark._jvm, [], spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        raise ValueError(f"there is nothing at {path} to publish")
+    while True:
+        inner = [s.getPath() for s in fs.listStatus(at) if s.isDirectory() and "=" in s.getPath().getName()]
+        if not inner:
+            return keys
+        at = inner[0]
+        keys.append(jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName(at.getName().split("=", 1)[0]))
+
+
+def _text_schema(spark: SparkSession, path: str, fmt: str, options: dict[str, str]) -> str:
+    """Columns at ``path`` as DDL; partition values are text, as in the names."""
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        return spark.read.format(fmt).options(**options).load(path)._jdf.schema().toDDL()
+    finally:
+        spark.conf.set(key, before)
+
+
 def publish_location(spark: SparkSession, table: str, path: str, fmt: str = "parquet", schema: str | None = None,
                      options: dict[str, str] | None = None) -> None:
     """K5/K6: point ``table`` at ``path`` (create it on first use), then
     refresh cached metadata so readers see the new data. Delimited text needs
     its columns (``schema``, DDL) and ``options`` such as the separator.
 
-    The table stays readable throughout and no file is deleted: its location
-    is switched, and of a partitioned table the location of each partition;
-    partitions that the new path lacks are dropped last (metadata only, as the
-    table is external). A managed table owns its files and is refused."""
-    opts = f" OPTIONS ({', '.join(f'{_quoted(k)} {_quoted(v)}' for k, v in options.items())})" if options else ""
+    A snapshot is a folder, and the table's location is the one pointer to it:
+    switching it is one change of the catalog, so a reader sees the rows of one
+    snapshot or of the next and never some of both, and a failed run leaves the
+    old one in place. That holds for a partitioned table too, as its partitions
+    are not registered one by one but are the folders at the location. Their
+    values are the folders' names, unescaped, as text (``01`` stays ``01``, the
+    default partition is null) unless ``schema`` gives their types. No file is
+    deleted. A managed table owns its files and is refused, as is a table that
+    registers its partitions in the catalog."""
+    keys = _partition_keys(spark, path)
+    options = options or {}
     if not spark.catalog.tableExists(table):
+        opts = f" OPTIONS ({', '.join(f'{_quoted(k)} {_quoted(v)}' for k, v in options.items())})" if options else ""
+        if keys:
+            schema = schema or _text_schema(spark, path, fmt, options)
         cols = f" ({schema})" if schema else ""
-        spark.sql(f"CREATE TABLE {table}{cols} USING {fmt}{opts} LOCATION {_quoted(path)}")
-    elif spark.catalog.getTable(table).tableType != "EXTERNAL":
+        parts = f" PARTITIONED BY ({', '.join(f'`{k}`' for k in keys)})" if keys else ""
+        managed = "spark.sql.hive.manageFilesourcePartitions"
+        before = spark.conf.get(managed)
+        spark.conf.set(managed, "false")
+        try:
+            spark.sql(f"CREATE TABLE {table}{cols} USING {fmt}{opts}{parts} LOCATION {_quoted(path)}")
+        finally:
+            spark.conf.set(managed, before)
+        return
+    if spark.catalog.getTable(table).tableType != "EXTERNAL":
         raise ValueError(f"{table} is not an external table; its files are not this job's to replace")
-    else:
-        keys = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
-        if not keys:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
-        else:
-            there = {r[0] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-            new = spark.read.format(fmt).options(**(options or {})).load(path).select(*keys).distinct().collect()
-            spec = lambda vals: ", ".join(f"`{k}`={_quoted(v)}" for k, v in vals.items())
-            for r in new:
-                vals = {k: str(r[k]) for k in keys}
-                name = "/".join(f"{k}={v}" for k, v in vals.items())
-                where = f"{path.rstrip('/')}/{name}"
-                if name in there:
-                    there.discard(name)
-                    spark.sql(f"ALTER TABLE {table} PARTITION ({spec(vals)}) SET LOCATION {_quoted(where)}")
-                else:
-                    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec(vals)}) LOCATION {_quoted(where)}")
-            for name in there:
-                vals = dict(x.split("=", 1) for x in name.split("/"))
-                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec(vals)})")
-            spark.catalog.refreshTable(table)
-            return
-    if any(c.isPartition for c in spark.catalog.listColumns(table)):
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    state = spark._jsparkSession.sessionState()
+    known = state.catalog().getTableMetadata(state.sqlParser().parseTableIdentifier(table))
+    if known.tracksPartitionsInCatalog() and known.partitionColumnNames().nonEmpty():
+        raise ValueError(f"{table} registers its partitions one by one and can't be switched at once; "
+                         "drop it (its files stay) and publish again")
+    own = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    if keys and keys != own:
+        raise ValueError(f"{path} is partitioned by {keys}, {table} by {own}")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {_quoted(path)}")
     spark.catalog.refreshTable(table)
 
 
