@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.jsonmaps import json_string
 from ..functions.stopwords import ENGLISH_STOP_WORDS
 from ..session import scratch_path
+from .wordvec import document_vectors
 
 # A token is a run of letters, marks and digits of any script, lower-cased.
 # Han characters are written without blanks; each is a token of its own.
@@ -136,25 +137,12 @@ def count_tfidf(docs: DataFrame, vocab_size: int = 5, stop_words=ENGLISH_STOP_WO
     return out.select("doc_id", F.transform(vector_to_array("features"), lambda x: F.round(x, 6)).alias("features"))
 
 
-def word2vec_vectors(docs: DataFrame, vocab_size: int, vector_size: int = 3, seed: int = 42,
-                     partitions: int = 8) -> DataFrame:
-    """M6: Word2Vec document vectors (mean of word vectors) over the
-    ``vocab_size`` most frequent words. MLlib gathers the vocabulary and its
-    vectors on the driver, so the caller states their number; other words are
-    left out, as ``minCount`` does. Training runs on ``partitions`` partitions,
-    a parameter of the model and not of the cluster."""
-    from pyspark.ml.feature import Word2Vec
-    from pyspark.ml.functions import vector_to_array
+def word2vec_vectors(docs: DataFrame, vector_size: int = 3, window: int = 5) -> DataFrame:
+    """M6: document vectors, the mean of the vectors of all their words. Every
+    distinct token has a vector; see ``wordvec`` for how they are learned."""
+    docs = docs.select("doc_id", "text")
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    if docs.rdd.getNumPartitions() < cores:  # a table of few files, which all steps would read in as few tasks
+        docs = docs.repartition(cores)
     tok = _table(docs.select("doc_id", token_array(F.col("text")).alias("words")), "tokens")
-    counts = tok.select(F.explode("words").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
-    vocab = [r.term for r in counts.orderBy(F.desc("n"), F.asc("term")).limit(vocab_size).collect()]
-    known = F.broadcast(docs.sparkSession.createDataFrame([(t,) for t in vocab], "term string"))  # vocab_size rows
-    kept = (tok.select("doc_id", F.posexplode("words").alias("pos", "term")).join(known, "term")
-            .groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("pos", "term"))).alias("w"))
-            .select("doc_id", F.col("w.term").alias("kept")))
-    d = _table(tok.select("doc_id").join(kept, "doc_id", "left")
-               .select("doc_id", F.coalesce("kept", F.array().cast("array<string>")).alias("words")), "words")
-    w2v = Word2Vec(vectorSize=vector_size, minCount=0, seed=seed, numPartitions=partitions,
-                   inputCol="words", outputCol="vector")
-    out = w2v.fit(d).transform(d)
-    return out.select("doc_id", vector_to_array("vector").alias("vector"))
+    return document_vectors(tok, vector_size, window)

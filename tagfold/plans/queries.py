@@ -33,8 +33,6 @@ AS_OF = fx.AS_OF_MS
 # fixture (with the 0.01 default no weight >= 1 ever falls below it).
 PRUNE_MIN_WEIGHT = 0.1
 PRUNE_FRACTION = 0.01
-# Words that Word2Vec learns vectors for (MLlib holds them on the driver).
-W2V_VOCABULARY = 2000
 
 
 def prepare_session(spark: SparkSession) -> None:
@@ -350,7 +348,7 @@ def q_count_tfidf(spark, sf_dir):
 
 
 def q_word2vec_vectors(spark, sf_dir):
-    return tx.word2vec_vectors(_documents(spark, sf_dir), W2V_VOCABULARY)
+    return tx.word2vec_vectors(_documents(spark, sf_dir))
 
 
 # ------------------------------------------------------------ sources and sinks
