@@ -18,6 +18,8 @@ ordering so that engines summing in different orders agree.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,7 @@ from ..functions.decay import (BASE_COEFFICIENT, MIN_KEYWORDS_COUNT, MIN_WEIGHT,
 from ..functions.tags import (ARTICLE_ACTIONS, AUTHOR_STOP_NAMES, action_weight, author_names,
                               clean_user, interest_keywords, interest_modules, java_split,
                               subject_codes, subsubject_codes)
+from ..sinks.writers import write_bucketed
 from ..schemas import (DIM_RECENT_AUTHOR, DIM_RECENT_INTEREST, DIM_SEARCH, DIM_SUBJECT,
                        DIM_SUBSUBJECT, DIM_TOTAL_AUTHOR, DIM_TOTAL_INTEREST, DIMS, GUEST_COLUMNS,
                        NESTED_DIMS, PORTRAIT_COLUMNS, TAG_COLUMNS)
@@ -207,6 +210,63 @@ def portrait_update(old_tags: DataFrame, log: DataFrame, as_of_ms: int,
     return merge_portraits(decayed, log_tag_rows(log, DIMS, stop_names))
 
 
+def decay_in_place(tags: DataFrame, as_of_ms: int, min_weight: float = MIN_WEIGHT,
+                   min_keywords: int = MIN_KEYWORDS_COUNT) -> DataFrame:
+    """P2/P3 in one pass over a portrait whose rows of a user lie together: the
+    rows of ``decay_portrait``, with windows over users where that one joins
+    aggregates. Windows need rows by user only, so a portrait bucketed by user
+    is not shuffled."""
+    recent, author = F.col("dim") == DIM_RECENT_INTEREST, F.col("dim") == DIM_RECENT_AUTHOR
+    w2 = floor_and_round(F.col("weight") * decay_factor(
+        whole_days(as_of_ms, F.col("last_ms")), PERIOD_DAYS, min_weight))
+    low = recent & (F.col("w2") < F.lit(min_weight))
+    module, dim = Window.partitionBy("user", "dim", "module"), Window.partitionBy("user", "dim")
+    last = Window.partitionBy("user", "dim", "low").orderBy(F.asc("mw"), F.desc("module"), F.asc("weight"), F.desc("tag"))
+    t = (tags.select(*TAG_COLUMNS).withColumn("w2", w2).withColumn("low", low)
+         .withColumn("mw", F.round(F.sum("weight").over(module), 4)).withColumn("h", F.count_if(~F.col("low")).over(dim))
+         .withColumn("rn", F.row_number().over(last)))
+    kept = t.where(~F.col("low") | (F.col("rn") <= F.lit(min_keywords + 1) - F.col("h")))
+    return kept.select(*KEYS, F.when(recent | author, F.col("w2")).otherwise(F.col("weight")).alias("weight"),
+                       F.when(author, F.lit(int(as_of_ms)).cast("long")).otherwise(F.col("last_ms")).alias("last_ms"))
+
+
+@contextmanager
+def bucket_joins(spark):
+    """Plans made inside may join on (user, ...) where both sides are dealt by
+    user alone; otherwise Spark deals both anew by all the keys."""
+    key = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def fold_portrait(stored: DataFrame, log: DataFrame, as_of_ms: int, buckets: int, stop_names=AUTHOR_STOP_NAMES,
+                  min_weight: float = MIN_WEIGHT, min_keywords: int = MIN_KEYWORDS_COUNT) -> DataFrame:
+    """P8 without moving the stored portrait: ``stored`` is a table bucketed by
+    user into ``buckets``. Only the day's log is aggregated and dealt into the
+    same buckets; decay and merge (a full outer join of the two portraits) run
+    bucket by bucket. To be planned inside ``bucket_joins``."""
+    day = log_portrait(log, DIMS, stop_names).repartition(buckets, "user")
+    day = day.select(*[F.col(c).alias(f"_{c}") for c in TAG_COLUMNS])
+    old = decay_in_place(stored, as_of_ms, min_weight, min_keywords)
+    j = old.join(day, [F.col(k) == F.col(f"_{k}") for k in KEYS], "full_outer")
+    zero = F.lit(0.0)
+    return j.select(*[F.coalesce(k, f"_{k}").alias(k) for k in KEYS],
+                    F.round(F.coalesce("weight", zero) + F.coalesce("_weight", zero), 4).alias("weight"),
+                    F.greatest("last_ms", "_last_ms").alias("last_ms"))
+
+
+def fold_and_store(stored: DataFrame, log: DataFrame, as_of_ms: int, table: str, path: str, buckets: int, **rules) -> DataFrame:
+    """The daily job: fold ``log`` into the bucketed portrait ``stored`` and
+    write the next one, in the same buckets, as ``table`` at ``path``. A task
+    reads a bucket and writes it; only the log is shuffled."""
+    with bucket_joins(stored.sparkSession):
+        return write_bucketed(fold_portrait(stored, log, as_of_ms, buckets, **rules), table, path, "user", buckets, KEYS, dealt=True)
+
+
 # ---------------------------------------------------------------- packing
 
 def _packed(tags: DataFrame) -> DataFrame:

@@ -46,14 +46,15 @@ def term_frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_docs: int | None = None) -> DataFrame:
     """(doc_id, term, tf, df, score) with ``score = tf * ln((N+1)/(df+1))``.
 
-    N is one scalar (a count job); the document frequencies come from the
+    N is one scalar (a count job, or given where a document is several rows,
+    whose terms add up); the document frequencies come from the
     (doc, term) aggregate, so a document counts once per term. Both sides of
     the join are written tables: tokenising runs once, and each side is a plain
     exchange, which AQE splits where a term is in very many documents."""
-    n_docs = docs.count()
+    n_docs = docs.count() if n_docs is None else n_docs
     tf = _table(term_frequencies(docs, id_col, text_col), "tf")
     df = _table(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "df")
     idf = F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))
@@ -73,6 +74,14 @@ def tfidf_keywords(docs: DataFrame, k: int = 25) -> DataFrame:
                       F.round("score", 6).alias("score"))
 
 
+def line_keywords(lines: DataFrame, n_docs: int, k: int = 25) -> DataFrame:
+    """M3 over documents given as rows of lines (doc_id, text), as
+    ``readers.read_file_lines`` reads files of any size: term counts are summed
+    per task and then per document, so no document is ever one string."""
+    top = top_keywords(tfidf(lines, n_docs=n_docs), k)
+    return top.select("doc_id", F.col("rank").cast("int").alias("rank"), "term", F.round("score", 6).alias("score"))
+
+
 def catalog_keywords(items: DataFrame, id_col: str = "doc_id", class_col: str = "source",
                      text_col: str = "text", k: int = 10) -> DataFrame:
     """Per catalogue item the JSON score map ``{class: {keyword:

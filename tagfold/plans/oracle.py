@@ -703,6 +703,19 @@ r AS (
   WHERE s > 0 AND seen.usr IS NULL AND bought.usr IS NULL)
 SELECT u AS "user", rank, i AS item, s AS score FROM r WHERE rank <= 10"""
 
+ORACLE_SQL["portrait_fold"] = ORACLE_SQL["portrait_update"]
+
+ORACLE_SQL["file_keywords"] = """WITH files AS (
+  SELECT coalesce(source, 'none') AS doc_id, string_agg(coalesce(text, ''), chr(10)) AS text FROM documents GROUP BY 1), """ + TFIDF.replace(
+    "FROM documents", "FROM files") + """
+SELECT doc_id, CAST(rank AS INTEGER) AS rank, term, round(score, 6) AS score FROM rk WHERE rank <= 25"""
+
+ORACLE_SQL["read_ratings"] = """
+WITH r AS (SELECT event_id, CAST(user_id AS INTEGER) AS user_id, TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS item_id,
+                  CAST(value AS FLOAT) AS rating FROM events)
+SELECT user_id, item_id, round(CAST(rating AS DOUBLE), 4) AS rating
+FROM r WHERE item_id IS NOT NULL AND rating IS NOT NULL AND event_id % 50 <> 0"""
+
 ORACLE_SQL["publish_partitioned"] = "WITH " + LOG + f"""
 SELECT CASE WHEN ro = 'article' THEN '01' WHEN ro = 'tushu' THEN CASE WHEN ac = 'buy' THEN 'a b:c' ELSE 'x=y' END END AS label,
        ri, count(*) AS visits

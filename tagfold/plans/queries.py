@@ -280,6 +280,32 @@ def q_portrait_update(spark, sf_dir):
     return _long(tags, dim_col=True)
 
 
+# Buckets of the stored portrait of the fold query.
+FOLD_BUCKETS = 8
+_BUCKETED: dict[tuple, str] = {}
+
+
+def bucketed_portrait(spark, sf_dir):
+    """The stored portrait as a table bucketed by user, written once."""
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _BUCKETED:
+        name = f"tagfold_portrait_{len(_BUCKETED)}"
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        wr.write_bucketed(stored_portrait(spark, sf_dir), name, scratch_path(spark, "bucketed"), "user", FOLD_BUCKETS,
+                          ["user", "dim", "module", "tag"])
+        _BUCKETED[k] = name
+    return spark.table(_BUCKETED[k])
+
+
+def q_portrait_fold(spark, sf_dir):
+    """P8 over a stored portrait in buckets, which is not shuffled: the next
+    portrait is stored in buckets and read."""
+    _, new = _old_new(spark, sf_dir)
+    _published[0] += 1
+    return _long(pt.fold_and_store(bucketed_portrait(spark, sf_dir), new, AS_OF, f"tagfold_folded_{_published[0]}",
+                                   scratch_path(spark, "folded"), FOLD_BUCKETS, stop_names=STOP), dim_col=True)
+
+
 def q_portrait_wide(spark, sf_dir):
     users, tags = _updated(spark, sf_dir)
     return pt.portrait_wide(users, tags, fx.AS_OF_TEXT)
@@ -448,10 +474,36 @@ def q_customer_cells(spark, sf_dir):
 RANGE_LO, RANGE_HI = "4", "8"
 
 
+_CELLS: dict[tuple, str] = {}
+
+
 def q_cell_range_scan(spark, sf_dir):
-    """Range scan of the stored cell table (written once, sorted)."""
-    cells = materialized(spark, f"cells:{sf_dir}", lambda: wr.log_to_cells(formatted_log(spark, sf_dir)))
-    return rd.cell_range_scan(cells, RANGE_LO, RANGE_HI, wr.CELL_QUALIFIERS)
+    """Range scan of the stored cell table (written once, sorted, with its
+    key index); only the files of the range are read."""
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _CELLS:
+        _CELLS[k] = wr.write_cells(wr.log_to_cells(formatted_log(spark, sf_dir)), scratch_path(spark, "cells"))
+    return rd.read_cell_range(spark, _CELLS[k], RANGE_LO, RANGE_HI, wr.CELL_QUALIFIERS)
+
+
+def q_file_keywords(spark, sf_dir):
+    """A document per source, its texts in as many text files as were
+    written, read in splits; the 25 best keywords of each."""
+    d = load(spark, sf_dir, "documents").select(F.coalesce("source", F.lit("none")).alias("source"),
+                                                F.coalesce("text", F.lit("")).alias("value"))
+    path = scratch_path(spark, "files")
+    d.write.partitionBy("source").text(path)
+    lines = rd.read_file_lines(spark, path)
+    lines = lines.select(F.regexp_extract("file_path", "source=([^/]+)/", 1).alias("doc_id"), F.col("value").alias("text"))
+    return tx.line_keywords(lines, spark.read.text(path).select("source").distinct().count(), 25)
+
+
+def q_read_ratings(spark, sf_dir):
+    """Ratings as CSV, some lines of which do not parse, read back."""
+    r = _ratings(spark, sf_dir)
+    bad = F.when(F.col("event_id") % 50 == 0, F.lit("x")).otherwise(F.col("user_id").cast("string"))
+    path = wr.write_delimited(r.select(bad.alias("u"), "item_id", "rating"), scratch_path(spark, "ratings"), ",")
+    return rd.read_ratings(spark, path).select("user_id", "item_id", F.round(F.col("rating").cast("double"), 4).alias("rating"))
 
 
 # Fixed value: the key glob of the key-value scan.
@@ -629,6 +681,7 @@ QUERIES = {
     "new_users": q_new_users,
     "new_guests": q_new_guests,
     "portrait_update": q_portrait_update,
+    "portrait_fold": q_portrait_fold,
     "portrait_wide": q_portrait_wide,
     "serving_portrait": q_serving_portrait,
     "guest_portrait": q_guest_portrait,
@@ -652,6 +705,8 @@ QUERIES = {
     "customer_cells": q_customer_cells,
     "cell_range_scan": q_cell_range_scan,
     "key_pattern_scan": q_key_pattern_scan,
+    "file_keywords": q_file_keywords,
+    "read_ratings": q_read_ratings,
     "publish_location": q_publish_location,
     "publish_partitioned": q_publish_partitioned,
     "ua_daily_export": q_ua_daily_export,

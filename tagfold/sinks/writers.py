@@ -24,6 +24,19 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return path
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, by: str, buckets: int, order: list[str],
+                   dealt: bool = False) -> DataFrame:
+    """A table at ``path`` bucketed by ``by`` and sorted within the buckets, one
+    file each, registered as ``table`` (its name is the only place where Spark
+    keeps the bucketing), and a scan of it. ``dealt`` rows lie in their buckets
+    already and are written as they lie."""
+    spark = df.sparkSession
+    df = df if dealt else df.repartition(buckets, by)
+    (df.write.format("parquet").bucketBy(buckets, by).sortBy(*order)
+       .option("path", path).mode("errorifexists").saveAsTable(table))
+    return spark.table(table)
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = "&") -> str:
     """K2: delimited text; fields holding the separator or quotes are quoted
     and escaped by the CSV writer, so the reader restores them exactly."""
@@ -141,3 +154,19 @@ def log_to_cells(log: DataFrame, qualifiers: list[str] = CELL_QUALIFIERS) -> Dat
     """K9: cells of a log under family ``cf1``, keyed by the deterministic
     row key."""
     return rows_to_cells(log, row_key(log), qualifiers, CELL_FAMILY)
+
+
+def index_path(path: str) -> str:
+    return path.rstrip("/") + "_index"
+
+
+def write_cells(cells: DataFrame, path: str) -> str:
+    """Write sorted cells with a key index next to them: least and greatest row
+    key of every file. The cells are range-partitioned, so a file holds a short
+    range of keys and a range scan needs the files of its range only."""
+    cells.write.parquet(path)
+    back = cells.sparkSession.read.schema(cells.schema).parquet(path)
+    (back.groupBy(F.col("_metadata.file_name").alias("file"))
+     .agg(F.min("row_key").alias("least"), F.max("row_key").alias("greatest"), F.count(F.lit(1)).alias("cells"))
+     .coalesce(1).write.parquet(index_path(path)))  # one row per file
+    return path

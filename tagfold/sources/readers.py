@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.tags import java_split
 from ..schemas import GUEST_COLUMNS, GUEST_SCHEMA, LOG_FIELDS, LOG_SCHEMA, PORTRAIT_COLUMNS, PORTRAIT_SCHEMA
+from ..sinks.writers import index_path
 
 # A raw log line is "<anything><digit>] <json>".
 LOG_LINE_SPLIT = r"\d\] "
@@ -124,6 +125,30 @@ def cell_range_scan(cells: DataFrame, lo: str, hi: str, qualifiers: list[str]) -
         F.max(F.when(F.col("qualifier") == q, F.col("value"))).alias(q) for q in qualifiers])
 
 
+def cell_files(spark: SparkSession, path: str, lo: str, hi: str) -> list[str]:
+    """Files of a cell table whose keys overlap ``lo <= row_key < hi``, from the
+    key index; only their names reach the driver."""
+    index = spark.read.parquet(index_path(path))
+    found = index.where((F.col("greatest") >= F.lit(lo)) & (F.col("least") < F.lit(hi))).select("file").orderBy("least")
+    return [f"{path.rstrip('/')}/{r.file}" for r in found.collect()]
+
+
+def read_cell_range(spark: SparkSession, path: str, lo: str, hi: str, qualifiers: list[str]) -> DataFrame:
+    """S20 over a stored cell table: files outside the range are not opened."""
+    files = cell_files(spark, path, lo, hi)
+    schema = "row_key string, family string, qualifier string, value string"
+    cells = spark.read.schema(schema).parquet(*files) if files else spark.createDataFrame([], schema)
+    return cell_range_scan(cells, lo, hi, qualifiers)
+
+
+def read_file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """S18 for files of any size: one row per line, (file_path, block_start,
+    value). A file is read in splits by many tasks and is never one string;
+    ``block_start`` is the offset of the split that a line is read in."""
+    return spark.read.text(path).select(F.col("_metadata.file_path").alias("file_path"),
+                                        F.col("_metadata.file_block_start").alias("block_start"), "value")
+
+
 def read_related_authors(spark: SparkSession, path: str, sep: str = "&") -> DataFrame:
     """(UserName, TotalRelatedAuthor, RecentRelatedAuthor) text; JSON
     columns default to '{}' (the reference's extra stripped character is not
