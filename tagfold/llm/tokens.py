@@ -25,9 +25,7 @@ class WordIds:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True  # their strings are ordinary text here
         self.plain = Tokenizer.from_file(path)  # for lower-case words of Latin-1 letters or marks
-        self.plain.encode_special_tokens = True
         self.plain.normalizer = normalizers.Sequence([])
         self.plain.pre_tokenizer = pre_tokenizers.Sequence([
             pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])

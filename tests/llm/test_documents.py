@@ -77,7 +77,6 @@ def test_shard_map_is_edited_not_rebuilt():
 def test_packing(docs):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(packing.tokenizer_path())
-    t.encode_special_tokens = True
     got, pairs = rows(packing.pack_documents(docs)), pairs_of(docs)
     want = collections.defaultdict(collections.Counter)
     for d, text in pairs:

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from tagfold.llm import merkle, spelling, warc
+from tagfold.llm import merkle, shards, spelling, warc
 from tagfold.session import scratch_path
 
 
@@ -302,3 +302,58 @@ def test_postorder_positions(n):
     seen = {merkle.postorder(k, i, n, top) for k in range(top + 1) for i in range(-(-n // 16 ** k))}
     assert seen == set(range(len(log)))
     assert all(log[merkle.postorder(0, i, n, top)] == str(i) for i in range(n))
+
+
+# ---------------------------------------------------------------- shards, token ids
+
+def _loads(got):
+    load = collections.Counter({s: 0 for s in range(16)})
+    for r in got:
+        load[r["shard"]] += r["size"]
+    return load
+
+
+def test_bytes_law_holds_where_rows_repeat(llm):
+    """A third under one id, another sixth one and the same row, null ids."""
+    rng = random.Random(6)
+    data = [(7, "x" * rng.randrange(2000)) for _ in range(2000)] + [(8, "same row " * 90)] * 1000 + [
+        (None, "y" * rng.randrange(2000)) for _ in range(500)] + [(i + 10, "z" * rng.randrange(2000)) for i in range(2500)]
+    df = llm.createDataFrame(data, "doc_id long, text string").repartition(7)
+    got = rows(shards.shard_documents(df))
+    load, places = _loads(got), collections.defaultdict(list)
+    assert max(load.values()) - min(load.values()) <= 2000
+    for r in got:
+        places[r["shard"]].append(r["slot"])
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert collections.Counter((r["doc_id"], r["size"]) for r in got) == collections.Counter((d, len(t) + 1) for d, t in data)
+
+
+def test_the_stored_map_is_edited(llm):
+    """A run on grown data reads the map, moves few slots and writes the next
+    version; a run on the same data writes none."""
+    path = scratch_path(llm, "t_map")
+    df = llm.range(3000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("t"), (F.col("id") % 90).cast("int")).alias("text"))
+    first = {r.doc_id: r.shard for r in shards.sharded(df, map_path=path).collect()}
+    assert shards.latest_map(llm, path)[0] == 1
+    again = {r.doc_id: r.shard for r in shards.sharded(df, map_path=path).collect()}
+    assert again == first and shards.latest_map(llm, path)[0] == 1
+    grown = df.unionByName(llm.range(3000, 4000).select(F.col("id").alias("doc_id"), F.lit("more" * 9).alias("text")))
+    got = rows(shards.sharded(grown, map_path=path))
+    moved = sum(first[r["doc_id"]] != r["shard"] for r in got if r["doc_id"] < 3000)
+    load = _loads(got)
+    assert moved < 300 and max(load.values()) - min(load.values()) < 0.05 * max(load.values())
+    more = rows(shards.sharded(grown, n_shards=17, map_path=path))
+    assert {r["shard"] for r in more} == set(range(17)) and {r["map_version"] for r in more} == {shards.latest_map(llm, path)[0]}
+
+
+def test_ids_of_special_strings_are_the_tokenizers():
+    import numpy as np
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+    from tagfold.llm import packing, tokens
+    texts = ["a<|endoftext|>b", "<|startoftext|>", "x <|endoftext|> <|endoftext|>. Y", "<|endoftext|", "(<|startoftext|>)Caf\u00e9<|endoftext|>", "<|EndOfText|>"]
+    plain = Tokenizer.from_file(packing.tokenizer_path())
+    got, ends = tokens.WordIds(packing.tokenizer_path()).ids(pa.array(texts))
+    for i, t in enumerate(texts):
+        assert got[ends[i]:ends[i + 1]].tolist() == plain.encode(t, add_special_tokens=False).ids, t
+    assert np.any(got == 49407)
