@@ -3,14 +3,18 @@
 Every document is measured against a few rules. Per host and rule the share of
 failing documents is shrunk towards the corpus by a beta prior whose two
 parameters are fitted to the hosts' shares by their moments (empirical Bayes).
-A host is strict when the shrunk share of one of its rules is above a half;
-a strict host's documents must pass every rule, other documents only the base
-rules.
+The shrunk share is the mean of the host's beta posterior. A host is strict in a
+rule when the corpus' mean share lies far in the lower tail of that posterior
+(``TAIL`` deviations below its mean) and the shrunk share is at least the rule's
+bar times the corpus' mean: the host is surely worse, and by much, however rare
+the failure is. Documents of a host that is strict in a rule must pass that
+rule; all documents must pass the base rules.
 
 Edge cases: a null or empty text has no words, so it fails the base rules; a
 null host is a host of its own; repeated rows count and are returned as often
 as they occur; an empty table gives an empty result; extra columns are left
-aside by name before anything else is computed.
+aside by name before anything else is computed; a very long text is measured
+whole; hosts of equal shares are judged alike.
 """
 
 from __future__ import annotations
@@ -27,10 +31,12 @@ BLANK = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 10
 MAX_REPEAT_PCT = 20
-STRICT_SHARE = 0.5
+TAIL = 3.0
+# shrunk share of a strict host, as a multiple of the corpus' mean share
+BARS = {"base": 1.5, "symbols": 1.5, "dup_lines": 1.5, "word_length": 1.5}
 
 BASE_FAILED = f"(n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PCT} * n_words)"
-# rule -> a document fails it (soft rules count for hosts only)
+# rule -> a document fails it (soft rules decide at strict hosts only)
 RULES = {
     "base": BASE_FAILED,
     "symbols": "(10 * n_symbols > n_words)",
@@ -80,7 +86,8 @@ def measured(docs: DataFrame, keys: list[str]) -> DataFrame:
 
 def host_verdicts(measures: DataFrame, host: str = "source") -> DataFrame:
     """One row per host: its documents, the shrunk failure share of each rule,
-    and whether it is strict. ``measures`` is read twice, so write it first."""
+    the rules it is strict in and whether there are any. ``measures`` is read
+    twice, so write it first."""
     fails = [F.sum(F.expr(rule).cast("long")).alias(f"k_{r}") for r, rule in RULES.items()]
     hosts = measures.groupBy(host).agg(F.count(F.lit(1)).alias("n"), *fails)
     # moments over the hosts: one row
@@ -92,9 +99,12 @@ def host_verdicts(measures: DataFrame, host: str = "source") -> DataFrame:
         # weight of the prior in documents; without spread between hosts, or
         # with a single host, the prior weighs as much as one document
         weight = F.when(v > 0, F.greatest(F.lit(1.0), F.least(F.lit(1e6), m * (1 - m) / v - 1))).otherwise(F.lit(1.0))
-        out = out.withColumn(f"share_{r}", (F.col(f"k_{r}") + m * weight) / (F.col("n") + weight))
-    strict = F.greatest(*[F.col(f"share_{r}") for r in RULES]) > STRICT_SHARE
-    return out.select(host, "n", *[f"share_{r}" for r in RULES], strict.alias("strict_host"))
+        share = (F.col(f"k_{r}") + m * weight) / (F.col("n") + weight)
+        spread = F.sqrt(share * (1 - share) / (F.col("n") + weight + 1))
+        out = out.withColumn(f"share_{r}", share).withColumn(
+            f"strict_{r}", (share - m > TAIL * spread) & (share >= BARS[r] * m))
+    strict = [F.col(f"strict_{r}") for r in RULES]
+    return out.select(host, "n", *[f"share_{r}" for r in RULES], *strict, F.greatest(*strict).alias("strict_host"))
 
 
 def judged(docs: DataFrame, keys: list[str], host: str = "source") -> DataFrame:
@@ -102,11 +112,13 @@ def judged(docs: DataFrame, keys: list[str], host: str = "source") -> DataFrame:
     ``failed`` (any rule), ``strict_host`` and ``kept``."""
     cols = list(dict.fromkeys([*keys, host]))
     m = written(measured(docs, cols), "op8_measures")
-    verdict = written(host_verdicts(m, host), "op8_hosts").select(F.col(host).alias("_host"), "strict_host")
+    verdict = written(host_verdicts(m, host), "op8_hosts").select(
+        F.col(host).alias("_host"), "strict_host", *[f"strict_{r}" for r in RULES])
     j = m.join(small(verdict), F.col(host).eqNullSafe(F.col("_host")), "left").drop("_host")
     base, failed = F.expr(BASE_FAILED), F.expr(" OR ".join(RULES.values()))
+    fallen = F.greatest(*[F.coalesce(F.col(f"strict_{r}"), F.lit(False)) & F.expr(rule) for r, rule in RULES.items()])
     return j.select(*cols, *MEASURES, base.alias("base_failed"), failed.alias("failed"), "strict_host",
-                    (~base & ~(F.coalesce("strict_host", F.lit(False)) & failed)).alias("kept"))
+                    (~base & ~fallen).alias("kept"))
 
 
 def quality_rules(docs: DataFrame) -> DataFrame:
@@ -139,11 +151,15 @@ h AS (
   SELECT source, rule, count(*) AS n, count(*) FILTER (WHERE failed) AS k
   FROM (SELECT source, unnest([1, 2, 3, 4]) AS rule, unnest([r1, r2, r3, r4]) AS failed FROM f) GROUP BY source, rule),
 mo AS (SELECT rule, avg(k / n) AS mean, var_samp(k / n) AS var FROM h GROUP BY rule),
-s AS (
-  SELECT source, max((k + mean * w) / (n + w)) > 0.5 AS strict FROM (
+b AS (
+  SELECT source, rule, n, mean, w, (k + mean * w) / (n + w) AS share FROM (
     SELECT h.*, mean, CASE WHEN var > 0 THEN greatest(1.0, least(1e6, mean * (1 - mean) / var - 1)) ELSE 1.0 END AS w
-    FROM h JOIN mo ON h.rule = mo.rule) GROUP BY source)
+    FROM h JOIN mo ON h.rule = mo.rule)),
+s AS (
+  SELECT source, bool_or(strict AND rule = 2) AS s2, bool_or(strict AND rule = 3) AS s3, bool_or(strict AND rule = 4) AS s4
+  FROM (SELECT source, rule, share - mean > 3 * sqrt(share * (1 - share) / (n + w + 1)) AND share >= 1.5 * mean AS strict FROM b)
+  GROUP BY source)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, r1 AS base_failed,
-       NOT r1 AND NOT (strict AND (r1 OR r2 OR r3 OR r4)) AS kept
+       NOT (r1 OR s2 AND r2 OR s3 AND r3 OR s4 AND r4) AS kept
 FROM f JOIN s ON f.source IS NOT DISTINCT FROM s.source
 """

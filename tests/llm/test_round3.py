@@ -357,3 +357,24 @@ def test_ids_of_special_strings_are_the_tokenizers():
     for i, t in enumerate(texts):
         assert got[ends[i]:ends[i + 1]].tolist() == plain.encode(t, add_special_tokens=False).ids, t
     assert np.any(got == 49407)
+
+
+# ---------------------------------------------------------------- host rules
+
+def test_hosts_are_judged_against_the_corpus(llm):
+    """One of thirty hosts fails the symbol rule in a fifth of its documents
+    where others do in a fiftieth: it alone is strict, in that rule alone."""
+    from tagfold.llm import hostrules
+    words = [f"word{i}" for i in range(40)]
+    clean, symbols, lines = " ".join(words), " ".join(f"w#{i}" for i in range(40)), "one line of words\n" * 3 + " ".join(words)
+    data = []
+    for h in range(30):
+        for i in range(200):
+            bad = i < (40 if h == 7 else 4)
+            data.append((h * 1000 + i, symbols if bad else lines if i == 199 else clean, f"h{h}"))
+    data += [(50_000 + i, symbols, "tiny") for i in range(2)]  # too few documents to tell
+    df = llm.createDataFrame(data, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in hostrules.judged(df, ["doc_id"]).collect()}
+    changed = {d for d, r in got.items() if r.kept == r.base_failed}
+    assert changed == {7000 + i for i in range(40)}
+    assert {r.source for r in got.values() if r.strict_host} == {"h7"}
