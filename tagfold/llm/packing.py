@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from .common import written
-from .tokens import WordIds
+from .tokens import word_ids
 
 WINDOW = 4096
 GRAIN = 8
@@ -41,7 +41,7 @@ def pieces(docs: DataFrame, tokenizer: str, window: int = WINDOW, grain: int = G
     """One row per piece; ``place`` counts the pieces of a bin within one task
     (``part``). Write the result before using it twice."""
     def run(batches):
-        words, seen = WordIds(tokenizer), {}
+        words, seen = word_ids(tokenizer), {}
         part = TaskContext.get().partitionId()
         for batch in batches:
             ids, bounds = words.ids(batch.column(1))

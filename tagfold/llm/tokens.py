@@ -13,8 +13,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Words a worker remembers; when full, the memory starts anew.
-CACHE_WORDS = 600_000
+# Words, and chunks as they are written, that a worker remembers; when full, a
+# memory starts anew.
+CACHE_WORDS = 400_000
+CACHE_CHUNKS = 400_000
 ASCII_MARKS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 
 
@@ -33,6 +35,7 @@ class WordIds:
         self.ends_word = np.zeros(max(vocab.values()) + 1, dtype=bool)
         self.ends_word[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {"": b""}
+        self.seen: dict[str, bytes] = {}
 
     def _learn(self, words: list[str]) -> None:
         if not words:
@@ -45,6 +48,15 @@ class WordIds:
             start = end
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
+        if len(self.seen) > CACHE_CHUNKS:
+            self.seen = {}
+        out = list(map(self.seen.get, chunks))
+        new = [i for i, r in enumerate(out) if r is None]
+        for i, r in zip(new, self._new_chunks([chunks[i] for i in new])):
+            out[i] = self.seen[chunks[i]] = r
+        return out
+
+    def _new_chunks(self, chunks: list[str]) -> list[bytes]:
         if len(self.words) > CACHE_WORDS:
             self.words = {"": b""}
         known, split, new, odd = self.words, [], {}, {}
@@ -80,3 +92,13 @@ class WordIds:
         at = np.arange(int(done[-1]), dtype=np.int64) + np.repeat(start[which] - done[:-1], n)
         bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         return pool[at], done[bounds]
+
+
+_LOADED: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The tokenizer of this worker, with what it remembers from earlier tasks."""
+    if path not in _LOADED:
+        _LOADED[path] = WordIds(path)
+    return _LOADED[path]
