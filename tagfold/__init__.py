@@ -7,7 +7,6 @@ Sub-packages:
              text features, similarity, recommendation)
   sinks      writers (parquet/CSV publication, table location switch, cells)
   plans      fixtures over the test tables and the registered queries
-  streaming  empty: the reference has no streaming job
 """
 
 __version__ = "0.1.0"
