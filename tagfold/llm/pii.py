@@ -7,12 +7,15 @@ to each other form a chain, and a chain is cut into segments of one to
 a whole segment (digits, group lengths, separators, checksum, neighbours), and
 dynamic programming over the chain picks boundaries and kinds together. The
 weights are fitted by maximum likelihood on the base spans of a bounded sample
-of documents (``TRAIN_DOCS``); the sign that the phone rule insists on is
+of documents (``TRAIN_DOCS``, ``TRAIN_CHARS``), from their chains of at most
+``TRAIN_ATOMS`` atoms (found spans have no such bound); the sign that the phone rule insists on is
 hidden from half of the training segments, so that numbers are recognised by
 their shape as well.
 
 Edge cases: a null text is empty; a null id is kept; repeated rows each get
-their own, equal result; ties in start are ordered by kind; without a training
+their own, equal result; ties in start are ordered by kind; a very long text is
+searched whole, in time that grows with the square of the number of its
+spelled-out addresses and in proportion to all else; without a training
 document nothing is added; an empty table gives an empty result; extra columns
 are left aside.
 """
@@ -34,6 +37,8 @@ NONE = len(KINDS)
 TRAIN_DOCS = 2000
 # and of at most so many characters, so that the sample fits the driver
 TRAIN_CHARS = 20_000
+# chains that the weights are fitted on have at most so many atoms
+TRAIN_ATOMS = 64
 MAX_ATOMS = 8
 EPOCHS = 6
 # an added span needs this posterior odds over leaving its atoms unmarked
@@ -207,7 +212,7 @@ def train(texts: list[str], epochs: int = EPOCHS, seed: int = 7) -> dict[str, fl
         for s, k, e in base_spans(text):
             gold.setdefault(e, []).append((s, k))
         for chain in chains(text):
-            if len(chain) > 64 or not any(allowed(text, chain, i, j) for i in range(len(chain))
+            if len(chain) > TRAIN_ATOMS or not any(allowed(text, chain, i, j) for i in range(len(chain))
                                           for j in range(i, min(len(chain), i + MAX_ATOMS))):
                 continue
             hide = bool(rng.random() < 0.5)
