@@ -10,15 +10,17 @@ import zipfile
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 from ..session import scratch_path
 from ..sources.tables import table_path
 
 # Rows of a text table that one Arrow batch may carry to a Python worker.
 ARROW_ROWS = 1024
-# A side of a join is broadcast only when it is at most so many rows (of a few
-# dozen bytes each); beyond that the join shuffles.
+# A side of a join is broadcast only when it is at most so many rows, with so
+# many bytes of texts and lists in all; beyond that the join shuffles.
 BROADCAST_ROWS = 400_000
+BROADCAST_BYTES = 32 << 20
 
 MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -59,9 +61,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def small(df: DataFrame) -> DataFrame:
     """Hint a broadcast of an already written table if its counted rows are at
-    most ``BROADCAST_ROWS``; beyond that leave the join to shuffle (AQE splits
+    most ``BROADCAST_ROWS`` and their texts and lists, where it has any, at most
+    ``BROADCAST_BYTES``; beyond that leave the join to shuffle (AQE splits
     skewed keys there, as both sides are plain exchanges)."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    wide = [F.coalesce(F.octet_length(F.to_json(F.struct(f.name)) if isinstance(f.dataType, (ArrayType, StructType, MapType))
+                                      else F.col(f.name)).cast("long"), F.lit(0))
+            for f in df.schema if isinstance(f.dataType, (StringType, BinaryType, ArrayType, StructType, MapType))]
+    size = F.sum(sum(wide, F.lit(0))) if wide else F.lit(0)
+    rows, held = df.limit(BROADCAST_ROWS + 1).agg(F.count(F.lit(1)), size).first()
+    return F.broadcast(df) if rows <= BROADCAST_ROWS and (held or 0) <= BROADCAST_BYTES else df
 
 
 # ---------------------------------------------------------------- words

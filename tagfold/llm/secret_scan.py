@@ -5,9 +5,16 @@ base spans. The method adds spans: every long run of encoding characters is a
 candidate; its encoding is inferred from the characters it uses, and its
 symbols are tested for being random in that alphabet: chi-squared uniformity
 over five bins, the number of runs about the middle of the alphabet, and
-lag-one serial correlation, combined by Fisher's method. Within each length
-stratum the Benjamini-Hochberg rule decides which candidates are not random;
-the others are secrets, unless they overlap a base span.
+lag-one serial correlation, combined by Fisher's method.
+
+A claim of "secret" has to reject that the token is made of words: identifiers
+fall apart at case changes and digits into words. Two tests look at these: a
+letter-trigram model of all words of the table tells how likely they are, and
+their mean length is held against that of words; the larger p-value counts, as
+a claim has to reject both. Within each length stratum
+the Benjamini-Hochberg rule over these p-values bounds the share of false
+claims. A claimed token that the battery cannot tell from random
+(``RANDOM_LEVEL``) is a secret, unless it overlaps a base span.
 
 Positions need no Python: ``split`` and ``regexp_extract_all`` on one pattern
 give the gaps and the matches in order, and a running sum of their lengths per
@@ -15,11 +22,15 @@ document gives the code-point offsets.
 
 Edge cases: a null text is empty; a null id is kept; repeated rows each get
 their own, equal result; ties in start are ordered by kind; an empty table
-gives an empty result; extra columns are left aside.
+gives an empty result; a table without words claims nothing; a long text costs
+its length, and a match of any length is one token; extra columns are left
+aside.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -36,7 +47,14 @@ PATTERNS = (
     r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+",
 )
 MIN_ASSIGNED = 12
+# share of false claims in a stratum
 FALSE_DISCOVERIES = 0.05
+# a claimed token whose battery has a smaller p-value is not random
+RANDOM_LEVEL = 0.001
+# mean and deviation of the length of an identifier's words
+PIECE_LENGTH = (4.0, 2.5)
+# p-values are counted in bins of this width in log10
+STEP = 0.02
 BINS = 5
 # encoding -> alphabet, in the order of its symbols (fixed values)
 ALPHABETS = {
@@ -64,8 +82,7 @@ def matches(docs: DataFrame) -> DataFrame:
     rows = (docs.select("doc_id", "text", F.xxhash64("text").alias("th"))
             .select("doc_id", "th", F.explode(F.concat(*[F.coalesce(entries(k), empty) for k in range(len(PATTERNS))]))
                     .alias("m")).select("doc_id", "th", "m.*"))
-    # one exchange serves the duplicates, the running sums and the grouping
-    rows = rows.repartition("doc_id", "th").dropDuplicates(["doc_id", "th", "kind", "i"])
+    rows = rows.distinct()  # repeated rows are combined before they are shuffled
     here = Window.partitionBy("doc_id", "th", "kind").orderBy("i")
     end = F.sum(F.col("gap") + F.coalesce(F.length("token"), F.lit(0))).over(
         here.rowsBetween(Window.unboundedPreceding, 0))
@@ -144,17 +161,82 @@ def tested(candidates: DataFrame) -> DataFrame:
     return c.drop("alphabet", "size", "codes", "chi", "above", "below", "runs", "mean", "var", "lag")
 
 
-def not_random(scored: DataFrame, q: float = FALSE_DISCOVERIES) -> DataFrame:
-    """(stratum, cut): in each length stratum (powers of two) the largest
-    p-value that Benjamini and Hochberg's rule rejects. P-values are counted in
-    narrow bins, so only a bounded histogram is ranked; a bin is taken at its
-    upper edge, which can only reject less."""
-    step = 0.02
-    bins = (scored.withColumn("stratum", F.floor(F.log2("n")).cast("int"))
-            .withColumn("bin", F.floor(-F.log10("p_value") / step).cast("int"))
-            .groupBy("stratum", "bin").agg(F.count(F.lit(1)).alias("k")))
+def tail(z):
+    """Upper tail of the normal distribution, by its logistic approximation."""
+    x = F.greatest(F.lit(-20.0), F.least(F.lit(20.0), z))
+    return F.greatest(F.lit(1e-30), 1 / (1 + F.exp(F.least(F.lit(300.0), 1.5976 * x + 0.070566 * x * x * x))))
+
+
+def pieces(token):
+    """A token's letters in lower case, with one blank at every case change
+    that starts a word and in place of everything else."""
+    t = F.regexp_replace(token, "([a-z])([A-Z])", "$1 $2")
+    t = F.regexp_replace(t, "([A-Z])([A-Z][a-z])", "$1 $2")
+    return F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(t), "[^a-z]+", " ")), F.lit(" "))
+
+
+def trigrams(piece):
+    return F.transform(F.sequence(F.lit(1), F.length(piece) - 2), lambda i: F.substring(piece, i, 3))
+
+
+def word_model(docs: DataFrame) -> DataFrame:
+    """(gram, n): letter trigrams of all words of the table, at most 27 ** 3
+    rows. Words are counted first, so a frequent word is cut up once."""
+    words = (docs.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Z]?[a-z]+"), F.lit(0))).alias("w"))
+             .groupBy(F.lower("w").alias("w")).agg(F.count(F.lit(1)).alias("n")))
+    return (words.select(F.explode(trigrams(F.concat(F.lit(" "), "w", F.lit(" ")))).alias("gram"), "n")
+            .groupBy("gram").agg(F.sum("n").alias("n")))
+
+
+def worded(scored: DataFrame, model: DataFrame) -> DataFrame:
+    """``scored`` with ``word_p``: the p-value of a token under "made of words",
+    the larger of that of its log-probability in the table's trigrams and that
+    of its pieces' mean length."""
+    counts = {r.gram: r.n for r in model.collect()}  # bounded by the alphabet
+    if not counts:
+        return scored.withColumn("word_p", F.lit(1.0))
+    letters = " abcdefghijklmnopqrstuvwxyz"
+    context: dict[str, int] = {}
+    for g, n in counts.items():
+        context[g[:2]] = context.get(g[:2], 0) + n
+    logs = {a + b + c: math.log((counts.get(a + b + c, 0) + 0.1) / (context.get(a + b, 0) + 2.7))
+            for a in letters for b in letters for c in letters}
+    total = sum(counts.values())
+    mean = sum(n * logs[g] for g, n in counts.items()) / total
+    # neighbouring trigrams depend on each other: twice the single variance
+    var = 2 * sum(n * (logs[g] - mean) ** 2 for g, n in counts.items()) / total
+    table = F.split(F.lit(",".join(f"{v:.6f}" for v in logs.values())), ",").cast("array<double>")
+    place = lambda g, i: F.instr(F.lit(letters), F.substring(g, i, 1)) - 1
+    value = lambda g: F.element_at(table, place(g, 1) * 729 + place(g, 2) * 27 + place(g, 3) + 1)
+    s = scored.withColumn("_piece", pieces(F.col("token")))
+    s = s.withColumn("_m", (F.length("_piece") - 2).cast("double"))
+    s = s.withColumn("_sum", F.when(F.col("_m") > 0, F.aggregate(trigrams(F.col("_piece")), F.lit(0.0),
+                                                                 lambda a, g: a + value(g))))
+    z = (F.col("_m") * mean - F.col("_sum")) / F.sqrt(F.col("_m") * max(var, 1e-9))
+    n = F.size(F.split(F.trim("_piece"), " "))
+    length = (F.length(F.trim("_piece")) - n + 1) / n
+    short = (PIECE_LENGTH[0] - length) / (PIECE_LENGTH[1] / F.sqrt(n))
+    p = F.when(F.col("_m") > 0, F.greatest(tail(z), tail(short)))
+    return s.withColumn("word_p", F.coalesce(p, F.lit(1.0))).drop("_piece", "_m", "_sum")
+
+
+def stratum():
+    """Length strata are powers of two."""
+    return F.floor(F.log2("n")).cast("int")
+
+
+def p_bin():
+    return F.floor(-F.log10("word_p") / STEP).cast("int")
+
+
+def claims(scored: DataFrame, q: float = FALSE_DISCOVERIES) -> DataFrame:
+    """(stratum, cut_bin): in each length stratum the largest ``word_p`` that
+    Benjamini and Hochberg's rule rejects. P-values are counted in narrow bins,
+    so only a bounded histogram is ranked; a bin is taken at its upper edge,
+    which can only reject less."""
+    bins = scored.groupBy(stratum().alias("stratum"), p_bin().alias("bin")).agg(F.count(F.lit(1)).alias("k"))
     upto = Window.partitionBy("stratum").orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    edge = F.pow(F.lit(10.0), -F.col("bin") * step)
+    edge = F.pow(F.lit(10.0), -F.col("bin") * STEP)
     ranked = (bins.withColumn("rank", F.sum("k").over(upto))
               .withColumn("m", F.sum("k").over(Window.partitionBy("stratum"))))
     return (ranked.filter(edge <= q * F.col("rank") / F.col("m"))
@@ -165,12 +247,11 @@ def spans(docs: DataFrame) -> DataFrame:
     """(doc_id, th, kind, start, end) of every span, base and added."""
     found = written(matches(docs.select("doc_id", "text")), "op9_matches")
     base = found.filter("kind < 3").select("doc_id", "th", "kind", "start", "end")
-    scored = written(tested(found.filter("kind = 3")), "op9_scored")
-    cut = written(not_random(scored), "op9_cuts")
-    step = 0.02
-    kept = (scored.withColumn("stratum", F.floor(F.log2("n")).cast("int"))
-            .join(small(cut), "stratum", "left")
-            .filter(F.col("cut_bin").isNull() | (F.floor(-F.log10("p_value") / step) < F.col("cut_bin")))
+    model = written(word_model(docs.select("text")), "op9_words")
+    scored = written(worded(tested(found.filter("kind = 3")), model), "op9_scored")
+    cut = written(claims(scored), "op9_cuts")
+    kept = (scored.withColumn("stratum", stratum()).join(small(cut), "stratum")
+            .filter((p_bin() >= F.col("cut_bin")) & (F.col("p_value") >= RANDOM_LEVEL))
             .select("doc_id", "th", "kind", "start", "end"))
     b = base.select(F.col("doc_id").alias("_d"), F.col("th").alias("_t"), F.col("start").alias("_s"), F.col("end").alias("_e"))
     free = kept.join(b, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_t"))

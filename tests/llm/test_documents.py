@@ -352,3 +352,26 @@ def test_shingle_sets_follow_the_words():
     for t in ("a b c d e f g", "a b", "", None, "A  b\tC\nd e", "x" * 50_000):
         assert len(shingle_set(t)) == len(brute.shingles(t))
     assert (shingle_set("A b C d e") == shingle_set("a B c d e")).all()
+
+
+def test_claims_of_secrets_are_bounded(llm, documents):
+    """Identifiers made of the table's words are no secrets; unlabelled random
+    tokens are; and few of many word-like tokens are claimed."""
+    import base64
+    import random
+    rng = random.Random(8)
+    words = [w for w in " ".join(r.text for r in documents.limit(60).collect() if r.lang == "en").split() if w.isalpha() and len(w) > 4]
+    camel = lambda: "".join(rng.choice(words).capitalize() for _ in range(rng.randrange(4, 7))) + str(rng.randrange(2, 10))
+    names = [camel() for _ in range(300)]
+    keys = [base64.urlsafe_b64encode(rng.randbytes(30)).decode() for _ in range(40)] + \
+           ["".join(rng.choice("0123456789ABCDEF") for _ in range(40)) for _ in range(40)]
+    more = llm.createDataFrame([(10**6 + i, f"see {t} there") for i, t in enumerate(names + keys)], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.scan_secrets(documents.select("doc_id", "text").unionByName(more)).collect()}
+    caught = sum("random:4:" in got[10**6 + 300 + i] for i in range(80))
+    wrong = sum("random" in got[10**6 + i] for i in range(300))
+    assert caught >= 74 and wrong <= 8
+    # words unlike those of the table
+    two = llm.createDataFrame([(10**6, "a MyVeryLongJavaClassName2Factory"), (10**6 + 1, "an iPhone14ProMaxSilicone256GBCase"),
+                               (10**6 + 2, "a " + keys[0])], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secret_scan.scan_secrets(documents.select("doc_id", "text").unionByName(two)).collect()}
+    assert got[10**6] == got[10**6 + 1] == "" and got[10**6 + 2].startswith("random:2:")
