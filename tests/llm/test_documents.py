@@ -278,12 +278,35 @@ def test_languages(documents, edge, empty):
 def test_sliced_filters_never_miss_and_rarely_invent():
     rng = np.random.default_rng(6)
     rows_ = [(f"l{i}", int(g)) for i in range(70) for g in rng.integers(0, 1 << 24, 300)]
-    m = langid.SlicedFilters(rows_)
+    m = langid.SlicedFilters.of(rows_)
     own = np.array([g for x, g in rows_ if x == "l69"])
     assert m.counts(own)[m.langs.index("l69")] == pytest.approx(len(own), rel=0.01)
     assert m.counts(rng.integers(0, 1 << 24, 20_000)).max() < 200
 
 
+def test_filters_hold_every_trigram(llm, documents):
+    """The table names every language that has a trigram, as exact sets do, and
+    few others; ties and unknown texts have their stated results."""
+    docs = documents.limit(150).select("lang", "text")
+    m = langid.learned(docs)
+    exact, total = collections.defaultdict(collections.Counter), collections.Counter()
+    for r in docs.collect():
+        g = langid.trigrams(r.text).tolist()
+        exact[r.lang].update(g)
+        total[r.lang] += len(g)
+    assert m.langs == sorted(exact, key=lambda x: (-total[x], x)) and m.names[::2] == m.names[1::2] == m.langs
+    every = np.unique(np.concatenate([np.array(list(c)) for c in exact.values()]))
+    masks = m.masks(every)
+    for i, lang in enumerate(m.names):
+        own = {g for g, n in exact[lang].items() if i % 2 == 0 or n >= langid.MIN_SHARE * total[lang]}
+        named = m._bit(masks, i).astype(bool)
+        inside = np.array([int(g) in own for g in every])
+        assert named[inside].all() and named[~inside].mean() < 0.01
+    assert m.predict("\u4f60\u597d") == (m.langs[0], 0.0) and m.predict("5 !") == ("und", 0.0)
+    tied = llm.createDataFrame([("b", "same words"), ("a", "same words"), ("c", "q")], "lang string, text string")
+    assert langid.learned(tied).predict("same") == ("a", 0.5)
+
+
 def test_leaks(llm, documents, edge, empty):
     items = llm.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     got = {(r.doc_id, r.item_id) for r in decontam.find_leaks(documents, items).collect()}
