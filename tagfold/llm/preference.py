@@ -10,11 +10,17 @@ side is reduced to a count and a sum of hashes, turns are compared, and the
 smallest differing turn of the pair is kept. A rendered part is returned in
 blocks of ``BLOCK`` turns, so no record grows with its conversation.
 
+Where a table holds no preferences, ``derived`` makes pairs that share turns:
+the conversation as it stands is chosen, and the same turns with the last
+assistant turn's text taken from another conversation are rejected.
+
 Edge cases: a row without a pair belongs to no conversation; a row without a
 turn comes before the others; null roles and texts are rendered as nothing and
 equal only each other; repeated rows count once; several rows of one turn are
 ordered by their hash and, beyond a block's worth, spread over sub-blocks; a
-side that is missing has an empty common prefix; an empty table gives an empty
+side that is missing has an empty common prefix; a derived pair without an
+answer to take or to replace is all prompt; a long text is carried once per side and
+rendered where it falls, whole; an empty table gives an empty
 result; extra columns are left aside.
 """
 
@@ -37,6 +43,26 @@ def paired(conversations: DataFrame) -> DataFrame:
                                                       F.col("turn").cast("long").alias("turn"), "role", "text")
 
 
+def derived(conversations: DataFrame) -> DataFrame:
+    """(pair_id, side, turn, role, text): every conversation c is the chosen
+    side of pair c; in the rejected one its last assistant turn has the text of
+    the last assistant turn of the other conversation of 2k and 2k + 1. Where
+    that has none, both sides are the same."""
+    c = F.col("conv_id").cast("long")
+    rows = conversations.filter(c.isNotNull()).select(c.alias("pair_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    # one row per conversation, combined map-side
+    last = written(rows.filter("role = 'assistant'").groupBy("pair_id").agg(
+        F.max(F.struct("turn", "text")).alias("last")).select("pair_id", "last.*"), "op5_last")
+    own = last.select(F.col("pair_id").alias("_p"), F.col("turn").alias("_turn"))
+    other = last.select(F.col("pair_id").bitwiseXOR(F.lit(1)).alias("_q"), F.col("text").alias("_answer"))
+    swap = own.join(other, F.col("_p") == F.col("_q")).drop("_q")
+    replaced = (F.col("role") == "assistant") & F.col("turn").eqNullSafe(F.col("_turn")) & F.col("_p").isNotNull()
+    rejected = rows.join(swap, F.col("pair_id") == F.col("_p"), "left").withColumn(
+        "text", F.when(replaced, F.col("_answer")).otherwise(F.col("text")))
+    return (rows.select("pair_id", F.lit("chosen").alias("side"), "turn", "role", "text")
+            .unionByName(rejected.select("pair_id", F.lit("rejected").alias("side"), "turn", "role", "text")))
+
+
 def formatted(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     """(pair_id, part, block, sub, rendered, loss_mask, n_turns) of rows
     (pair_id, side, turn, role, text)."""
@@ -56,8 +82,7 @@ def formatted(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     crowded = written(per_turn.filter(F.greatest("nc", "nr") > block)
                       .select(F.col("pair_id").alias("_p"), F.col("turn").alias("_t"),
                               F.greatest("nc", "nr").alias("_n")), "op5_crowded")
-    # the one exchange of the texts serves the repeated rows and the blocks
-    r = rows.repartition("pair_id", "block").dropDuplicates(["pair_id", "block", "side", "turn", "h"])
+    r = rows.distinct()  # repeated rows are combined before they are shuffled
     r = r.join(small(first), F.col("pair_id") == F.col("_pair"))
     r = r.join(small(crowded), (F.col("pair_id") == F.col("_p")) & (F.col("turn") == F.col("_t")), "left")
     shared = F.col("first").isNull() | (F.col("turn") < F.col("first"))
@@ -90,11 +115,12 @@ def format_preferences(conversations: DataFrame) -> DataFrame:
     return formatted(paired(conversations))
 
 
-ORACLE = """
-WITH r AS (
-  SELECT DISTINCT conv_id // 2 AS pair_id, CASE WHEN conv_id % 2 = 0 THEN 'chosen' ELSE 'rejected' END AS side,
-         turn, role, text
-  FROM conversations),
+def format_derived_preferences(conversations: DataFrame) -> DataFrame:
+    """One pair per conversation, against another's answer."""
+    return formatted(derived(conversations))
+
+
+_FORMATTED = """,
 f AS (
   SELECT pair_id, min(turn) FILTER (WHERE NOT same) AS first FROM (
     SELECT coalesce(c.pair_id, j.pair_id) AS pair_id, coalesce(c.turn, j.turn) AS turn,
@@ -116,3 +142,20 @@ SELECT pair_id, part, first_turn, CAST(0 AS BIGINT) AS sub, string_agg(head || b
        count(*) AS n_turns
 FROM o GROUP BY pair_id, part, first_turn
 """
+
+PAIRED_ORACLE = """
+WITH r AS (
+  SELECT DISTINCT conv_id // 2 AS pair_id, CASE WHEN conv_id % 2 = 0 THEN 'chosen' ELSE 'rejected' END AS side,
+         turn, role, text
+  FROM conversations)""" + _FORMATTED
+
+ORACLE = """
+WITH l AS (
+  SELECT conv_id, turn, text FROM conversations WHERE role = 'assistant'
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) = 1),
+w AS (SELECT a.conv_id, a.turn, b.text FROM l a JOIN l b ON b.conv_id = xor(a.conv_id, 1)),
+r AS (
+  SELECT DISTINCT conv_id AS pair_id, 'chosen' AS side, turn, role, text FROM conversations
+  UNION ALL
+  SELECT DISTINCT c.conv_id, 'rejected', c.turn, c.role, CASE WHEN w.conv_id IS NULL THEN c.text ELSE w.text END
+  FROM conversations c LEFT JOIN w ON w.conv_id = c.conv_id AND w.turn = c.turn AND c.role = 'assistant')""" + _FORMATTED

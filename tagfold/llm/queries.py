@@ -11,7 +11,7 @@ from .langid import identify_languages
 from .merkle import merkle_proofs
 from .packing import pack_documents
 from .pii import find_personal_data
-from .preference import format_preferences
+from .preference import format_derived_preferences
 from .secret_scan import scan_secrets
 from .shards import shard_documents
 from .spelling import spelling_variants
@@ -32,7 +32,7 @@ QUERIES = {
     "op2_nnls_packing": _over(pack_documents, "documents"),
     "op3_semi_crf_pii": _over(find_personal_data, "documents"),
     "op4_jaccard_metric_join": _over(join_near_copies, "documents"),
-    "op5_preference_format": _over(format_preferences, "conversations"),
+    "op5_preference_format": _over(format_derived_preferences, "conversations"),
     "op6_suffix_family": _over(remove_repeats, "documents"),
     "op7_bitmask_langid": _over(identify_languages, "documents"),
     "op8_host_rules": _over(quality_rules, "documents"),
