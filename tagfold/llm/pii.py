@@ -22,6 +22,7 @@ are left aside.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -113,13 +114,27 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def chains(text: str) -> list[list[tuple[int, int, int]]]:
     """Chains of atoms (start, end, 0 digits / 1 spelled-out address)."""
-    atoms = [(m.start(), m.end(), 0) for m in DIGITS.finditer(text)]
+    spelled: list[tuple[int, int, int]] = []  # in order and apart: a later one replaces what it overlaps
+    starts: list[int] = []  # what any of them covered, merged
+    ends: list[int] = []
     for m in AT.finditer(text):
         window = text[max(0, m.start() - 64):m.start()]
         start = m.start() - (len(window) - len(window.rstrip(LOCAL)))
         d = SPELLED.match(text, m.end())
         if start < m.start() and d:
-            atoms = [a for a in atoms if a[1] <= start or a[0] >= d.end()] + [(start, d.end(), 1)]
+            while spelled and spelled[-1][1] > start:
+                spelled.pop()
+            spelled.append((start, d.end(), 1))
+            first, last = start, d.end()
+            while ends and ends[-1] > first:
+                first, last = min(first, starts.pop()), max(last, ends.pop())
+            starts.append(first)
+            ends.append(last)
+    atoms = spelled
+    for m in DIGITS.finditer(text):
+        k = bisect.bisect_left(starts, m.end()) - 1
+        if k < 0 or ends[k] <= m.start():
+            atoms.append((m.start(), m.end(), 0))
     atoms.sort()
     out: list[list[tuple[int, int, int]]] = []
     for a in atoms:

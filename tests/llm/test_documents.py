@@ -2,6 +2,7 @@
 on odd rows and on an empty table."""
 
 import collections
+import time
 import zlib
 
 import numpy as np
@@ -398,3 +399,31 @@ def test_claims_of_secrets_are_bounded(llm, documents):
                                (10**6 + 2, "a " + keys[0])], "doc_id long, text string")
     got = {r.doc_id: r.spans for r in secret_scan.scan_secrets(documents.select("doc_id", "text").unionByName(two)).collect()}
     assert got[10**6] == got[10**6 + 1] == "" and got[10**6 + 2].startswith("random:2:")
+
+
+def test_chains_of_spelled_addresses():
+    """As by rebuilding the list at every address, in time linear in the text."""
+    import random
+
+    def plain(text):
+        atoms = [(m.start(), m.end(), 0) for m in pii.DIGITS.finditer(text)]
+        for m in pii.AT.finditer(text):
+            window = text[max(0, m.start() - 64):m.start()]
+            start = m.start() - (len(window) - len(window.rstrip(pii.LOCAL)))
+            d = pii.SPELLED.match(text, m.end())
+            if start < m.start() and d:
+                atoms = [a for a in atoms if a[1] <= start or a[0] >= d.end()] + [(start, d.end(), 1)]
+        return sorted(atoms)
+
+    rng = random.Random(11)
+    parts = ["joe", "12", " at ", " (at) ", "[at]", " dot ", "(dot)", "[dot]", "com", " ", "3", "x9.y", "+", "a1", "-"]
+    spelled = 0
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 14)))
+        want = plain(text)
+        spelled += sum(a[2] for a in want)
+        assert [a for c in pii.chains(text) for a in c] == want
+    assert spelled > 500
+    began = time.monotonic()
+    assert sum(len(c) for c in pii.chains("joe (at) mail (dot) com 12, " * 40_000)) == 80_000
+    assert time.monotonic() - began < 5
