@@ -5,8 +5,7 @@ frequencies and document frequencies are partial aggregates (map-side
 combined, so a term present in every document still ships one row per map
 task), and the per-document top-k is ``row_number() <= k`` (WindowGroupLimit
 trims each document before the window's exchange). The tf x df join reads two
-written tables: AQE broadcasts the document frequencies when they are small
-and splits skewed partitions of a sort-merge join otherwise.
+written tables and shuffles the rows of rare terms only.
 
 IDF is MLlib's: ``ln((N + 1) / (df + 1))``.
 """
@@ -19,7 +18,10 @@ from pyspark.sql import functions as F
 from ..functions.jsonmaps import json_string
 from ..functions.stopwords import ENGLISH_STOP_WORDS
 from ..session import scratch_path
-from .wordvec import document_vectors
+from .wordvec import document_vectors, threshold
+
+# most terms whose document frequencies are shipped to all tasks
+FREQUENT = 1 << 18
 
 # A token is a run of letters, marks and digits of any script, lower-cased.
 # Han characters are written without blanks; each is a token of its own.
@@ -46,19 +48,64 @@ def term_frequencies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return toks.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_docs: int | None = None) -> DataFrame:
+def _frequencies_in_place(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``term_frequencies``, written, where most documents are one row: these
+    are counted where they lie, and only rows that share an id are summed by a
+    shuffle of their terms."""
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    many = _table(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
+                  .select(F.col("doc_id").alias("_id")), "repeated_ids")
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for b in batches:
+            size = b.column(1).value_lengths().to_numpy()
+            ends = np.cumsum(size)
+            at = 0
+            while at < len(size):
+                end = max(at + 1, int(np.searchsorted(ends, ends[at] - size[at] + (1 << 20), "right")))
+                told = b.column(1).slice(at, end - at).flatten().dictionary_encode()
+                n = max(len(told.dictionary), 1)
+                key, tf = np.unique(np.repeat(np.arange(end - at), size[at:end]) * n + told.indices.to_numpy(), return_counts=True)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at + key // n)), told.dictionary.take(pa.array(key % n)), pa.array(tf, pa.int64())],
+                                                 names=["doc_id", "term", "tf"])
+                at = end
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    whole = (docs.select("doc_id", token_array(F.col("text")).alias("terms")).where(F.size("terms") > 0)
+             .mapInArrow(run, f"doc_id {kind}, term string, tf long"))
+    if not many.limit(1).count():
+        return _table(whole, "tf")
+    same = F.col("doc_id").eqNullSafe(F.col("_id"))
+    summed = whole.join(many, same, "left_semi").groupBy("doc_id", "term").agg(F.sum("tf").alias("tf"))
+    return _table(whole.join(many, same, "left_anti").unionByName(summed), "tf")
+
+
+def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_docs: int | None = None,
+          frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, term, tf, df, score) with ``score = tf * ln((N+1)/(df+1))``.
 
     N is one scalar (a count job, or given where a document is several rows,
     whose terms add up); the document frequencies come from the
     (doc, term) aggregate, so a document counts once per term. Both sides of
-    the join are written tables: tokenising runs once, and each side is a plain
-    exchange, which AQE splits where a term is in very many documents."""
-    n_docs = docs.count() if n_docs is None else n_docs
-    tf = _table(term_frequencies(docs, id_col, text_col), "tf")
+    the join are written tables: tokenising runs once. The ``FREQUENT`` most
+    frequent terms at most, which are most rows, meet their document
+    frequencies where they lie; only the rows of rarer terms are shuffled, none
+    of which is in many documents."""
+    if n_docs is None:
+        n_docs = docs.count()
+        tf = _frequencies_in_place(docs, id_col, text_col)
+    else:
+        tf = _table(term_frequencies(docs, id_col, text_col), "tf")
     df = _table(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "df")
     idf = F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))
-    return tf.join(df, "term").select("doc_id", "term", "tf", "df", (F.col("tf") * idf).alias("score"))
+    least = threshold(df, "df", frequent)
+    top = df.where(F.col("df") >= least).select(F.col("term").alias("_term"), "df")  # at most ``frequent`` rows
+    told = tf.join(F.broadcast(top), F.col("term") == F.col("_term"), "left").drop("_term")
+    rare = told.where(F.col("df").isNull()).drop("df").join(df.where(F.col("df") < least), "term")
+    every = told.where(F.col("df").isNotNull()).unionByName(rare.select(*told.columns))
+    return every.select("doc_id", "term", "tf", "df", (F.col("tf") * idf).alias("score"))
 
 
 def top_keywords(scored: DataFrame, k: int) -> DataFrame:

@@ -115,7 +115,7 @@ def _combined(cols: list, matrix) -> list:
     return out
 
 
-def _threshold(counts: DataFrame, column: str, most: int) -> int:
+def threshold(counts: DataFrame, column: str, most: int) -> int:
     """The least count that at most ``most`` rows of ``counts`` reach."""
     at, held = 0, 0
     sizes = counts.groupBy(column).agg(F.count(F.lit(1)).alias("rows")).collect()  # one row per different count
@@ -142,7 +142,7 @@ class Cooccurrences:
         sc = words.sparkSession.sparkContext
         counts = _table(words.select(F.explode("words").alias("t")).groupBy(F.xxhash64("t").alias("w"))
                         .agg(F.count(F.lit(1)).alias("n")), "w2v_counts")
-        least = _threshold(counts, "n", frequent)
+        least = threshold(counts, "n", frequent)
         top = counts.where(F.col("n") >= least).select("w", _signs().alias("bits")).orderBy("w").toArrow()  # at most ``frequent`` rows
         self.names, self.bits = (top.column(i).to_numpy().astype(np.int64) for i in range(2))
         shared = sc.broadcast(self.names)

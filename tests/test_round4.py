@@ -29,3 +29,21 @@ def test_frequent_words_have_no_rows_of_pairs_and_the_same_vectors(spark):
     some = {r.doc_id: r.vector for r in wv.document_vectors(words, 3, frequent=6).collect()}
     assert whole.keys() == some.keys() == set(range(60))
     assert all(np.allclose(np.abs(whole[d]), np.abs(some[d]), atol=2e-6) for d in whole)
+
+
+def test_tfidf_by_frequent_and_rare_terms(spark):
+    """Repeated ids and null ones are one document each, as in one aggregate."""
+    from tagfold.operators import text as tx
+    rng = random.Random(6)
+    rows = [(rng.choice((1, 2, 3, None)) if i % 3 == 0 else 100 + i, " ".join(rng.choices("abcdefghijkl", k=rng.choice((0, 1, 7, 30))))) for i in range(40)]
+    docs = spark.createDataFrame([*rows, (7, None)], "doc_id long, text string")
+    tf, df = {}, {}
+    for d, t in rows:
+        for w in t.split():
+            tf[d, w] = tf.get((d, w), 0) + 1
+    for _, w in tf:
+        df[w] = df.get(w, 0) + 1
+    want = sorted((str(d), w, n, df[w], round(n * float(np.log(42 / (df[w] + 1))), 9)) for (d, w), n in tf.items())
+    for frequent in (0, 3, 100):
+        got = tx.tfidf(docs, frequent=frequent)
+        assert sorted((str(r.doc_id), r.term, r.tf, r.df, round(r.score, 9)) for r in got.collect()) == want
