@@ -280,18 +280,25 @@ def q_portrait_update(spark, sf_dir):
     return _long(tags, dim_col=True)
 
 
-# Buckets of the stored portrait of the fold query.
+# Buckets of the stored portrait of the fold query: so many at least, and no
+# more rows of it in each on average. A task holds windows over a bucket.
 FOLD_BUCKETS = 8
+FOLD_ROWS = 50_000
 _BUCKETED: dict[tuple, str] = {}
 
 
+def fold_buckets(rows: int) -> int:
+    return max(FOLD_BUCKETS, -(-rows // FOLD_ROWS))
+
+
 def bucketed_portrait(spark, sf_dir):
     """The stored portrait as a table bucketed by user, written once."""
     k = (spark.sparkContext.applicationId, sf_dir)
     if k not in _BUCKETED:
+        stored = stored_portrait(spark, sf_dir)
         name = f"tagfold_portrait_{len(_BUCKETED)}"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        wr.write_bucketed(stored_portrait(spark, sf_dir), name, scratch_path(spark, "bucketed"), "user", FOLD_BUCKETS,
+        wr.write_bucketed(stored, name, scratch_path(spark, "bucketed"), "user", fold_buckets(stored.count()),
                           ["user", "dim", "module", "tag"])
         _BUCKETED[k] = name
     return spark.table(_BUCKETED[k])
@@ -302,8 +309,9 @@ def q_portrait_fold(spark, sf_dir):
     portrait is stored in buckets and read."""
     _, new = _old_new(spark, sf_dir)
     _published[0] += 1
+    buckets = fold_buckets(stored_portrait(spark, sf_dir).count())
     return _long(pt.fold_and_store(bucketed_portrait(spark, sf_dir), new, AS_OF, f"tagfold_folded_{_published[0]}",
-                                   scratch_path(spark, "folded"), FOLD_BUCKETS, stop_names=STOP), dim_col=True)
+                                   scratch_path(spark, "folded"), buckets, stop_names=STOP), dim_col=True)
 
 
 def q_portrait_wide(spark, sf_dir):

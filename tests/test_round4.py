@@ -47,3 +47,9 @@ def test_tfidf_by_frequent_and_rare_terms(spark):
     for frequent in (0, 3, 100):
         got = tx.tfidf(docs, frequent=frequent)
         assert sorted((str(r.doc_id), r.term, r.tf, r.df, round(r.score, 9)) for r in got.collect()) == want
+
+
+def test_buckets_of_the_fold_grow_with_the_portrait():
+    from tagfold.plans import queries as q
+    assert q.fold_buckets(0) == q.fold_buckets(8 * q.FOLD_ROWS) == q.FOLD_BUCKETS
+    assert all(n / q.fold_buckets(n) <= q.FOLD_ROWS for n in (10**6, 10**7 + 1, 10**9))
