@@ -65,3 +65,16 @@ def test_a_strict_host_takes_no_row_of_another(llm):
     got = P.quality(llm, docs, SF).collect()
     assert {(r.doc_id, r.source) for r in got if r.doc_id in (7, 9, None)} == {(7, "usual"), (None, "usual"), (9, None)}
     assert {r.doc_id for r in got} >= set(range(200, 220)) and not {r.doc_id for r in got} & set(range(100, 120))
+
+
+def test_batches_of_long_texts_are_bounded(llm):
+    from pyspark.sql import functions as F
+
+    def run(batches):
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    texts = llm.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 200_000).alias("text"))
+    got = texts.mapInArrow(run, "n long, size long").collect()
+    assert sum(r.n for r in got) == 200 and max(r.size for r in got) <= 8 << 20
