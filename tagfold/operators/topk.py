@@ -5,8 +5,8 @@ Items are grouped into cells by direction (nearest of a few pivots) and by norm
 least and greatest norm, from which follows the most that any of its items can
 score with a query. Every query first visits the cells of highest bound until
 they hold k items; its k-th score so far is a threshold, and of the other cells
-it visits those whose bound reaches it. No other pair is scored, and none that
-could matter is left out.
+it visits those whose bound reaches it, and takes from them the items that reach
+it. No other pair is scored, and none that could matter is left out.
 
 Sizes. Pivots are a parameter, so there are at most ``pivots * 128 + 1`` cells,
 whose summary goes to the driver and the tasks. Items of one vector are one node
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, ship_package
 
 PIVOTS = 64
 BLOCK = 2048
@@ -42,6 +42,24 @@ def _table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _matrix(col):
+    """The vectors of an Arrow column of lists, one per row."""
+    import numpy as np
+    if not len(col):
+        return np.zeros((0, 0))
+    size = np.diff(col.offsets.to_numpy())
+    if (size != size[0]).any():
+        raise ValueError("vectors differ in length")
+    return np.asarray(col.flatten().to_numpy(zero_copy_only=False), dtype=float).reshape(len(col), size[0])
+
+
+def _lists(x):
+    """The rows of a matrix as an Arrow column of lists."""
+    import numpy as np
+    at = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
+    return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(np.ascontiguousarray(x).ravel()))
+
+
 def vector_nodes(items: DataFrame, k: int) -> DataFrame:
     """(node, vec, ids): distinct vectors with their ``k`` least ids."""
     v = items.select("id", F.col("vec").cast("array<double>").alias("vec")).where(F.col("vec").isNotNull())
@@ -57,6 +75,7 @@ class CellIndex:
     def __init__(self, items: DataFrame, k: int, pivots: int = PIVOTS, block: int = BLOCK, group: int = GROUP):
         import numpy as np
         self.k, self.block, self.group = k, block, group
+        ship_package(items.sparkSession)
         nodes = _table(vector_nodes(items, k), "topk_nodes")
         nonzero = nodes.where(F.exists("vec", lambda x: x != 0))
         sample = [r.vec for r in nonzero.select("vec").orderBy(F.xxhash64("node"), "node").limit(pivots).collect()]
@@ -94,7 +113,7 @@ class CellIndex:
         return nodes.mapInArrow(run, f"node long, vec array<double>, ids {kind}, cell long, angle double, norm double")
 
     def _visits(self, queries: DataFrame, kind: str, first: bool) -> DataFrame:
-        """(q, vec, cell): the cells a query has to visit; in the first pass
+        """(q, vec, cell, least): the cells a query has to visit; in the first pass
         those of highest bound that hold k items, in the second the others that
         reach its threshold ``least`` (null: all others)."""
         pivots, summary, k, slack = self.pivots, self.summary, self.k, SLACK
@@ -106,10 +125,12 @@ class CellIndex:
             wide, lo, hi = (np.array([s[i] for s in summary], dtype=float) for i in (3, 4, 5))
             axis = pivots[np.maximum(cells // 128, 0)] if len(pivots) else None
             for b in batches:
-                vecs, names = b.column("vec").to_pylist(), b.column("q").to_pylist()
-                least = b.column("least").to_pylist() if not first else None
+                vecs, names = _matrix(b.column("vec")), b.column("q")
+                least = np.full(len(vecs), -np.inf)
+                if not first:
+                    least = b.column("least").fill_null(-np.inf).to_numpy(zero_copy_only=False)
                 for at in range(0, len(vecs), 256):
-                    x = np.array(vecs[at:at + 256], dtype=float)
+                    x = vecs[at:at + 256]
                     n = np.sqrt((x * x).sum(axis=1))[:, None]
                     if axis is None:
                         bound = np.zeros((len(x), len(cells)))
@@ -127,20 +148,20 @@ class CellIndex:
                     if first:
                         go = seed
                     else:
-                        t = np.array([-np.inf if v is None else v for v in least[at:at + 256]])[:, None]
+                        t = least[at:at + 256, None]
                         # the bound is as exact as the numbers it is made of
                         go = ~seed & (bound + slack * np.maximum(1, np.abs(bound)) >= t)
                     i, j = np.nonzero(go)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([names[at + r] for r in i.tolist()], b.column("q").type),
-                         pa.array([vecs[at + r] for r in i.tolist()], pa.list_(pa.float64())), pa.array(cells[j])],
-                        names=["q", "vec", "cell"])
+                        [names.take(pa.array(at + i)), _lists(x[i]), pa.array(cells[j]), pa.array(least[at + i])],
+                        names=["q", "vec", "cell", "least"])
 
         q = queries.schema["q"].dataType.simpleString()
-        return queries.mapInArrow(run, f"q {q}, vec array<double>, cell long")
+        return queries.mapInArrow(run, f"q {q}, vec array<double>, cell long, least double")
 
     def _scored(self, visits: DataFrame, kind: str) -> DataFrame:
-        """(q, id, score) of the k best of every block visited."""
+        """(q, id, score) of the k best of every block visited, of those that
+        reach the query's threshold."""
         spark = visits.sparkSession
         visits = _table(visits, "topk_visits")
         asked = {r.cell: r.n for r in visits.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}  # one row per cell
@@ -154,53 +175,59 @@ class CellIndex:
         ids = self.nodes.schema["ids"].dataType.simpleString()
         told = (self.nodes.join(sizes, F.col("cell") == F.col("_cell")).withColumn("block_no", some("node", "blocks"))
                 .withColumn("group_no", every("groups"))
-                .select("cell", "block_no", "group_no", F.lit(0).alias("kind"), F.lit(None).cast(q_type).alias("q"), "vec", "ids"))
+                .select("cell", "block_no", "group_no", F.lit(0).alias("kind"), F.lit(None).cast(q_type).alias("q"), "vec", "ids",
+                        F.lit(None).cast("double").alias("least")))
         asks = (visits.join(sizes, F.col("cell") == F.col("_cell")).withColumn("group_no", some("q", "groups"))
                 .withColumn("block_no", every("blocks"))
-                .select("cell", "block_no", "group_no", F.lit(1).alias("kind"), "q", "vec", F.lit(None).cast(ids).alias("ids")))
+                .select("cell", "block_no", "group_no", F.lit(1).alias("kind"), "q", "vec", F.lit(None).cast(ids).alias("ids"), "least"))
         k, digits = self.k, DIGITS
         item = self.nodes.schema["ids"].dataType.elementType.simpleString()
 
         def run(batches):
             import numpy as np
 
-            def best(qs, x, own, names):
+            def best(x, own, names, least):
+                """Rows of x, ids and scores."""
                 out = [[], [], []]
                 dot = x @ own.T
                 if kind == "damped":
                     n, m = np.sqrt((x * x).sum(axis=1)), np.sqrt((own * own).sum(axis=1))
                     dot = dot / (np.outer(n, m) + 1)
                 score = np.round(dot, digits) + 0.0
-                for q, s in zip(qs, score):
-                    at = np.flatnonzero(s >= np.partition(s, len(s) - k)[len(s) - k]) if len(s) > k else np.arange(len(s))
+                reach = score >= least[:, None]
+                for r in np.flatnonzero(reach.any(axis=1)).tolist():
+                    s, at = score[r], np.flatnonzero(reach[r])
+                    if len(at) > k:
+                        at = at[s[at] >= np.partition(s[at], len(at) - k)[len(at) - k]]
                     found = sorted((-s[i], d) for i in at.tolist() for d in names[i])[:k]
-                    out[0] += [q] * len(found)
+                    out[0] += [r] * len(found)
                     out[1] += [d for _, d in found]
                     out[2] += [-float(s) for s, _ in found]
                 return out
 
             key, members, names, own = None, [], [], None
             for b in batches:
-                rows = list(zip(*(b.column(c).to_pylist() for c in ("cell", "block_no", "group_no", "kind", "q", "vec", "ids"))))
-                at = 0
-                while at < len(rows):
-                    if rows[at][:3] != key:
-                        key, members, names, own = rows[at][:3], [], [], None
-                    end = at
-                    while end < len(rows) and rows[end][:4] == rows[at][:4]:
-                        end += 1
-                    if rows[at][3] == 0:
-                        members += [r[5] for r in rows[at:end]]
-                        names += [r[6] for r in rows[at:end]]
+                col = [b.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "block_no", "group_no", "kind")]
+                vecs, least = _matrix(b.column("vec")), b.column("least").fill_null(-np.inf).to_numpy(zero_copy_only=False)
+                new = np.ones(len(vecs), dtype=bool)
+                new[1:] = np.any([c[1:] != c[:-1] for c in col], axis=0)
+                start = np.flatnonzero(new).tolist()
+                for at, end in zip(start, [*start[1:], len(vecs)]):
+                    now = tuple(int(c[at]) for c in col[:3])
+                    if now != key:
+                        key, members, names, own = now, [], [], None
+                    if col[3][at] == 0:
+                        members.append(vecs[at:end])
+                        names += b.column("ids").slice(at, end - at).to_pylist()
                     elif members:
-                        own = np.array(members, dtype=float) if own is None else own
+                        own = np.concatenate(members) if own is None else own
                         for i in range(at, end, 256):
-                            part = rows[i:min(end, i + 256)]
-                            out = best([r[4] for r in part], np.array([r[5] for r in part], dtype=float), own, names)
+                            j = min(end, i + 256)
+                            out = best(vecs[i:j], own, names, least[i:j])
                             yield pa.RecordBatch.from_arrays(
-                                [pa.array(out[0], b.column("q").type), pa.array(out[1], b.column("ids").type.value_type),
-                                 pa.array(out[2], pa.float64())], names=["q", "id", "score"])
-                    at = end
+                                [b.column("q").take(pa.array(np.array(out[0], dtype=np.int64) + i)),
+                                 pa.array(out[1], b.column("ids").type.value_type), pa.array(out[2], pa.float64())],
+                                names=["q", "id", "score"])
 
         key = ["cell", "block_no", "group_no"]
         return (told.unionByName(asks).repartition(*key).sortWithinPartitions(*key, "kind")

@@ -75,3 +75,16 @@ def test_ids_of_any_type(spark):
     items = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [1.0, 0.0]), ("c", [0.0, 1.0])], "id string, vec array<double>")
     got = {(r.id, r.rank, r.other) for r in topk.similar_items(items.withColumn("vec", F.col("vec")), 1).collect()}
     assert got == {("a", 1, "b"), ("b", 1, "a"), ("c", 1, "a")}
+
+
+def test_second_pass_returns_only_what_reaches_the_threshold(spark):
+    # at random in many dimensions every cell is visited, but few items matter
+    x = np.random.default_rng(5).normal(size=(600, 32))
+    index = topk.CellIndex(_frame(spark, x), 10)
+    queries = _frame(spark, x, "q")
+    open_q = index._scored(index._visits(queries, "damped", True), "damped")
+    least = open_q.groupBy("q").agg(F.sort_array(F.collect_list("score"), False)[9].alias("least"))
+    again = index._visits(queries.join(least, "q"), "damped", False)
+    got = index._scored(again, "damped").join(least, "q")
+    assert got.count() > 0
+    assert not got.where("score < least").count()
