@@ -48,6 +48,8 @@ REGION = 128
 MAX_COMMON = 1_000_000
 # nodes that a task compares others with at once
 BLOCK = 1024
+# pairs of a region's members that a task hands over at once
+PAIRS = 1 << 16
 _NODE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -216,6 +218,36 @@ def sets_of(v: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
                    .mapInArrow(run, "v long, s binary").dropDuplicates(["v"]), "op4_sets")
 
 
+def open_pairs(batches, most: int = PAIRS):
+    """(level, k, a, b, na, nb): the pairs of each region (level, k, members)
+    whose sizes allow a link and that no chain of links joins, at most ``most``
+    and a member's pairs to a batch: a few regions may have millions."""
+    out = [[], [], [], [], [], []]
+
+    def batch():
+        r = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, [pa.int32()] + [pa.int64()] * 5)],
+                                       names=["level", "k", "a", "b", "na", "nb"])
+        for c in out:
+            c.clear()
+        return r
+
+    for b in batches:
+        for level, k, x in zip(*(b.column(i) for i in range(3))):
+            level, k = level.as_py(), k.as_py()
+            x = sorted((r["n"], r["v"], r["root"], r["moved"]) for r in x.as_py())
+            for i, (n, v, root, mv) in enumerate(x):
+                for n2, v2, root2, mv2 in x[i + 1:]:
+                    if 4 * n < 3 * n2:
+                        break
+                    if root != root2 and not (mv and mv2):
+                        pair = ((v, v2, n, n2) if v > v2 else (v2, v, n2, n))
+                        for c, y in zip(out, (level, k, *pair)):
+                            c.append(y)
+                if len(out[0]) >= most:
+                    yield batch()
+    yield batch()
+
+
 def linked(m: DataFrame) -> DataFrame:
     return m.filter("4 * shared >= 3 * either").select("a", "b")
 
@@ -275,25 +307,8 @@ class Join:
                     "v", "n", F.coalesce("root", "v").alias("root"), F.col("_w").isNotNull().alias("moved"))).alias("x"))
                 .filter(F.size(F.array_distinct("x.root")) > 1))
 
-        def run(batches):
-            for b in batches:
-                out = [[], [], [], [], [], []]
-                for level, k, x in zip(*(b.column(i).to_pylist() for i in range(3))):
-                    x = sorted((r["n"], r["v"], r["root"], r["moved"]) for r in x)
-                    for i, (n, v, root, mv) in enumerate(x):
-                        for n2, v2, root2, mv2 in x[i + 1:]:
-                            if 4 * n < 3 * n2:
-                                break
-                            if root != root2 and not (mv and mv2):
-                                pair = ((v, v2, n, n2) if v > v2 else (v2, v, n2, n))
-                                for c, y in zip(out, (level, k, *pair)):
-                                    c.append(y)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(out, [pa.int32()] + [pa.int64()] * 5)],
-                    names=["level", "k", "a", "b", "na", "nb"])
-
         rest = F.greatest(*[F.col(z) - F.floor(F.col(z) / 4) - 1 for z in ("na", "nb")])
-        return (told.select("level", "k", "x").mapInArrow(run, "level int, k long, a long, b long, na long, nb long")
+        return (told.select("level", "k", "x").mapInArrow(open_pairs, "level int, k long, a long, b long, na long, nb long")
                 .groupBy("level", "a", "b", "na", "nb").agg(F.sum("k").alias("c"))
                 .filter(F.col("c") + rest >= F.ceil(3 * (F.col("na") + F.col("nb")) / 7)).select("a", "b"))
 
@@ -408,7 +423,8 @@ def joined(docs: DataFrame, region: int = REGION, max_common: int = MAX_COMMON,
     run = Join(lambda pairs: measured(pairs, texts, reps), lambda v: sets_of(v, texts, reps), block)
     groups: list[DataFrame] = []
     large: list[DataFrame] = []
-    moved: list[DataFrame] = [spark.createDataFrame([], "level int, v long")]
+    # small tables come by Arrow, which starts no Python workers beside those of the texts
+    moved: list[DataFrame] = [spark.createDataFrame(pa.table({"level": pa.array([], pa.int32()), "v": pa.array([], pa.int64())}))]
     common = np.zeros(0, dtype=np.uint64)
     level, before = firsts, None
     while True:
@@ -426,7 +442,7 @@ def joined(docs: DataFrame, region: int = REGION, max_common: int = MAX_COMMON,
         # members that hardly get fewer are told apart by document pivots instead
         room = max_common - len(common) if before is None or 2 * n <= before else 0
         new = [x.h for x in count.orderBy(F.desc("m"), "h").limit(room).collect()] if n and room > 0 else []
-        taken = spark.createDataFrame([(x,) for x in new], "_h long")  # at most max_common
+        taken = spark.createDataFrame(pa.table({"_h": pa.array(new, pa.int64())}))  # at most max_common
         if n:  # what is not taken stays a region
             large.append(hot.join(F.broadcast(taken), F.col("h") == F.col("_h"), "left_anti")
                          .select(F.col("h").alias("r"), "v", "n", F.col("n").alias("u")))

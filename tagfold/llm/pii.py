@@ -325,7 +325,7 @@ def fitted(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_chars: int = TRA
     some = (docs.select("text").filter(F.col("text").rlike("[0-9]{3}|@") & (F.length("text") <= train_chars))
             .withColumn("_h", F.xxhash64("text")))
     first = some.select("_h").distinct().orderBy("_h").limit(train_docs)
-    hashes = docs.sparkSession.createDataFrame([(r._h,) for r in first.collect()], "_f long")  # train_docs rows
+    hashes = docs.sparkSession.createDataFrame(pa.table({"_f": pa.array([r._h for r in first.collect()], pa.int64())}))  # train_docs rows
     rows = some.join(F.broadcast(hashes), F.col("_h") == F.col("_f"), "left_semi").dropDuplicates(["_h"]).collect()
     return train([r.text for r in sorted(rows, key=lambda r: r._h)])
 

@@ -78,3 +78,35 @@ def test_batches_of_long_texts_are_bounded(llm):
     texts = llm.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 200_000).alias("text"))
     got = texts.mapInArrow(run, "n long, size long").collect()
     assert sum(r.n for r in got) == 200 and max(r.size for r in got) <= 8 << 20
+
+
+def test_pairs_of_regions_go_in_bounded_batches():
+    import pyarrow as pa
+    from tagfold.llm import jaccard
+
+    kind = pa.list_(pa.struct([("v", pa.int64()), ("n", pa.int64()), ("root", pa.int64()), ("moved", pa.bool_())]))
+    region = [{"v": v, "n": 100, "root": v, "moved": False} for v in range(128)]
+    linked = [{"v": v, "n": 100, "root": 0, "moved": False} for v in range(128)]
+    batch = pa.RecordBatch.from_arrays([pa.array([0] * 41, pa.int32()), pa.array([1] * 41, pa.int64()),
+                                        pa.array([region] * 40 + [linked], kind)], names=["level", "k", "x"])
+    got = list(jaccard.open_pairs([batch], 10_000))
+    assert sum(b.num_rows for b in got) == 40 * 128 * 127 // 2 and max(b.num_rows for b in got) < 10_128
+    assert {(a, b) for g in got for a, b in zip(g.column(2).to_pylist(), g.column(3).to_pylist())} == {
+        (a, b) for a in range(128) for b in range(a)}
+
+
+def test_scans_of_texts_decode_few_rows_at_once(llm):
+    from tagfold.llm.common import SCAN_ROWS
+    assert int(llm.conf.get("spark.sql.parquet.columnarReaderBatchSize")) == SCAN_ROWS <= 256
+
+
+def test_small_tables_of_the_join_start_no_python_workers(llm, documents, monkeypatch):
+    from pyspark.sql import SparkSession
+    from tagfold.llm import jaccard
+
+    made = []
+    real = SparkSession.createDataFrame
+    monkeypatch.setattr(SparkSession, "createDataFrame", lambda *a, **k: made.append(real(*a, **k)) or made[-1])
+    jaccard.joined(documents, 4, 100).collect()
+    plans = [x._jdf.queryExecution().executedPlan().toString() for x in made]
+    assert len(plans) >= 2 and all("LocalTableScan" in p for p in plans)
