@@ -142,11 +142,12 @@ def row_key(log: DataFrame) -> F.Column:
 def rows_to_cells(df: DataFrame, key: F.Column, columns: list[str], family: str = CELL_FAMILY) -> DataFrame:
     """Any rows as (row_key, family, qualifier, value) cells, one per
     column, range-partitioned and sorted by (row_key, qualifier) as a sorted
-    bulk load expects. Values are written as text."""
-    stack = F.explode(F.array(*[F.struct(F.lit(c).alias("qualifier"), F.col(c).cast("string").alias("value"))
-                                for c in columns]))
-    cells = df.select(key.alias("row_key"), stack.alias("c")).select(
-        "row_key", F.lit(family).alias("family"), "c.qualifier", "c.value")
+    bulk load expects. Values are written as text. The key is computed once per
+    row, before the row becomes cells: an expression selected beside ``explode``
+    is evaluated for every cell."""
+    stack = F.array(*[F.struct(F.lit(c).alias("qualifier"), F.col(c).cast("string").alias("value")) for c in columns])
+    cells = (df.select(key.alias("row_key"), stack.alias("cells")).select("row_key", F.explode("cells").alias("c"))
+             .select("row_key", F.lit(family).alias("family"), "c.qualifier", "c.value"))
     return cells.repartitionByRange("row_key", "qualifier").sortWithinPartitions("row_key", "qualifier")
 
 

@@ -125,3 +125,25 @@ def test_publish_location_switches_plain_and_partitioned_tables(spark):
     assert spark.table("pub_parts").count() == 4
     wr.publish_location(spark, "pub_parts", pb)
     assert spark.table("pub_parts").count() == 6 and os.path.isdir(pa)
+
+
+def test_cells_compute_their_row_key_once_per_row(spark):
+    from tagfold.schemas import LOG_FIELDS
+    log = spark.range(3).select(*[F.concat(F.lit(c), F.col("id").cast("string")).alias(c) for c in LOG_FIELDS])
+    log = log.unionByName(log)  # repeated rows share their key
+    plan = wr.log_to_cells(log)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("explode(") < plan.index("md5(")  # the key lies below the cells
+    got = [(r.row_key, r.qualifier, r.value) for r in wr.log_to_cells(log).collect()]
+    assert got == sorted(got) and len(got) == 6 * len(wr.CELL_QUALIFIERS)
+
+
+def test_crawlers_are_found_by_plain_searches(spark):
+    import re
+    from tagfold.functions.tags import BOT_MARKERS, is_human, least_markers
+    agents = [None, "", "Mozilla/5.0 (X11; Linux)", "ro.bo.t", "ROBOT", "Windows; U; MSIE 9", "windows, u, msie", "+galaxy+nexus+",
+              *BOT_MARKERS, *[m.upper() for m in BOT_MARKERS], *[f"é {m} x" for m in BOT_MARKERS], *[m[:-1] for m in BOT_MARKERS]]
+    df = spark.createDataFrame([(a,) for a in agents], "ua string").select("ua", is_human(F.col("ua")).alias("human"))
+    old = re.compile("|".join(re.escape(m.lower()) for m in BOT_MARKERS))
+    assert all(r.human == (not old.search((r.ua or "").lower())) for r in df.collect())
+    assert "RLIKE" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(least_markers(["Bot", "Googlebot", "bot", "spider"])) == ["bot", "spider"]
