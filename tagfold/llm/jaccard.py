@@ -175,15 +175,23 @@ def regions(e: DataFrame, most: int = REGION) -> DataFrame:
     return e.select("h", "v", "n").repartition("h").sortWithinPartitions("h", "v").mapInArrow(run, REGIONS)
 
 
+def keys_of(v: DataFrame, reps: DataFrame) -> DataFrame:
+    """(v, _k): the distinct nodes ``v``, written, and the keys of their texts.
+    Nodes have one key each in ``reps``, so that nothing else is shuffled while
+    the nodes are few."""
+    v = small(v.select(F.col("v").alias("_v")))
+    return written(reps.join(v, F.col("v") == F.col("_v"), "left_semi").select("v", F.col("key").alias("_k")), "op4_keys")
+
+
 def measured(pairs: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
     """(a, b, shared, either): sizes of intersection and union of the sets of
-    the pairs ``(a, b)``. ``texts`` is (key, text), ``reps`` (v, key)."""
-    pairs = written(pairs.distinct(), "op4_pairs")
-    used = pairs.select(F.col("a").alias("_v")).unionByName(pairs.select(F.col("b").alias("_v"))).distinct()
-    some = written(used.join(reps, F.col("_v") == F.col("v")).select("v", "key"), "op4_used")
+    the pairs ``(a, b)``; repeated rows and pairs may repeat it. ``texts`` is
+    (key, text), ``reps`` (v, key)."""
+    pairs = written(pairs, "op4_pairs")
+    used = pairs.select(F.col("a").alias("v")).unionByName(pairs.select(F.col("b").alias("v"))).distinct()
+    some = keys_of(written(used, "op4_used"), reps)
     # only the texts of the pairs are shuffled
-    t = texts.join(small(some.select(F.col("key").alias("_k")).distinct()), F.col("key") == F.col("_k"), "left_semi")
-    t = t.join(small(some.select("v", F.col("key").alias("_k"))), F.col("key") == F.col("_k")).select("v", "text")
+    t = texts.join(small(some), F.col("key") == F.col("_k")).select("v", "text")
     j = (pairs.join(t.select(F.col("v").alias("a"), F.col("text").alias("ta")), "a")
          .join(t.select(F.col("v").alias("b"), F.col("text").alias("tb")), "b"))
 
@@ -200,13 +208,12 @@ def measured(pairs: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
                     c.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in rows], names=["a", "b", "shared", "either"])
 
-    return written(j.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, shared long, either long").distinct(), "op4_measured")
+    return written(j.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long, shared long, either long"), "op4_measured")
 
 
 def sets_of(v: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
-    """(v, s): the shingle sets of the nodes ``v``, as bytes."""
-    keys = written(v.join(reps.select(F.col("v").alias("_v"), "key"), F.col("v") == F.col("_v"))
-                   .select(F.col("key").alias("_k")).distinct(), "op4_set_keys")
+    """(v, s): the shingle sets of the distinct nodes ``v``, as bytes."""
+    keys = keys_of(v, reps).select("_k")
 
     def run(batches):
         for b in batches:
@@ -269,11 +276,14 @@ class Join:
 
     def __init__(self, measure, sets, block: int = BLOCK):
         self.measure, self.sets, self.block = measure, sets, block
-        self.links: list[DataFrame] = []
+        self.links: list[DataFrame] = []  # those since the last components
+        self.told: DataFrame | None = None
 
     def roots(self) -> DataFrame:
-        c = components(reduce(DataFrame.unionByName, self.links))
-        return small(written(c, "op4_roots").select(F.col("node").alias("_v"), "root"))
+        if self.links:
+            self.told = written(components(reduce(DataFrame.unionByName, self.links), self.told), "op4_roots")
+            self.links = []
+        return small(self.told.select(F.col("node").alias("_v"), "root"))
 
     def add(self, pairs: DataFrame) -> None:
         self.links.append(linked(self.measure(pairs)))
@@ -290,17 +300,19 @@ class Join:
 
     def stars(self, member: DataFrame) -> DataFrame:
         """Likely links: each node and the pivot it shares most regions with."""
-        return _best(member.filter("v <> pv").filter(_alike("n", "pn")).groupBy("v", "pv").agg(F.sum("k").alias("c")))
+        return _best(member.filter("v <> pv").filter(_alike("n", "pn")).repartition("v")
+                     .groupBy("v", "pv").agg(F.sum("k").alias("c")))
 
     def crossing(self, member: DataFrame, moved: DataFrame) -> DataFrame:
         """The pairs of a region that no chain of links joins yet and that
         share enough regions. ``moved`` (level, v) are the members of that
-        level which join anew in the next one, where pairs of them are found.
+        level which join anew in the next one, where pairs of them are found:
+        so a pair is of one level.
 
         Two documents with c shared regions of a level have at most c plus the
         rest of the longer one in common, as all their shared shingles up to
         the end of the shorter prefix are such regions."""
-        again = written(moved.distinct().select(F.col("level").alias("_l"), F.col("v").alias("_w")), "op4_moved")
+        again = moved.select(F.col("level").alias("_l"), F.col("v").alias("_w"))
         told = (member.join(self.roots(), F.col("v") == F.col("_v"), "left")
                 .join(small(again), (F.col("level") == F.col("_l")) & (F.col("v") == F.col("_w")), "left")
                 .groupBy("gid", "level", "k").agg(F.collect_list(F.struct(
@@ -327,7 +339,7 @@ class Join:
         which gets its most central document as pivot. Only members that the
         pivot's links do not reach are left to compare, in blocks, with the
         members whose distance to the pivot is at most a quarter from theirs."""
-        pairs = central.filter("v <> pv").select(F.col("v").alias("a"), F.col("pv").alias("b")).distinct()
+        pairs = central.filter("v <> pv").select(F.col("v").alias("a"), F.col("pv").alias("b"))
         cluster = written(components(pairs), "op4_clusters").select(F.col("node").alias("_c"), F.col("root").alias("cluster"))
         node = (central.groupBy("v").agg(F.min("n").alias("n"), F.min("u").alias("u"))
                 .join(small(cluster), F.col("v") == F.col("_c")).drop("_c")
@@ -343,7 +355,8 @@ class Join:
         if not node.limit(1).count():
             return None
         d = self.measure(node.filter("v <> pv").select(F.col("v").alias("a"), F.col("pv").alias("b")))
-        d = d.select(F.col("a").alias("_v"), F.floor(4 * (F.col("either") - F.col("shared")) / F.col("either")).cast("int").alias("cell"))
+        d = written(d.select(F.col("a").alias("_v"), F.floor(4 * (F.col("either") - F.col("shared")) / F.col("either"))
+                             .cast("int").alias("cell")).distinct(), "op4_distances")
         node = written(node.join(small(d), F.col("v") == F.col("_v"), "left").select(
             "v", "cluster", "root", (F.col("root") != F.col("proot")).alias("outside"), F.coalesce("cell", F.lit(0)).alias("cell")),
             "op4_cells")
@@ -363,7 +376,7 @@ class Join:
         cols = ["cluster", "t", "o", "m", "kind", "v", "root"]
         rows = asks.select(*cols).unionByName(told.select(*cols))
         rows = rows.select(F.xxhash64("cluster", "t", "o", "m").alias("key"), "kind", "v", "root")
-        sets = self.sets(node.select("v").distinct()).withColumnRenamed("v", "_v")
+        sets = self.sets(node.select("v")).withColumnRenamed("v", "_v")
         rows = rows.join(sets, F.col("v") == F.col("_v")).select("key", "kind", "v", "root", "s")
 
         def run(batches):
@@ -413,10 +426,10 @@ def joined(docs: DataFrame, region: int = REGION, max_common: int = MAX_COMMON,
     spark = docs.sparkSession
     docs = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).withColumnRenamed("_row_key", "key")
     base = written(nodes(docs), "op4_nodes")
-    reps = written(base.filter("v IS NOT NULL").groupBy("v").agg(F.min("key").alias("key")), "op4_reps")
-    copies = written(base.filter("v IS NOT NULL").select("v", "key")
-                     .join(reps.select(F.col("v").alias("_v"), F.col("key").alias("_k")), F.col("v") == F.col("_v"))
-                     .filter("key <> _k").select(F.col("key").alias("_c")).distinct(), "op4_copies")
+    reps = written(base.filter("v IS NOT NULL").groupBy("v").agg(F.min("key").alias("key"), F.max("key").alias("last")), "op4_reps")
+    copied = reps.filter("key <> last").select(F.col("v").alias("_v"), F.col("key").alias("_k"))
+    copies = written(base.join(small(copied), F.col("v") == F.col("_v"))
+                     .filter("key <> _k").select(F.col("key").alias("_c")), "op4_copies")
     texts = docs.select("key", "text")
     firsts = texts.join(small(copies), F.col("key") == F.col("_c"), "left_anti")
 
@@ -437,29 +450,30 @@ def joined(docs: DataFrame, region: int = REGION, max_common: int = MAX_COMMON,
         at = len(groups)
         groups.append(r.filter("NOT large").select(F.lit(at).alias("level"), F.arrays_zip("v", "n").alias("members")))
         hot = r.filter("large").select("h", F.element_at("v", 1).alias("v"), F.element_at("n", 1).alias("n"))
-        n = hot.select("v").distinct().count()
-        count = written(hot.groupBy("h").agg(F.count(F.lit(1)).alias("m")), "op4_hot")
+        members = written(hot.select("v").distinct(), "op4_members")
+        n = members.count()
         # members that hardly get fewer are told apart by document pivots instead
         room = max_common - len(common) if before is None or 2 * n <= before else 0
-        new = [x.h for x in count.orderBy(F.desc("m"), "h").limit(room).collect()] if n and room > 0 else []
+        most = hot.groupBy("h").agg(F.count(F.lit(1)).alias("m")).orderBy(F.desc("m"), "h")
+        new = [x.h for x in most.limit(room + 1).collect()] if n and room > 0 else []
+        rest, new = len(new) > room or room <= 0, new[:max(room, 0)]
         taken = spark.createDataFrame(pa.table({"_h": pa.array(new, pa.int64())}))  # at most max_common
-        if n:  # what is not taken stays a region
+        if n and rest:  # what is not taken stays a region
             large.append(hot.join(F.broadcast(taken), F.col("h") == F.col("_h"), "left_anti")
                          .select(F.col("h").alias("r"), "v", "n", F.col("n").alias("u")))
         if not new:
             break
         before = n
-        hot = hot.join(F.broadcast(taken), F.col("h") == F.col("_h"), "left_semi")
-        moved.append(hot.select(F.lit(at).alias("level"), "v"))
+        if rest:
+            members = written(hot.join(F.broadcast(taken), F.col("h") == F.col("_h"), "left_semi").select("v").distinct(), "op4_members")
+        moved.append(members.select(F.lit(at).alias("level"), "v"))
         common = np.union1d(common, np.array(new, dtype=np.int64).view(np.uint64))
-        members = written(hot.select(F.col("v").alias("_v")).distinct()
-                          .join(reps, F.col("_v") == F.col("v")).select(F.col("key").alias("_m")).distinct(), "op4_members")
-        level = texts.join(small(members), F.col("key") == F.col("_m"), "left_semi")
+        level = texts.join(small(keys_of(members, reps).select("_k")), F.col("key") == F.col("_k"), "left_semi")
 
     member = run.members(reduce(DataFrame.unionByName, groups))
     star = run.stars(member)
     if large:
-        central = written(run.central(written(reduce(DataFrame.unionByName, large).distinct(), "op4_large")), "op4_members")
+        central = written(run.central(written(reduce(DataFrame.unionByName, large), "op4_large")), "op4_told_apart")
         star = star.unionByName(_best(central.filter("v <> pv").filter(_alike("n", "pn"))
                                       .groupBy("v", "pv").agg(F.count(F.lit(1)).alias("c"))))
     run.add(star)
